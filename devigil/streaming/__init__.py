@@ -1,0 +1,4 @@
+"""Every input is a finite file or table, so there are no streaming jobs.
+
+The package is kept so that the layout is complete; nothing here is imported.
+"""
