@@ -1,0 +1,291 @@
+"""Registered queries: routing, flattening, unnesting, normalization, rules, keys, sampling."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from devigil.functions import text as X
+from devigil.operators.quality import (
+    REASONS,
+    split_by_parent,
+    split_by_rules,
+    split_first_per_key,
+)
+from devigil.operators.sampling import (
+    sample_percent_column,
+    sample_to_target,
+    sample_with_children,
+)
+from devigil.plans.registry import query
+from devigil.sources.exports import explode_child, route, surrogate_key, wanted_name
+from devigil.sources.reference_files import medical_specialties
+from devigil.sources.schemas import MEDICAL_SPECIALTIES
+
+# --- routing and reading ------------------------------------------------------------------------
+
+MARKERS = (("://m.", "mobile"), ("page=", "paged"), ("example.org", "organisation"))
+
+
+@query(
+    "ing1_ing2_route_paths",
+    """SELECT CASE WHEN contains(url, '://m.') THEN 'mobile' WHEN contains(url, 'page=') THEN 'paged'
+  WHEN contains(url, 'example.org') THEN 'organisation' ELSE 'unrecognized' END AS feed,
+  count(*) AS files, min(page_id) AS first_page
+FROM pages WHERE NOT contains(regexp_extract(url, '[^/]*$'), 'zip')
+  AND NOT contains(regexp_extract(url, '[^/]*$'), 'top') GROUP BY 1""",
+)
+def _(t):
+    name = F.element_at(F.split("url", "/"), -1)
+    kept = t.pages.filter(wanted_name(name, ("zip", "top")))
+    return kept.groupBy(route(F.col("url"), MARKERS).alias("feed")).agg(
+        F.count(F.lit(1)).alias("files"), F.min("page_id").alias("first_page")
+    )
+
+
+@query(
+    "ing3_ing4_nested_json",
+    """SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+  json_extract_string(props, '$.absent') AS absent,
+  json_extract_string(props, '$.openfda.device_class') AS openfda_device_class
+FROM events""",
+)
+def _(t):
+    record = F.from_json("props", "k string, absent string, openfda struct<device_class: string>")
+    nested = t.events.select("event_id", record.alias("r"))
+    return nested.select(
+        "event_id",
+        F.col("r.k").try_cast("bigint").alias("k"),
+        F.col("r.absent").alias("absent"),
+        F.col("r.openfda.device_class").alias("openfda_device_class"),
+    )
+
+
+@query(
+    "ing5_ing6_unnest_children",
+    r"""SELECT sha256(doc_id || chr(31) || source || chr(31) || (i - 1)) AS child_id,
+  sha256(doc_id || chr(31) || source) AS parent_id, i - 1 AS position, line
+FROM (SELECT doc_id, source, unnest(lines) AS line, generate_subscripts(lines, 1) AS i
+  FROM (SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents))""",
+)
+def _(t):
+    parents = t.documents.select(
+        "doc_id",
+        "source",
+        surrogate_key(F.col("doc_id"), F.col("source")).alias("parent_id"),
+        F.split("text", "\n").alias("lines"),
+    )
+    children = parents.select(
+        "doc_id", "source", "parent_id", F.posexplode("lines").alias("position", "line")
+    )
+    child = surrogate_key(F.col("doc_id"), F.col("source"), F.col("position"))
+    return children.select(
+        child.alias("child_id"),
+        "parent_id",
+        F.col("position").cast("bigint").alias("position"),
+        "line",
+    )
+
+
+@query(
+    "ing7_normalize_values",
+    """SELECT conv_id, turn, nullif(lower(role), 'system') AS role,
+  CASE WHEN text IN ('', '\\', 'NULL') THEN NULL
+    ELSE lower(regexp_replace(regexp_replace(text, '^[\\s\\x1c-\\x1f\\x{85}\\x{a0}]+', ''),
+      '[\\s\\x1c-\\x1f\\x{85}\\x{a0}]+$', '')) END AS normalized,
+  array_to_string(list_transform(list_filter(string_split(text, ' '), lambda w: w <> ''),
+    lambda w: trim(w, chr(10) || chr(13) || chr(9) || ' ')), '|') AS items
+FROM conversations""".replace("\\\\", "\\"),
+)
+def _(t):
+    return t.conversations.select(
+        "conv_id",
+        "turn",
+        F.nullif(X.normalize_scalar(F.col("role")), F.lit("system")).alias("role"),
+        X.normalize_scalar(F.col("text")).alias("normalized"),
+        F.array_join(X.normalize_array(F.split("text", " ")), "|").alias("items"),
+    )
+
+
+@query(
+    "ing7b_normalize_for_copy",
+    r"""SELECT page_id, CASE WHEN html IN ('', '\') THEN NULL
+  ELSE replace(replace(replace(replace(html, '\', '\\'), chr(9), ' '), chr(10), ' '),
+    chr(13), '') END AS flat FROM pages""",
+)
+def _(t):
+    return t.pages.select("page_id", X.normalize_for_copy(F.col("html")).alias("flat"))
+
+
+@query(
+    "ing7c_trailing_backslashes",
+    r"""SELECT doc_id, rtrim(text || CASE WHEN lang = 'en' THEN '\\' ELSE '' END, '\') AS narrative
+FROM documents""",
+)
+def _(t):
+    narrative = F.concat("text", F.when(F.col("lang") == "en", "\\\\").otherwise(""))
+    return t.documents.select(
+        "doc_id", X.drop_trailing_backslashes(narrative).alias("narrative")
+    )
+
+
+# --- rules, keys, references --------------------------------------------------------------------
+
+
+def _line_rules():
+    return {
+        "bad discount": ~F.col("l_discount").between(0.0, 0.08),
+        "too long: l_returnflag": F.length("l_returnflag") > 1,
+        "outside domain: l_returnflag": ~F.lower("l_returnflag").isin("a", "r"),
+        "bad bigint: l_quantity": F.col("l_quantity").cast("string").try_cast("date").isNotNull(),
+    }
+
+
+@query(
+    "ing8_rule_rejects",
+    """WITH checked AS (
+  SELECT list_filter([CASE WHEN NOT l_discount BETWEEN 0 AND 0.08 THEN 'bad discount' END,
+    CASE WHEN lower(l_returnflag) NOT IN ('a', 'r') THEN 'outside domain: l_returnflag' END],
+    lambda r: r IS NOT NULL) AS reasons, l_quantity FROM lineitem)
+SELECT array_to_string(reasons, '; ') AS reasons, count(*) AS row_count,
+  round(sum(l_quantity), 2) AS quantity FROM checked GROUP BY 1""",
+)
+def _(t):
+    accepted, rejected = split_by_rules(t.lineitem, _line_rules())
+    both = accepted.withColumn(REASONS, F.array().cast("array<string>")).unionByName(rejected)
+    return both.groupBy(F.array_join(REASONS, "; ").alias("reasons")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.round(F.sum("l_quantity"), 2).alias("quantity")
+    )
+
+
+@query(
+    "ing9_first_row_per_text",
+    """SELECT doc_id, CAST(row_number() OVER (PARTITION BY text ORDER BY doc_id) > 1 AS INTEGER)
+  AS duplicate FROM documents""",
+)
+def _(t):
+    kept, dropped = split_first_per_key(t.documents, ["text"], ["doc_id"])
+    return kept.select("doc_id", F.lit(0).alias("duplicate")).unionByName(
+        dropped.select("doc_id", F.lit(1).alias("duplicate"))
+    )
+
+
+@query(
+    "ing9_first_row_null_keys_pass",
+    """SELECT count(*) AS kept, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM (
+  SELECT o_orderkey, k, row_number() OVER (PARTITION BY k ORDER BY o_orderdate, o_orderkey) AS n
+  FROM (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS k FROM orders))
+WHERE k IS NULL OR n = 1""",
+)
+def _(t):
+    keyed = t.orders.withColumn("k", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")))
+    kept = split_first_per_key(keyed, ["k"], ["o_orderdate", "o_orderkey"]).accepted
+    return kept.agg(
+        F.count(F.lit(1)).alias("kept"), F.sum("o_orderkey").alias("keys")
+    )
+
+
+@query(
+    "ing10_children_of_rejected_parents",
+    """SELECT l_returnflag, CASE WHEN o_totalprice <= 300000 THEN 'accepted' ELSE 'parent rejected'
+  END AS verdict, count(*) AS row_count
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""",
+)
+def _(t):
+    parents = split_by_rules(t.orders, {"price": F.col("o_totalprice") > 300000}).accepted
+    children = t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey")
+    accepted, rejected = split_by_parent(children, parents, "o_orderkey")
+    both = accepted.select("l_returnflag", F.lit("accepted").alias("verdict")).unionByName(
+        rejected.select("l_returnflag", F.array_join(REASONS, ";").alias("verdict"))
+    )
+    return both.groupBy("l_returnflag", "verdict").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query(
+    "ing12_repeated_fields",
+    """WITH links AS (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1) AS hrefs
+  FROM pages), meta AS (SELECT max(page_id) AS last_page, count(*) AS total FROM pages)
+SELECT page_id, upper(regexp_extract(url, '/([a-z]{2})/', 1)) AS device_class, i - 1 AS position,
+  href, last_page, total
+FROM (SELECT page_id, url, unnest(hrefs) AS href, generate_subscripts(hrefs, 1) AS i FROM links),
+  meta""",
+)
+def _(t):
+    links = explode_child(
+        t.pages,
+        "page_id",
+        F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1)),
+        "href",
+    )
+    heads = t.pages.select(
+        "page_id", F.upper(F.regexp_extract("url", "/([a-z]{2})/", 1)).alias("device_class")
+    )
+    meta = t.pages.agg(F.max("page_id"), F.count(F.lit(1)))
+    last_page, total = meta.columns
+    return heads.join(links, "page_id").select(
+        "page_id",
+        "device_class",
+        F.col("position").cast("bigint").alias("position"),
+        "href",
+        meta.select(last_page).scalar().alias("last_page"),
+        meta.select(total).scalar().alias("total"),
+    )
+
+
+@query(
+    "ing15_seed_dimension",
+    "SELECT c_mktsegment, description, count(*) AS customers FROM customer LEFT JOIN (VALUES "
+    + ", ".join(f"('{code}', '{text}')" for code, text in MEDICAL_SPECIALTIES)
+    + ") s(code, description) ON substr(c_mktsegment, 1, 2) = code GROUP BY 1, 2",
+)
+def _(t):
+    coded = t.customer.withColumn("code", F.substring("c_mktsegment", 1, 2))
+    return (
+        coded.join(medical_specialties(t.spark), "code", "left")
+        .groupBy("c_mktsegment", "description")
+        .agg(F.count(F.lit(1)).alias("customers"))
+    )
+
+
+# --- samples ------------------------------------------------------------------------------------
+
+
+@query(
+    "smp1_sample_percent",
+    """SELECT 'lineitem' AS name, count(*) AS total,
+  round(least(100.0, greatest(0.01, 5000.0 / count(*) * 100)), 2) AS percent FROM lineitem
+UNION ALL SELECT 'orders', count(*), round(least(100.0, greatest(0.01, 5000.0 / count(*) * 100)), 2)
+FROM orders UNION ALL
+SELECT 'nation', count(*), round(least(100.0, greatest(0.01, 5000.0 / count(*) * 100)), 2)
+FROM nation""",
+)
+def _(t):
+    rows = [
+        getattr(t, name)
+        .agg(F.count(F.lit(1)).alias("total"))
+        .select(
+            F.lit(name).alias("name"),
+            "total",
+            sample_percent_column(F.col("total"), 5000).alias("percent"),
+        )
+        for name in ("lineitem", "orders", "nation")
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query("smp1_sampled_lines")
+def _(t):
+    return sample_to_target(t.lineitem, t.lineitem.count(), 5000)
+
+
+@query("smp2_sampled_orders_with_lines")
+def _(t):
+    orders, lines = sample_with_children(
+        t.orders.withColumnRenamed("o_orderkey", "key"),
+        t.lineitem.withColumnRenamed("l_orderkey", "key"),
+        "key",
+        0.1,
+        12345,
+    )
+    return orders.select("key", F.lit("order").alias("kind")).unionByName(
+        lines.select("key", F.lit("line").alias("kind"))
+    )
