@@ -101,6 +101,17 @@ def _ascii_foldings() -> tuple[str, str, dict[str, str]]:
     return "".join(single_from), "".join(single_to), several
 
 
+def _char_class(chars: list[str]) -> str:
+    """A regular-expression class with neighbouring characters as ranges."""
+    spans: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if spans and spans[-1][1] == code - 1:
+            spans[-1][1] = code
+        else:
+            spans.append([code, code])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans) + "]"
+
+
 def ascii_fold(c: Column) -> Column:
     """Compatibility decomposition followed by dropping what is not ASCII, without Python.
 
@@ -111,7 +122,7 @@ def ascii_fold(c: Column) -> Column:
     longer = F.str_to_map(
         F.lit("\x01".join(f"{k}\x02{v}" for k, v in several.items())), F.lit("\x01"), F.lit("\x02")
     )
-    has_longer = c.rlike("[" + "".join(several) + "]")
+    has_longer = c.rlike(_char_class(list(several)))
     split = F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
     expanded = F.array_join(
         F.transform(split, lambda ch: F.coalesce(F.try_element_at(longer, ch), ch)), ""

@@ -56,13 +56,10 @@ def unit_length(vectors: DataFrame, key: str) -> DataFrame:
 
 def char_grams(c: Column, sizes: tuple[int, ...]) -> Column:
     """All character n-grams of a string, for every n in ``sizes``."""
-    parts = [
-        F.when(
-            F.length(c) >= n,
-            F.transform(
-                F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i, n=n: F.substring(c, i, n)
-            ),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in sizes
-    ]
-    return F.concat(*parts)
+
+    def grams(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(c) - (n - 1))
+        cut = F.transform(starts, lambda i: F.substring(c, i, F.lit(n)))
+        return F.when(F.length(c) >= n, cut).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*[grams(n) for n in sizes])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -167,25 +166,6 @@ def _(t):
     return term_counts(t.documents, "doc_id", X.tokens(F.col("text")))
 
 
-@query(
-    "ml3_count_vectors",
-    f"""WITH {TOKENS_SQL} SELECT d.doc_id, coalesce(count(c.term), 0) AS terms,
-  CAST(coalesce(sum(tf), 0) AS DOUBLE) AS total
-FROM documents d LEFT JOIN counts c ON d.doc_id = c.doc_id GROUP BY 1""",
-)
-def _(t):
-    words = RegexTokenizer(
-        inputCol="text", outputCol="words", pattern=X.TOKEN_PATTERN, gaps=False
-    ).transform(t.documents.select("doc_id", "text"))
-    model = CountVectorizer(inputCol="words", outputCol="counts", vocabSize=1 << 20).fit(words)
-    values = F.filter(vector_to_array("counts"), lambda v: v > 0)
-    return model.transform(words).select(
-        "doc_id",
-        F.size(values).cast("bigint").alias("terms"),
-        F.aggregate(values, F.lit(0.0), lambda a, b: a + b).alias("total"),
-    )
-
-
 @query(
     "ml1_one_hot_encoder",
     """WITH ranked AS (SELECT o_orderpriority, row_number() OVER (ORDER BY count(*) DESC,
