@@ -17,6 +17,7 @@ from devigil.functions.text import company_key
 from devigil.operators.features import FeatureSpec, fit_features, fit_text, prepare, split_by_hash
 from devigil.operators.harmonize import approval_flags, join_events
 from devigil.operators.metrics import binary_metrics, multilabel_metrics
+from devigil.session import cut_lineage
 
 SEED = 62
 ROUNDS = 50
@@ -156,17 +157,16 @@ def prediction_summary(features: DataFrame) -> DataFrame:
 
 
 def booster(label: str, features: str, rounds: int = ROUNDS, suffix: str = "") -> GBTClassifier:
-    return GBTClassifier(
+    trees = GBTClassifier(
         labelCol=label,
         featuresCol=features,
         predictionCol=f"prediction{suffix}",
-        probabilityCol=f"probability{suffix}",
-        rawPredictionCol=f"raw{suffix}",
         maxIter=rounds,
         maxDepth=5,
         stepSize=0.3,
         seed=SEED,
     )
+    return trees.setProbabilityCol(f"probability{suffix}").setRawPredictionCol(f"raw{suffix}")
 
 
 @dataclass
@@ -194,8 +194,13 @@ def train_binary(
     estimator=None,
     train_share: float = 0.8,
 ) -> Trained:
-    """Fit features and one classifier (boosted trees unless given), score the held-out rows."""
-    features, rows = fit_features(prepare(df, spec), spec)
+    """Fit features and one classifier (boosted trees unless given), score the held-out rows.
+
+    Every stage of a fit passes over its input, so the input is written out once.
+    """
+    inputs = [*spec.categorical, *spec.numeric, *([spec.text] if spec.text else [])]
+    source = cut_lineage(prepare(df, spec).select(key, label, *inputs))
+    features, rows = fit_features(source, spec)
     rows = rows.select(key, F.col(label).cast("double").alias(label), spec.output).persist()
     train, test = split_by_hash(rows, key, train_share, SEED)
     model = (estimator or booster(label, spec.output)).fit(train)
@@ -211,7 +216,8 @@ def train_multilabel(
     df: DataFrame, targets: Sequence[str], key: str, spec: FeatureSpec, rounds: int = ROUNDS
 ) -> Trained:
     """One booster per 0/1 target column over the same, once computed, features."""
-    features, rows = fit_features(prepare(df, spec), spec)
+    source = cut_lineage(prepare(df, spec))
+    features, rows = fit_features(source, spec)
     rows = rows.select(
         key, *[F.col(f"`{t}`").cast("double").alias(t) for t in targets], spec.output
     ).persist()

@@ -162,14 +162,14 @@ def nearest_by_grams(
     right: DataFrame,
     k: int = 3,
     sizes: tuple[int, ...] = (2, 3),
-    rare: int = 1_000,
+    first_look: int = 500,
 ) -> DataFrame:
     """``a, b, cosine, rank``: the k most similar right names of every left name, exactly.
 
-    Weights are TF-IDF over character n-grams of the right names. Products over rare n-grams alone
-    give a lower bound on the k-th best cosine. The frequent n-grams whose greatest possible
-    contribution stays below that bound cannot bring in a better name, so they generate no
-    candidates; they still count in the final cosine.
+    Weights are TF-IDF over character n-grams of the right names. A first look at the partners under
+    the rarest n-grams of a name finds k good ones, whose true cosines bound the k-th best from
+    below. The frequent n-grams that together cannot reach that bound need no lookup: a name that
+    shares nothing but those is no better. They still count in the final cosine.
     """
     master = cut_lineage(
         tfidf(right, "name", "name", char_grams(F.col("name"), sizes)).select(
@@ -189,38 +189,52 @@ def nearest_by_grams(
     )
     raw = F.col("tf") * (F.ln((1 + total) / (1 + F.col("df"))) + 1)
     by_name = Window.partitionBy("a")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    rare_first = by_name.orderBy("df", "term").rowsBetween(*so_far)
+    frequent_first = by_name.orderBy(F.desc("df"), F.desc("term")).rowsBetween(*so_far)
+    square = F.col("wa") * F.col("wa")
     queries = cut_lineage(
         counts.join(terms, "term")
         .withColumn("raw", raw)
         .withColumn("wa", F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(by_name)))
-        .select("a", "term", "wa", "df", (F.col("wa") * F.col("greatest")).alias("most"))
-    )
-    product = F.sum(F.col("wa") * F.col("wb"))
-    partial = (
-        queries.filter(F.col("df") <= rare)
-        .join(master.drop("df"), "term")
-        .groupBy("a", "b")
-        .agg(product.alias("low"))
+        .select(
+            "a",
+            "term",
+            "wa",
+            F.sum("df").over(rare_first).alias("partners"),
+            F.row_number().over(rare_first).alias("rarity"),
+            F.least(
+                F.sum(F.col("wa") * F.col("greatest")).over(frequent_first),
+                F.sqrt(F.sum(square).over(frequent_first)),
+            ).alias("reach"),
+        )
     )
-    bound = _rank(partial, k, "low").filter(F.col("rank") == k).select("a", "low")
-    frequent_first = by_name.orderBy(F.desc("df"), "term").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    weights = queries.select("a", "term", "wa")
+    postings = master.select("b", "term", "wb")
+    product = F.sum(F.col("wa") * F.col("wb")).alias("cosine")
+
+    def cosines(pairs: DataFrame) -> DataFrame:
+        shared = pairs.join(weights, "a").join(postings, ["b", "term"])
+        return shared.groupBy("a", "b").agg(product)
+
+    look = queries.filter((F.col("partners") <= first_look) | (F.col("rarity") == 1))
+    seen = look.select("a", "term", "wa").join(postings, "term").groupBy("a", "b").agg(product)
+    good = _rank(seen, k, "cosine").select("a", "b")
+    bound = (
+        cosines(good)
+        .groupBy("a")
+        .agg(F.min("cosine").alias("bound"), F.count(F.lit(1)).alias("found"))
+        .filter(F.col("found") == k)
     )
     needed = (
-        queries.withColumn("reach", F.sum("most").over(frequent_first))
-        .join(bound, "a", "left")
-        .filter(F.col("reach") >= F.coalesce("low", F.lit(0.0)) - 1e-9)
+        queries.join(bound, "a", "left")
+        .filter(F.col("reach") >= F.coalesce("bound", F.lit(0.0)) - 1e-9)
         .select("a", "term")
     )
-    candidates = needed.join(master.select("b", "term"), "term").select("a", "b").distinct()
-    scored = (
-        candidates.join(queries.select("a", "term", "wa"), "a")
-        .join(master.select("b", "term", "wb"), ["b", "term"])
-        .groupBy("a", "b")
-        .agg(product.alias("cosine"))
-    )
-    # equal names can differ in the last bits of the sum, depending on the order of addition
-    return _rank(scored.withColumn("cosine", F.round("cosine", 9)), k, "cosine")
+    candidates = needed.join(postings.select("b", "term"), "term").select("a", "b").distinct()
+    # rounded, because the last bits of a sum depend on the order of addition
+    exact = cosines(candidates).withColumn("cosine", F.round("cosine", 9))
+    return _rank(exact, k, "cosine")
 
 
 def match_score(a: Column, b: Column, cosine: Column) -> Column:

@@ -1,0 +1,165 @@
+"""Registered queries: classifiers, their scores and importances, k-means and projections.
+
+Trained models have no SQL counterpart, so these queries carry no check; what goes into them (the
+feature tables, TF-IDF, encodings, splits) and what is computed from them (metrics) is checked.
+"""
+
+from __future__ import annotations
+
+from functools import cache
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from devigil.functions import text as X
+from devigil.operators import models as M
+from devigil.operators.features import FeatureSpec, fit_features, prepare
+from devigil.operators.harmonize import one_hot
+from devigil.plans import bindings as B
+from devigil.plans.check_pages import _classes, _event_side, recall_training_rows
+from devigil.plans.registry import Tables, query
+
+TARGETS = ("death", "injury", "malfunction", "other")
+RECALL = FeatureSpec(
+    categorical=M.RECALL_FEATURES.categorical,
+    text=M.RECALL_FEATURES.text,
+    numeric=M.RECALL_FEATURES.numeric,
+    components=50,
+)
+EVENT = FeatureSpec(text="device_name", components=50)
+
+
+def _keyed(df):
+    return df.withColumn("row_key", F.sha2(F.concat_ws("|", *df.columns), 256))
+
+
+def _training_rows(t):
+    rows = recall_training_rows(t).drop("recall")
+    # parts with a high price stand for recalled devices, so that both classes occur
+    prices = t.part.groupBy(F.upper("p_name").alias("device_name")).agg(
+        F.avg("p_retailprice").alias("price")
+    )
+    average = t.part.agg(F.avg("p_retailprice").alias("p")).scalar()
+    labelled = rows.join(prices, "device_name").withColumn(
+        "recall", (F.col("price") > average).cast("int")
+    )
+    return _keyed(labelled.drop("price"))
+
+
+@cache
+def _recall_model(application: str, folder: str, spark):
+    t = Tables(spark, folder)
+    return M.train_binary(_training_rows(t), "recall", "row_key", RECALL)
+
+
+def recall_model(t):
+    return _recall_model(t.spark.sparkContext.applicationId, t.folder, t.spark)
+
+
+@cache
+def _event_model(application: str, folder: str, spark):
+    t = Tables(spark, folder)
+    facts = M.event_facts(*_event_side(t))
+    named = facts.select(
+        X.company_key(F.col("openfda_device_name")).alias("device_name"),
+        "manufacturer_d_name",
+        "openfda_regulation_number",
+        "model_number",
+        F.when(F.col("event_type").startswith("injury"), "injury")
+        .otherwise(F.col("event_type"))
+        .alias("event_type"),
+    )
+    flags = one_hot(named, {"event_type": TARGETS})
+    return M.train_multilabel(_keyed(flags), TARGETS, "row_key", EVENT, rounds=10)
+
+
+def event_model(t):
+    return _event_model(t.spark.sparkContext.applicationId, t.folder, t.spark)
+
+
+@query("ml8_recall_predictions")
+def _(t):
+    return recall_model(t).predictions.select(
+        "row_key", "recall", "prediction", M.positive().alias("probability")
+    )
+
+
+@query("ml8_recall_metrics")
+def _(t):
+    return recall_model(t).metrics
+
+
+@query("ml9_event_type_metrics")
+def _(t):
+    return event_model(t).metrics
+
+
+@query("ml10_logistic_baseline")
+def _(t):
+    trained = M.train_binary(
+        _training_rows(t), "recall", "row_key", RECALL, M.logistic_baseline("recall"), 0.7
+    )
+    return trained.predictions.select(
+        "row_key", "recall", "prediction", M.positive().alias("probability")
+    )
+
+
+@query("ml12_recall_scores")
+def _(t):
+    features = M.device_features(*_event_side(t), _classes(t))
+    return M.score_devices(recall_model(t).model, features, RECALL)
+
+
+@query("ml13_event_type_scores")
+def _(t):
+    devices = B.devices_of_lines(t).select(
+        X.company_key(F.col("openfda_device_name")).alias("device_name")
+    )
+    return M.score_event_types(event_model(t).model, devices, TARGETS, EVENT)
+
+
+@query("ml14_srt4_top_features")
+def _(t):
+    trained = recall_model(t)
+    return M.importances(trained.model.stages[-1], trained.predictions)
+
+
+def _names_of(part):
+    return part.select(F.lower(F.concat_ws(" ", "p_name", "p_brand", "p_type")).alias("name"))
+
+
+@query("ml4_text_components")
+def _(t):
+    spec = FeatureSpec(text="name", components=8)
+    rows = prepare(_names_of(t.part).distinct(), spec)
+    components = fit_features(rows, spec)[1].select("name", vector_to_array("name_pca").alias("c"))
+    return components.select("name", F.posexplode("c").alias("component", "value"))
+
+
+@query("er6_kmeans_names")
+def _(t):
+    model, _ = M.kmeans_names(_names_of(t.part), "name")
+    returned = t.lineitem.filter("l_returnflag = 'R'").select(F.col("l_partkey").alias("p_partkey"))
+    returned_parts = t.part.join(returned, "p_partkey", "left_semi")
+    sides = _names_of(t.part).withColumn("side", F.lit("classified")).unionByName(
+        _names_of(returned_parts).withColumn("side", F.lit("returned"))
+    )
+    return model.transform(sides.distinct()).select("name", "side", "cluster")
+
+
+@query("er6_kmeans_recall_features")
+def _(t):
+    spec = FeatureSpec(
+        text="device_name", numeric=("num_events", "pma_approval"), components=10
+    )
+    rows = fit_features(prepare(_training_rows(t), spec), spec)[1]
+    model = M.kmeans(rows, spec.output, k=10)
+    return model.transform(rows).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+
+
+@query("er7_projection")
+def _(t):
+    _, labelled = M.kmeans_names(_names_of(t.part), "name", k=10)
+    return M.project_2d(labelled, "name_vector").select(
+        "name", "cluster", "reduced_component_x", "reduced_component_y"
+    )

@@ -90,9 +90,10 @@ def _(t):
     )
 
 
-NEAREST_SQL = f"""
-lefts AS (SELECT DISTINCT {company_sql("p_name || ' ' || p_brand")} AS name FROM part),
-rights AS (SELECT DISTINCT {company_sql("p_name || ' ' || p_type")} AS name FROM part),
+def _nearest_sql(left: str, right: str) -> str:
+    return f"""
+lefts AS (SELECT DISTINCT {company_sql(left)} AS name FROM part),
+rights AS (SELECT DISTINCT {company_sql(right)} AS name FROM part),
 right_grams AS (SELECT name, substr(name, i, n) AS g FROM rights, (VALUES (2), (3)) s(n),
     LATERAL (SELECT unnest(range(1, length(name) - n + 2)) AS i)),
 left_grams AS (SELECT name, substr(name, i, n) AS g FROM lefts, (VALUES (2), (3)) s(n),
@@ -110,6 +111,10 @@ cosines AS (SELECT l.name AS a, r.name AS b, round(sum(l.w * r.w), 9) AS cosine
 nearest AS (SELECT a, b, cosine FROM cosines
   QUALIFY row_number() OVER (PARTITION BY a ORDER BY cosine DESC, b) <= 3)
 """
+
+
+NEAREST_SQL = _nearest_sql("p_name || ' ' || p_brand", "p_name || ' ' || p_type")
+SAME_KIND_SQL = _nearest_sql("p_name || ' ' || p_brand", "p_name || ' ' || p_brand || ' Inc.'")
 TOKEN_SORT_SQL = "array_to_string(list_sort(string_split({0}, ' ')), ' ')"
 EDIT_SQL = "(1.0 - levenshtein({0}, {1}) / CAST(greatest(length({0}), length({1})) AS DOUBLE))"
 SCORED_SQL = f"""
@@ -148,10 +153,11 @@ def _(t):
 
 @query(
     "flt13_confident_matches",
-    f"""WITH {NEAREST_SQL}, {SCORED_SQL} SELECT a, b, score FROM scored WHERE score > 80""",
+    f"""WITH {SAME_KIND_SQL}, {SCORED_SQL} SELECT a, b, score FROM scored WHERE score > 80""",
 )
 def _(t):
-    a, b = _sides(t)
+    a, _ = _sides(t)
+    b = t.part.select(F.concat_ws(" ", "p_name", "p_brand", F.lit("Inc.")).alias("name"))
     return match_names(a, "name", b, "name").filter("score > 80").select("a", "b", "score")
 
 
