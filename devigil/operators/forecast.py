@@ -136,5 +136,8 @@ def forecast(
         out["alpha"], out["beta"], out["gamma"] = used
         return out[schema.names]
 
-    grouped = series.groupBy(*keys) if keys else series.groupBy(F.lit(0))
-    return grouped.applyInPandas(one_series, schema)
+    if not keys:
+        return series.groupBy(F.lit(0)).applyInPandas(one_series, schema)
+    # a fit is much work on few bytes, so the rows must not be packed into few tasks by size
+    spread = series.repartition(2 * series.sparkSession.sparkContext.defaultParallelism, *keys)
+    return spread.groupBy(*keys).applyInPandas(one_series, schema)

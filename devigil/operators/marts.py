@@ -31,18 +31,41 @@ ADDRESS = (
 DEVICE_ORDER = ("manufacturer_name", "device_class", "device_name")
 
 
-NUMBERS = ("pma_number", "k_number")
+MEASURES = {**OUTCOMES, **CLASSES}
+NUMBERS = {"pma_submissions": "pma_number", "k_submissions": "k_number"}
 
 
-def _base(integrated: DataFrame) -> DataFrame:
-    """Sums per device key and submission number.
+def _pieces(integrated: DataFrame, distinct: dict[str, str]) -> DataFrame:
+    """Every row once for its sums and once more per present value that is counted distinctly.
 
-    The marts count distinct numbers, which Spark does by repeating its input once per distinct
-    column. Reducing first means that only these few rows are repeated, not the facts.
+    Spark's own plan for several distinct counts repeats every row for each of them. Here most
+    rows, the events, have no submission numbers and stay single. ``piece`` is ``sums`` or the
+    name of a distinct count, ``value`` the counted value.
     """
-    return integrated.groupBy(*DEVICE_KEYS, *NUMBERS).agg(
-        *[F.sum(F.col(f"`{c}`")).alias(name) for name, c in {**OUTCOMES, **CLASSES}.items()],
-        F.count("device_name").alias("records"),
+    wanted = dict.fromkeys([*DEVICE_KEYS, *distinct.values(), *MEASURES.values()])
+    rows = integrated.select(*[f"`{c}`" for c in wanted])
+    values = [
+        F.when(
+            F.col(column).isNotNull(),
+            F.struct(F.lit(name).alias("piece"), F.col(column).alias("value")),
+        )
+        for name, column in distinct.items()
+    ]
+    sums = F.struct(F.lit("sums").alias("piece"), F.lit(None).cast("string").alias("value"))
+    return rows.withColumn("p", F.explode(F.array_compact(F.array(sums, *values)))).select(
+        "*", "p.piece", "p.value"
+    )
+
+
+def _reduced(pieces: DataFrame, keys: list) -> DataFrame:
+    """Measures per key, piece and value: a distinct value is one row afterwards."""
+    is_sum = F.col("piece") == "sums"
+    return pieces.groupBy(*keys, "piece", "value").agg(
+        *[
+            F.sum(F.when(is_sum, F.col(f"`{c}`")).otherwise(0)).alias(name)
+            for name, c in MEASURES.items()
+        ],
+        F.count(F.when(is_sum, F.col("device_name"))).alias("records"),
     )
 
 
@@ -55,11 +78,8 @@ def _flags() -> list[Column]:
     return [F.max((F.col(name) > 0).cast("bigint")).alias(name) for name in CLASSES]
 
 
-def _submissions() -> list[Column]:
-    return [
-        F.count_distinct("pma_number").alias("pma_submissions"),
-        F.count_distinct("k_number").alias("k_submissions"),
-    ]
+def _counted(*names: str) -> list[Column]:
+    return [F.count_if(F.col("piece") == name).alias(name) for name in names]
 
 
 def _ordered(df: DataFrame, *columns: str) -> DataFrame:
@@ -70,10 +90,9 @@ def _ordered(df: DataFrame, *columns: str) -> DataFrame:
 
 def device_view(integrated: DataFrame) -> DataFrame:
     """One row per device key, NULL keys included."""
-    return (
-        _base(integrated)
-        .groupBy(*DEVICE_KEYS)
-        .agg(*_sums(), *_flags(), F.sum("records").alias("records"), *_submissions())
+    reduced = _reduced(_pieces(integrated, NUMBERS), [F.col(k) for k in DEVICE_KEYS])
+    return reduced.groupBy(*DEVICE_KEYS).agg(
+        *_sums(), *_flags(), F.sum("records").alias("records"), *_counted(*NUMBERS)
     )
 
 
@@ -101,36 +120,38 @@ def manufacturer_mart(integrated: DataFrame, compat: bool = False) -> DataFrame:
             )
         )
     else:
-        device = F.struct(*[key for key in DEVICE_KEYS if key != "manufacturer_name"])
         mart = (
-            _base(integrated)
+            _per_manufacturer(integrated)
             .groupBy("manufacturer_name")
             .agg(
                 *_sums(),
                 *[
-                    F.count_distinct(F.when(F.col(name) > 0, device)).alias(
-                        devices_per_class.format(name)
-                    )
+                    F.count_if(F.col(name) > 0).alias(devices_per_class.format(name))
                     for name in CLASSES
                 ],
-                F.count_distinct("device_name").alias("unique_devices"),
-                *_submissions(),
+                *_counted("unique_devices", *NUMBERS),
             )
         )
     return _ordered(mart, "manufacturer_name")
 
 
+def _per_manufacturer(integrated: DataFrame) -> DataFrame:
+    """Sums per device key, and one row per distinct device name and submission number."""
+    pieces = _pieces(integrated, {"unique_devices": "device_name", **NUMBERS})
+    of_device = [
+        F.when(F.col("piece") == "sums", F.col(key)).alias(f"device_{i}")
+        for i, key in enumerate(DEVICE_KEYS)
+        if key != "manufacturer_name"
+    ]
+    return _reduced(pieces, [F.col("manufacturer_name"), *of_device])
+
+
 def manufacturer_view(integrated: DataFrame) -> DataFrame:
     """The SQL-view form: class flags of the manufacturer instead of device counts."""
     return (
-        _base(integrated)
+        _per_manufacturer(integrated)
         .groupBy("manufacturer_name")
-        .agg(
-            *_sums(),
-            *_flags(),
-            F.count_distinct("device_name").alias("unique_devices"),
-            *_submissions(),
-        )
+        .agg(*_sums(), *_flags(), *_counted("unique_devices", *NUMBERS))
     )
 
 

@@ -143,7 +143,9 @@ def fuzzy_join(
     pairs = candidate_pairs(
         distinct_names(left, left_column), distinct_names(right, right_column), threshold
     )
-    return pairs.withColumn("score", indel_ratio(F.col("a"), F.col("b"))).filter(
+    # the exact ratio is much work on few bytes, so the pairs must not be packed by size
+    spread = pairs.repartition(2 * pairs.sparkSession.sparkContext.defaultParallelism)
+    return spread.withColumn("score", indel_ratio(F.col("a"), F.col("b"))).filter(
         F.col("score") >= threshold
     )
 

@@ -42,7 +42,9 @@ def tfidf(
         sized = counts.join(df.select(key, weight), key)
     else:
         sized = counts
-    frequency = sized.groupBy("term").agg(F.sum(copies).cast("bigint").alias("df"))
+    # mentioning tf keeps both uses of the counts identical, so Spark computes them once
+    present = F.when(F.col("tf") > 0, copies)
+    frequency = sized.groupBy("term").agg(F.sum(present).cast("bigint").alias("df"))
     if total is None:
         total = df.agg(F.sum(copies).alias("n")).scalar()
     raw = F.col("tf") * inverse_frequency(total, F.col("df"))
