@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def common_subsequence(a: str, b: str) -> int:
@@ -27,7 +28,7 @@ def indel_similarity(a: str, b: str) -> float:
     return 2.0 * common_subsequence(a, b) / total if total else 1.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _indel_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for left, right in batches:
         yield pd.Series(

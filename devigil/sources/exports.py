@@ -92,7 +92,7 @@ def read_records(
         )
     envelope = T.StructType(
         [
-            T.StructField("meta", S.META_SCHEMA),
+            T.StructField("meta", T.StructType.fromDDL(S.META_DDL)),
             T.StructField("results", T.ArrayType(record)),
         ]
     )

@@ -205,7 +205,7 @@ FLAT_FEEDS = {
     "recall": RECALL,
 }
 
-META_SCHEMA = T.StructType.fromDDL(
+META_DDL = (
     "disclaimer string, license string, last_updated string, "
     "results struct<skip: int, limit: int, total: int>"
 )
