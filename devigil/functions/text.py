@@ -150,12 +150,13 @@ def tokens(c: Column) -> Column:
 def content_words(c: Column) -> Column:
     """Lower-cased words without stop words, joined by single spaces.
 
-    Punctuation and contraction endings are cut off words; what is still not purely letters and
-    digits afterwards (part numbers with hyphens and the like) is dropped.
+    Punctuation and contraction endings are cut off words, but commas and colons inside numbers
+    stay. What is not purely letters and digits afterwards is dropped.
     """
     text = F.lower(F.coalesce(c, F.lit("")))
     text = F.regexp_replace(text, r"(n't|'(?:s|re|ve|ll|d|m))(\s|$)", " ")
-    text = F.regexp_replace(text, r"[,;:@#$%&?!\"()\[\]{}<>]|\.(\s|$)", " ")
+    text = F.regexp_replace(text, r"[,:]([^0-9]|$)", " $1")
+    text = F.regexp_replace(text, r"[;@#$%&?!\"()\[\]{}<>]|\.(\s|$)", " ")
     words = F.filter(
         F.split(text, r"\s+"), lambda w: w.rlike(r"^[\p{L}\p{N}]+$") & ~w.isin(*STOP_WORDS)
     )

@@ -56,8 +56,9 @@ STOP_SQL = ", ".join(f"'{word}'" for word in X.STOP_WORDS)
 @query(
     "sc3_content_words",
     rf"""SELECT doc_id, array_to_string(list_filter(regexp_split_to_array(
-  regexp_replace(regexp_replace(lower(text), '(n''t|''(?:s|re|ve|ll|d|m))(\s|$)', ' ', 'g'),
-    '[,;:@#$%&?!"()\[\]{{}}<>]|\.(\s|$)', ' ', 'g'), '\s+'),
+  regexp_replace(regexp_replace(regexp_replace(lower(text),
+    '(n''t|''(?:s|re|ve|ll|d|m))(\s|$)', ' ', 'g'), '[,:]([^0-9]|$)', ' \1', 'g'),
+    '[;@#$%&?!"()\[\]{{}}<>]|\.(\s|$)', ' ', 'g'), '\s+'),
   lambda w: regexp_full_match(w, '[\p{{L}}\p{{N}}]+') AND w NOT IN ({STOP_SQL})), ' ') AS words
 FROM documents""",
 )

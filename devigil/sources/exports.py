@@ -145,18 +145,24 @@ def _load(rows: DataFrame, spec: S.TableSpec) -> Split:
     return Split(accepted, rejected.select(spec.id_column, FILE, POSITION, REASONS))
 
 
-def load_events(records: DataFrame) -> dict[str, Split]:
+def load_events(records: DataFrame, staging: str | None = None) -> dict[str, Split]:
     """Events with their devices, patients, patient problems and narratives.
 
     An empty or missing child array gives no child rows and keeps the event. Children of a rejected
-    event are rejected too.
+    event are rejected too. With a ``staging`` folder the accepted parents are landed there once,
+    instead of being worked out again for each child table.
     """
+
+    def landed(split: Split, name: str) -> Split:
+        if staging is None:
+            return split
+        return Split(stage(split.accepted, f"{staging}/accepted_{name}"), split.rejected)
+
     keyed = records.withColumn(
         "event_id", surrogate_key(F.col("r.mdr_report_key"), F.col(FILE), F.col(POSITION))
     )
-    events = _load(
-        keyed.select("event_id", FILE, POSITION, *flatten(S.DEVICE_EVENT)), S.DEVICE_EVENT
-    )
+    event_rows = keyed.select("event_id", FILE, POSITION, *flatten(S.DEVICE_EVENT))
+    events = landed(_load(event_rows, S.DEVICE_EVENT), "device_event")
 
     def children(name: str, spec: S.TableSpec) -> DataFrame:
         child = keyed.select("event_id", FILE, F.posexplode(f"r.{name}").alias("n", "r"))
@@ -182,7 +188,7 @@ def load_events(records: DataFrame) -> dict[str, Split]:
     patient_rows = patients.select(
         "event_id", "patient_id", FILE, POSITION, *flatten(S.PATIENT)
     )
-    patient = finish(patient_rows, S.PATIENT, events.accepted, "event_id")
+    patient = landed(finish(patient_rows, S.PATIENT, events.accepted, "event_id"), "patient")
     problems = patients.select(
         "event_id",
         "patient_id",
@@ -255,7 +261,7 @@ def load_feed(
     records = read_records(spark, root, feed, record, layout)
     if staging:
         records = stage(records, f"{staging}/{feed}")
-    return {spec.name: load_flat(records, spec)} if spec else load_events(records)
+    return {spec.name: load_flat(records, spec)} if spec else load_events(records, staging)
 
 
 def load_all(
