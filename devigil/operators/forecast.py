@@ -11,7 +11,6 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SEASON = 12
@@ -137,7 +136,7 @@ def forecast(
         return out[schema.names]
 
     if not keys:
-        return series.groupBy(F.lit(0)).applyInPandas(one_series, schema)
+        return series.groupBy().applyInPandas(one_series, schema)
     # a fit is much work on few bytes, so the rows must not be packed into few tasks by size
     spread = series.repartition(2 * series.sparkSession.sparkContext.defaultParallelism, *keys)
     return spread.groupBy(*keys).applyInPandas(one_series, schema)
