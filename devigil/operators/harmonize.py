@@ -122,7 +122,7 @@ def fold_event_type(c: Column) -> Column:
 def harmonize(
     df: DataFrame, mapping: Mapping[str, str], canonicals: Mapping[str, int] = CANONICALS
 ) -> DataFrame:
-    """Project one source onto the canonical columns; unmapped ones are NULL."""
+    """Project one source onto the canonical columns; unmapped and empty ones are NULL."""
     raw_of = {canonical: raw for raw, canonical in mapping.items()}
     out = []
     for canonical, clean in canonicals.items():
@@ -132,7 +132,8 @@ def harmonize(
         value = F.col(raw_of[canonical])
         if isinstance(df.schema[raw_of[canonical]].dataType, T.ArrayType):
             value = array_to_csv(value)
-        value = canonical_text(value) if clean else value.cast("string")
+        text = value.cast("string")
+        value = canonical_text(value) if clean else F.nullif(text, F.lit(""))
         out.append(value.alias(canonical))
     return df.select(*out)
 
@@ -142,7 +143,7 @@ def union_sources(
     mappings: Mapping[str, Mapping[str, str]] = MAPPINGS,
     canonicals: Mapping[str, int] = CANONICALS,
 ) -> DataFrame:
-    """Harmonized sources one below the other, empty strings as NULL, ``source`` filled."""
+    """Harmonized sources one below the other, with ``source`` filled."""
     parts = []
     for name, table in tables.items():
         labelled = table.withColumn("source", F.lit(name))
@@ -151,8 +152,6 @@ def union_sources(
     master = parts[0]
     for part in parts[1:]:
         master = master.unionByName(part)
-    text = [f.name for f in master.schema if isinstance(f.dataType, T.StringType)]
-    master = master.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in text})
     if "event_type" in canonicals:
         master = master.withColumn("event_type", fold_event_type(F.col("event_type")))
     return master

@@ -104,7 +104,7 @@ def manufacturer_mart(integrated: DataFrame, compat: bool = False) -> DataFrame:
     """One row per manufacturer, counting its devices per class.
 
     Submissions are the distinct numbers of the manufacturer. ``compat`` counts the distinct
-    *per-device counts* instead, as the dashboard code this mart replaces did.
+    *per-device counts* instead, for comparison with figures that were made that way.
     """
     devices_per_class = "num_{}_devices"
     if compat:

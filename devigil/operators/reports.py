@@ -54,9 +54,12 @@ def latest(
 
 
 def newest_first(df: DataFrame, date_column: str, nulls_first: bool = False) -> DataFrame:
-    """``nulls_first`` is what a descending SQL sort does by default."""
+    """``nulls_first`` is what a descending SQL sort does by default.
+
+    Rows of one date have no order of their own; a hash of the row lets the sort split them.
+    """
     order = F.desc_nulls_first if nulls_first else F.desc_nulls_last
-    return df.orderBy(order(date_column))
+    return df.orderBy(order(date_column), F.xxhash64(*df.columns))
 
 
 def key_figures(df: DataFrame, date_column: str, reference: Column, days: int = 30) -> DataFrame:
