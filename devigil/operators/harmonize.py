@@ -143,10 +143,10 @@ def union_sources(
     mappings: Mapping[str, Mapping[str, str]] = MAPPINGS,
     canonicals: Mapping[str, int] = CANONICALS,
 ) -> DataFrame:
-    """Harmonized sources one below the other, with ``source`` filled."""
+    """Harmonized sources one below the other, with ``source`` filled; other tables are ignored."""
     parts = []
-    for name, table in tables.items():
-        labelled = table.withColumn("source", F.lit(name))
+    for name in [name for name in mappings if name in tables]:
+        labelled = tables[name].withColumn("source", F.lit(name))
         part = harmonize(labelled, mappings[name], canonicals)
         parts.append(part.withColumn("source", F.lit(name)) if "source" in canonicals else part)
     master = parts[0]

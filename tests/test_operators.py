@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from devigil.functions import temporal, text
 from devigil.functions.similarity import indel_ratio, indel_similarity
 from devigil.operators import geo, reports
-from devigil.operators.clusters import cluster_texts
+from devigil.operators.clusters import cluster_texts, linking_pairs, similar_pairs
 from devigil.operators.components import connected_components
 from devigil.operators.filters import build_filter, restrict_to, search
 from devigil.operators.forecast import fit, forecast, smooth
@@ -27,6 +27,7 @@ from devigil.operators.rewrites import (
     rewrite_edges,
 )
 from devigil.operators.sampling import sample_percent, sample_to_target
+from devigil.operators.vectors import tfidf
 from devigil.operators.series import monthly_counts, policies, split_holdout
 
 
@@ -376,6 +377,36 @@ def test_clusters_do_not_depend_on_order_and_collapse_copies(spark):
     assert labels == {r.id: r.cluster for r in second.collect()}
 
 
+@pytest.mark.parametrize("minimum", [0.6, 0.8, 0.95])
+def test_crowded_groups_are_connected_without_all_pairs(spark, minimum):
+    rng = random.Random(int(minimum * 100))
+    stems = ["acme pump set", "acme valve kit", "acme hip stem"]
+    texts = [
+        (i, " ".join(rng.choice(stems).split() + rng.sample(["blue", "red", "mini", "max"], 2)))
+        for i in range(60)
+    ]
+    df = spark.createDataFrame(texts, "id int, t string")
+    vectors = tfidf(df, "id", "t")
+    everything = similar_pairs(vectors, "id", minimum)
+    weights = {}
+    for r in vectors.collect():
+        weights.setdefault(r.id, {})[r.term] = r.weight
+    true = {
+        (a, b)
+        for a in weights
+        for b in weights
+        if a < b and sum(w * weights[b].get(t, 0) for t, w in weights[a].items()) >= minimum
+    }
+    assert {(r.a, r.b) for r in everything.collect()} == true
+
+    def components(pairs):
+        edges = pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        return {tuple(r) for r in connected_components(edges).collect()}
+
+    few = linking_pairs(vectors, "id", minimum, max_pairs_per_key=20)
+    assert components(few) == components(everything)
+
+
 # --- metrics ------------------------------------------------------------------------------------
 
 
