@@ -1,10 +1,11 @@
-"""Session settings, reliable checkpoints and scalar look-ups."""
+"""Session settings, reliable checkpoints and counted broadcasts."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -56,6 +57,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def scalar(df: DataFrame) -> Column:
-    """A one-row, one-column frame as a scalar subquery (no join, no driver round trip)."""
-    return df.scalar()
+def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Hint a broadcast for a materialised frame of short rows, only after counting them."""
+    return F.broadcast(df) if df.count() <= max_rows else df
