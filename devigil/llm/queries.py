@@ -3,18 +3,42 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from devigil.llm import language
+from devigil.llm import contamination, language, lines, near
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_benchmark_windows(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return contamination.scan(docs, table(spark, folder, "benchmark")).drop("text", "spans")
+
+
+def op3_line_spread(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = lines.remove_boilerplate(table(spark, folder, "documents"))
+    digest = F.sha2("text", 256).alias("kept_sha256")
+    return cleaned.select("doc_id", "n_lines", "n_removed", digest)
+
+
+def op4_minhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_duplicates(table(spark, folder, "documents"))
+
+
 def op10_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return language.predictions(table(spark, folder, "documents"))
 
 
-QUERIES = {"op10_language_mixture": op10_language_mixture}
+QUERIES = {
+    "op2_benchmark_windows": op2_benchmark_windows,
+    "op3_line_spread": op3_line_spread,
+    "op4_minhash_near_duplicates": op4_minhash_near_duplicates,
+    "op10_language_mixture": op10_language_mixture,
+}
 
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {
+    "op2_benchmark_windows": contamination.CHECK,
+    "op3_line_spread": lines.CHECK,
+}

@@ -55,9 +55,8 @@ def shingles(hashes: np.ndarray, first: np.ndarray, size: int = 5) -> tuple[np.n
     at = np.arange(bounds[-1]) - np.repeat(bounds[:-1] - first[:-1], each)
     length = np.repeat(np.minimum(counts, size), each)
     out = length.astype(np.uint64) * STEP
-    weight = np.uint64(1)
+    weights = mix(np.arange(1, size + 1, dtype=np.uint64)) | np.uint64(1)
     padded = np.append(hashes, np.zeros(size, np.uint64))
     for i in range(size):
-        weight = weight * STEP + np.uint64(2 * i + 1)
-        out += np.where(i < length, padded[at + i] * (weight | np.uint64(1)), np.uint64(0))
+        out += np.where(i < length, padded[at + i] * weights[i], np.uint64(0))
     return mix(out), bounds
