@@ -1,22 +1,61 @@
-"""The corpus pipeline: five stages from raw documents to a weighted mixture."""
+"""The corpus pipeline: five stages from raw documents to a weighted mixture.
+
+Every stage reads what the one before has written and keeps the columns of documents; the last adds
+how often each document is to be seen.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devigil.llm import language
+from devigil.llm import contamination, language, lines, mixing, near, queries
 from devigil.llm.shared import Landing
 
+OWN = "stage_"
+
 
 def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents in a language that the models know; the others go."""
+    """Documents in a language that the models know; those without letters or all noise go."""
     model = language.train(language.labelled(docs))
-    found = language.identify(docs, model)
-    return found.filter(language.accepted()).select(*docs.columns)
+    found = language.identify(docs, model, prefix=OWN)
+    return found.filter(language.accepted(prefix=OWN)).select(*docs.columns)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Cross-site boilerplate lines go; so does a document that had nothing else."""
+    cleaned = lines.remove_boilerplate(docs)
+    left = (F.col("n_removed") == 0) | (F.length(F.trim("text")) > 0)
+    renewed = cleaned.filter(left).withColumn("n_chars", F.length("text").cast("bigint"))
+    return renewed.select(*docs.columns)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near copies stays; rows without doc_id all stay."""
+    kept = near.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
+    single = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that contain passages of the benchmark go."""
+    found = contamination.scan(docs, queries.table(spark, folder, "benchmark"), prefix=OWN)
+    return found.filter(f"not {OWN}contaminated").select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Every document with its rate; those whose rate is 0 go."""
+    mixed = mixing.mix(docs, queries.labelled_domains(spark, docs, folder))
+    return mixed.filter("rate > 0")
 
 
-STAGES = [("language", language_stage)]
+STAGES = [
+    ("language", language_stage),
+    ("lines", line_stage),
+    ("near duplicates", near_stage),
+    ("benchmark", benchmark_stage),
+    ("mixing", mixing_stage),
+]
 
 #: Trained models and fitted rates have no SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
@@ -27,5 +66,5 @@ def run(spark: SparkSession, folder: str) -> DataFrame:
     store = Landing(spark, "pipeline")
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = store.land(stage(spark, docs, folder), name)
+        docs = store.land(stage(spark, docs, folder), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, folder)

@@ -20,7 +20,15 @@ from pyspark.sql import functions as F
 
 from devigil.llm.shared import partitions_of, total
 
-SPANS = "array<struct<first_char:bigint,end_char:bigint>>"
+RESULT = (
+    ("n_words", "bigint"),
+    ("n_hit", "bigint"),
+    ("n_items", "bigint"),
+    ("items_sha256", "string"),
+    ("contaminated", "boolean"),
+    ("spans", "array<struct<first_char:bigint,end_char:bigint>>"),
+)
+HIT, FOUND = "words hit so far", "items found so far"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Bytes: A-Z in lower case, bytes that separate words as spaces.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -33,43 +41,40 @@ class ContaminationParams:
 
     window: int = 13
     percent: int = 5
-    share_bytes: int = 32 << 20
+    share_bytes: int = 1 << 20
 
 
 def _words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(NORMAL).split()
 
 
-class Windows:
-    """The windows of some items; each worker builds their automaton once."""
-
-    def __init__(self, items: list[tuple[int, str]], size: int):
-        self.vocabulary: dict[bytes, int] = {}
-        self.items: dict[tuple, set] = {}
-        for item, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in _words(text)]
-            for i in range(max(1, len(ids) - size + 1) if ids else 0):
-                self.items.setdefault(tuple(ids[i : i + size]), set()).add(item)
-        self.automaton = None
-
-    def __getstate__(self):
-        return self.__dict__ | {"automaton": None}
-
-    def find(self, words: list[bytes]) -> tuple[np.ndarray, set]:
-        """Which words are hit, and the items whose windows occur."""
-        hit, found = np.zeros(len(words), bool), set()
-        if not self.items:
-            return hit, found
-        if self.automaton is None:
-            self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-            for window, items in self.items.items():
-                self.automaton.add_word(window, (len(window), items))
-            self.automaton.make_automaton()
-        known = self.vocabulary.get
-        for last, (length, items) in self.automaton.iter(tuple([known(w, 0) for w in words])):
-            hit[last - length + 1 : last + 1] = True
-            found |= items
+def windows(items: list[tuple[int, str]], size: int) -> dict:
+    """``vocabulary`` numbers the words of the items, ``items`` are the item ids of every window."""
+    vocabulary: dict[bytes, int] = {}
+    found: dict[tuple, set] = {}
+    for item, text in items:
+        ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in _words(text)]
+        for i in range(max(1, len(ids) - size + 1) if ids else 0):
+            found.setdefault(tuple(ids[i : i + size]), set()).add(item)
+    return {"vocabulary": vocabulary, "items": found}
+
+
+def find(held: dict, words: list[bytes]) -> tuple[np.ndarray, set]:
+    """Which words are hit, and the items whose windows occur. A worker builds the automaton once."""
+    hit, found = np.zeros(len(words), bool), set()
+    if not held["items"]:
         return hit, found
+    if "automaton" not in held:
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for window, items in held["items"].items():
+            automaton.add_word(window, (len(window), items))
+        automaton.make_automaton()
+        held["automaton"] = automaton
+    known = held["vocabulary"].get
+    for last, (length, items) in held["automaton"].iter(tuple([known(w, 0) for w in words])):
+        hit[last - length + 1 : last + 1] = True
+        found |= items
+    return hit, found
 
 
 def _runs(hit: np.ndarray) -> list[tuple[int, int]]:
@@ -77,52 +82,52 @@ def _runs(hit: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
-def scan(docs: DataFrame, items: DataFrame, params: ContaminationParams = ContaminationParams()) -> DataFrame:
-    """``docs`` with ``n_words, n_hit, n_items, items_sha256, contaminated, spans``.
+def scan(docs: DataFrame, items: DataFrame, params: ContaminationParams = ContaminationParams(), prefix: str = "") -> DataFrame:
+    """``docs`` with ``n_words, n_hit, n_items, items_sha256, contaminated, spans``, named with
+    ``prefix``; columns of the input with these names are replaced.
 
     ``items`` has ``item_id, text``. A null or empty text has no words, no hits and is clean; a null
     or empty item has no windows; equal items all count. ``items_sha256`` is the SHA-256 of the ids of
     the occurring items, as strings, sorted and joined with commas. ``spans`` are the characters of
     the original text, end excluded, of every run of hit words.
     """
-    added = "n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
-    clash = {c.lower() for c in docs.columns} & {"n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"}
-    if clash:
-        raise ValueError(f"rename these columns of the input first: {sorted(clash)}")
+    new = [prefix + name for name, _ in RESULT]
+    added = ", ".join(f"{prefix}{name} {kind}" for name, kind in RESULT)
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in [*new, HIT, FOUND]])
     spark = docs.sparkSession
     usable = items.filter("text is not null and item_id is not null").select("item_id", "text")
     shares = partitions_of(total(usable, F.octet_length("text")), params.share_bytes)
     size, percent, at = params.window, params.percent, docs.columns.index("text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    state, names = "hit binary, found array<bigint>", docs.columns
+    state, names = f"`{HIT}` binary, `{FOUND}` array<bigint>", docs.columns
     out = docs
     for share in range(shares):
         own = usable.filter(F.pmod(F.xxhash64("item_id"), F.lit(shares)) == share)
-        held = spark.sparkContext.broadcast(Windows([tuple(r) for r in own.collect()], size))
+        held = spark.sparkContext.broadcast(windows([tuple(r) for r in own.collect()], size))
 
         def search(batches, held=held, first=share == 0):
             for batch in batches:
                 hits, found = [], []
                 for i, text in enumerate(batch.column(at).to_pylist()):
-                    hit, seen = held.value.find(_words(text))
+                    hit, seen = find(held.value, _words(text))
                     if not first:
-                        hit |= np.frombuffer(batch.column("hit")[i].as_py(), bool)
-                        seen = seen | set(batch.column("found")[i].as_py())
+                        hit |= np.frombuffer(batch.column(HIT)[i].as_py(), bool)
+                        seen = seen | set(batch.column(FOUND)[i].as_py())
                     hits.append(hit.tobytes())
                     found.append(sorted(seen))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[: len(names)], pa.array(hits, pa.binary()), pa.array(found, pa.list_(pa.int64()))],
-                    names=[*names, "hit", "found"],
+                    names=[*names, HIT, FOUND],
                 )
 
         def judge(batches, held=held):
             for batch in batches:
                 rows: list[list] = [[] for _ in range(6)]
                 for i, text in enumerate(batch.column(at).to_pylist()):
-                    hit, seen = held.value.find(_words(text))
+                    hit, seen = find(held.value, _words(text))
                     if shares > 1:
-                        hit |= np.frombuffer(batch.column("hit")[i].as_py(), bool)
-                        seen = seen | set(batch.column("found")[i].as_py())
+                        hit |= np.frombuffer(batch.column(HIT)[i].as_py(), bool)
+                        seen = seen | set(batch.column(FOUND)[i].as_py())
                     n_hit, spans = int(hit.sum()), []
                     if n_hit:
                         places = [m.span() for m in WORD.finditer(text)]
@@ -140,13 +145,13 @@ def scan(docs: DataFrame, items: DataFrame, params: ContaminationParams = Contam
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), place]
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[: len(names)], *[pa.array(r, k) for r, k in zip(rows, kinds)]],
-                    names=[*names, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"],
+                    names=[*names, *new],
                 )
 
         if share < shares - 1:
             out = out.mapInArrow(search, f"{schema}, {state}")
         else:
-            out = out.mapInArrow(judge, f"{schema}, {added}, spans {SPANS}")
+            out = out.mapInArrow(judge, f"{schema}, {added}")
     return out
 
 

@@ -176,17 +176,17 @@ def mixtures(grams, starts, bounds, logp, params) -> tuple[np.ndarray, np.ndarra
 
 
 def identify(docs: DataFrame, model: dict, params: LanguageParams = LanguageParams(), text: str = "text",
-             keep: tuple[str, ...] | None = None) -> DataFrame:
-    """The rows of ``docs`` (columns ``keep``, all by default) with the columns of ``RESULT`` added.
+             keep: tuple[str, ...] | None = None, prefix: str = "") -> DataFrame:
+    """The rows of ``docs`` (columns ``keep``, all by default) with the columns of ``RESULT`` added,
+    named with ``prefix``; columns of the input with these names are replaced.
 
     A null text, or one without letters, is ``und`` with score 0. ``lang_pred`` is the language of
     the selected set with the largest share, on a tie the first by name; ``score`` is its share.
     Without any learned language every text is ``und``.
     """
-    names = list(docs.columns if keep is None else keep)
-    clash = {n.lower() for n in names} & {part.split()[0] for part in RESULT.split(", ")}
-    if clash:
-        raise ValueError(f"rename these columns of the input first: {sorted(clash)}")
+    added = ", ".join(prefix + part for part in RESULT.split(", "))
+    new = [part.split()[0] for part in added.split(", ")]
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
     held = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(*[F.col(f"`{n}`") for n in dict.fromkeys([*names, text])])
     at, kept = source.columns.index(text), len(names)
@@ -210,18 +210,16 @@ def identify(docs: DataFrame, model: dict, params: LanguageParams = LanguagePara
                     out[4].append(float(shares[-1, i]))
                     out[5].append(int(bounds[i + 1] - bounds[i]))
             kinds = [pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64()), pa.float64(), pa.int64()]
-            added = [pa.array(v, k) for v, k in zip(out, kinds)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:kept], *added],
-                names=[*names, "lang_pred", "score", "languages", "shares", "noise_share", "n_words"],
-            )
+            columns = [pa.array(v, k) for v, k in zip(out, kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *columns], names=[*names, *new])
 
-    return source.mapInArrow(label, f"{schema}, {RESULT}" if schema else RESULT)
+    return source.mapInArrow(label, f"{schema}, {added}" if schema else added)
 
 
-def accepted(params: LanguageParams = LanguageParams()):
+def accepted(params: LanguageParams = LanguageParams(), prefix: str = ""):
     """The condition for documents whose language is known."""
-    return (F.col("lang_pred") != UNDETERMINED) & (F.col("noise_share") <= params.most_noise)
+    known = F.col(f"{prefix}lang_pred") != UNDETERMINED
+    return known & (F.col(f"{prefix}noise_share") <= params.most_noise)
 
 
 def fold(count: int):

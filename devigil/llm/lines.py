@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from devigil.llm.shared import Landing
 
-KEY = ("text_a", "text_b")
-LINE = ("line_a", "line_b")
+# with blanks, so that no column of the input has these names
+KEY = ("hash a of text", "hash b of text")
+LINE = ("hash a of line", "hash b of line")
+GONE = "positions to take out"
 
 
 @dataclass(frozen=True)
@@ -79,20 +81,20 @@ def remove_boilerplate(docs: DataFrame, params: LineParams = LineParams()) -> Da
     store = Landing(docs.sparkSession, "lines")
     found = store.land(occurrences(docs, params), "occurrences")
     common = boilerplate(found, store, params)
-    gone = found.join(common, list(LINE)).groupBy(*KEY).agg(F.collect_set("pos").alias("gone"))
+    gone = found.join(common, list(LINE)).groupBy(*KEY).agg(F.collect_set("pos").alias(GONE))
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     a, b = _hashes(F.col("text"))
     keyed = docs.select(*names).withColumns({KEY[0]: a, KEY[1]: b})
     joined = keyed.join(gone, list(KEY), "left")
     lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda line, i: ~F.array_contains("gone", i))
-    cleaned = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    kept = F.filter(lines, lambda line, i: ~F.array_contains(F.col(GONE), i))
+    cleaned = F.when(F.col(GONE).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     count = F.coalesce(F.size(lines), F.lit(0))
     columns = [cleaned.alias(c) if c == "text" else F.col(f"`{c}`") for c in names]
     return joined.select(
         *columns,
         F.when(F.col("text").isNull(), 0).otherwise(count).cast("bigint").alias("n_lines"),
-        F.coalesce(F.when(F.col("gone").isNotNull(), F.size("gone")), F.lit(0)).cast("bigint").alias("n_removed"),
+        F.coalesce(F.when(F.col(GONE).isNotNull(), F.size(GONE)), F.lit(0)).cast("bigint").alias("n_removed"),
     )
 
 

@@ -5,13 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devigil.llm import contamination, language, lines, near
+from devigil.llm import contamination, language, lines, mixing, near, vectors
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def labelled_domains(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """``text, domain, key`` of the labelled documents among ``docs``."""
+    labels = table(spark, folder, "labels").select("doc_id", mixing.domain_of_labels().alias("domain"))
+    labels = labels.filter("domain is not null").dropDuplicates(["doc_id"])
+    return docs.join(labels, "doc_id").select("text", "domain", F.col("doc_id").alias("key"))
+
+
+def op1_soft_membership_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return mixing.mix(docs, labelled_domains(spark, docs, folder)).drop("text")
+
+
 def op2_benchmark_windows(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return contamination.scan(docs, table(spark, folder, "benchmark")).drop("text", "spans")
@@ -27,14 +39,20 @@ def op4_minhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_int8_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op10_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return language.predictions(table(spark, folder, "documents"))
 
 
 QUERIES = {
+    "op1_soft_membership_mix": op1_soft_membership_mix,
     "op2_benchmark_windows": op2_benchmark_windows,
     "op3_line_spread": op3_line_spread,
     "op4_minhash_near_duplicates": op4_minhash_near_duplicates,
+    "op6_int8_tiles": op6_int8_tiles,
     "op10_language_mixture": op10_language_mixture,
 }
 
