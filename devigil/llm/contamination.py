@@ -29,7 +29,8 @@ RESULT = (
     ("spans", "array<struct<first_char:bigint,end_char:bigint>>"),
 )
 HIT, FOUND = "words hit so far", "items found so far"
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Words before A-Z are put in lower case.
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Bytes: A-Z in lower case, bytes that separate words as spaces.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
