@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devigil.llm import contamination, language, lines, mixing, near, vectors
+from devigil.llm import contamination, language, lines, mixing, near, vectors, warc
+from devigil.llm.shared import Landing
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,6 +44,15 @@ def op6_int8_tiles(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(table(spark, folder, "embeddings"))
 
 
+def op8_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    store = Landing(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), f"{store.folder}/archives")
+    captures = warc.assemble(warc.read_records(spark, f"{store.folder}/archives", payloads=False))
+    captures = captures.withColumn("page_id", F.element_at("metadata.fields", "pageId").cast("bigint"))
+    captures = store.land(captures, "captures")
+    return warc.digest(captures)
+
+
 def op10_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return language.predictions(table(spark, folder, "documents"))
 
@@ -53,10 +63,12 @@ QUERIES = {
     "op3_line_spread": op3_line_spread,
     "op4_minhash_near_duplicates": op4_minhash_near_duplicates,
     "op6_int8_tiles": op6_int8_tiles,
+    "op8_warc_transactions": op8_warc_transactions,
     "op10_language_mixture": op10_language_mixture,
 }
 
 CHECKS: dict[str, str] = {
     "op2_benchmark_windows": contamination.CHECK,
     "op3_line_spread": lines.CHECK,
+    "op8_warc_transactions": warc.CHECK,
 }
