@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devigil.llm import contamination, language, lines, mixing, near, vectors, warc
+from devigil.llm import contamination, language, licences, lines, mixing, near, vectors, warc
 from devigil.llm.shared import Landing
 
 
@@ -40,6 +40,10 @@ def op4_minhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_licence_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.licences(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op6_int8_tiles(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(table(spark, folder, "embeddings"))
 
@@ -62,6 +66,7 @@ QUERIES = {
     "op2_benchmark_windows": op2_benchmark_windows,
     "op3_line_spread": op3_line_spread,
     "op4_minhash_near_duplicates": op4_minhash_near_duplicates,
+    "op5_licence_paragraphs": op5_licence_paragraphs,
     "op6_int8_tiles": op6_int8_tiles,
     "op8_warc_transactions": op8_warc_transactions,
     "op10_language_mixture": op10_language_mixture,
@@ -70,5 +75,6 @@ QUERIES = {
 CHECKS: dict[str, str] = {
     "op2_benchmark_windows": contamination.CHECK,
     "op3_line_spread": lines.CHECK,
+    "op5_licence_paragraphs": licences.CHECK,
     "op8_warc_transactions": warc.CHECK,
 }
