@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devigil.llm import contamination, language, licences, lines, mixing, near, vectors, warc
+from devigil.llm import contamination, language, licences, lines, mixing, near, toxicity, vectors, warc
 from devigil.llm.shared import Landing
 
 
@@ -48,6 +48,10 @@ def op6_int8_tiles(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(table(spark, folder, "embeddings"))
 
 
+def op7_nearest_toxic_examples(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op8_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
     store = Landing(spark, "warc")
     warc.write_archives(table(spark, folder, "pages"), f"{store.folder}/archives")
@@ -68,6 +72,7 @@ QUERIES = {
     "op4_minhash_near_duplicates": op4_minhash_near_duplicates,
     "op5_licence_paragraphs": op5_licence_paragraphs,
     "op6_int8_tiles": op6_int8_tiles,
+    "op7_nearest_toxic_examples": op7_nearest_toxic_examples,
     "op8_warc_transactions": op8_warc_transactions,
     "op10_language_mixture": op10_language_mixture,
 }
