@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devigil.llm import contamination, language, licences, lines, mixing, near, toxicity, vectors, warc
+from devigil.llm import contamination, language, licences, lines, mixing, near, suffixes, toxicity, vectors, warc
 from devigil.llm.shared import Landing
 
 
@@ -61,6 +61,10 @@ def op8_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
     return warc.digest(captures)
 
 
+def op9_suffix_levels(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, folder, "documents"), texts=False).drop("kept_text")
+
+
 def op10_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return language.predictions(table(spark, folder, "documents"))
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op6_int8_tiles": op6_int8_tiles,
     "op7_nearest_toxic_examples": op7_nearest_toxic_examples,
     "op8_warc_transactions": op8_warc_transactions,
+    "op9_suffix_levels": op9_suffix_levels,
     "op10_language_mixture": op10_language_mixture,
 }
 
