@@ -441,7 +441,8 @@ def remove_repeats(docs: DataFrame, params: SuffixParams = SuffixParams(), texts
     usable = rows.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WINDOW))
     n_ranges = partitions_of(total(usable, F.octet_length("text")), params.range_bytes)
     family = SuffixLevels(spark, n_ranges, params)
-    cuts = usable.approxQuantile("doc_id", [i / params.batches for i in range(1, params.batches)], 0.01)
+    shares = [i / params.batches for i in range(1, params.batches)]
+    cuts = usable.approxQuantile("doc_id", shares, 0.01) if shares else []
     edges = [None, *sorted(set(cuts)), None]
     for low, high in zip(edges, edges[1:]):
         own = usable

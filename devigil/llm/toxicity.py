@@ -89,7 +89,8 @@ def sample(docs: DataFrame, labels: DataFrame, params: ToxicityParams) -> tuple[
         share = F.when(F.col("toxic") == value, int(1e6 * min(1, params.examples / n))).otherwise(share)
     drawn = usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
     other = F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(4)) == 0
-    rows = docs.filter("text is not null").select("doc_id", "text").join(drawn, "doc_id")
+    # the drawn labels are bounded by ``examples``
+    rows = docs.filter("text is not null").select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
     return rows.select("doc_id", "text", F.col("toxic").cast("int"), other.alias("calibrates")), counts
 
 
