@@ -13,16 +13,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def labelled_domains(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """``text, domain, key`` of the labelled documents among ``docs``."""
-    labels = table(spark, folder, "labels").select("doc_id", mixing.domain_of_labels().alias("domain"))
-    labels = labels.filter("domain is not null").dropDuplicates(["doc_id"])
-    return docs.join(labels, "doc_id").select("text", "domain", F.col("doc_id").alias("key"))
+def domains(spark: SparkSession, folder: str) -> DataFrame:
+    """``doc_id, domain`` of the labels."""
+    found = table(spark, folder, "labels").select("doc_id", mixing.domain_of_labels().alias("domain"))
+    return found.filter("doc_id is not null and domain is not null")
 
 
 def op1_soft_membership_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return mixing.mix(docs, labelled_domains(spark, docs, folder)).drop("text")
+    return mixing.mix(docs, domains(spark, folder)).drop("text")
 
 
 def op2_benchmark_windows(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,7 +54,9 @@ def op7_nearest_toxic_examples(spark: SparkSession, folder: str) -> DataFrame:
 def op8_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
     store = Landing(spark, "warc")
     warc.write_archives(table(spark, folder, "pages"), f"{store.folder}/archives")
-    captures = warc.assemble(warc.read_records(spark, f"{store.folder}/archives", payloads=False))
+    # landed, so that the archives are read once for all record types
+    records = store.land(warc.read_records(spark, f"{store.folder}/archives", payloads=False), "records")
+    captures = warc.assemble(records)
     captures = captures.withColumn("page_id", F.element_at("metadata.fields", "pageId").cast("bigint"))
     captures = store.land(captures, "captures")
     return warc.digest(captures)
