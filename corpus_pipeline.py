@@ -45,7 +45,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Every document with its rate; those whose rate is 0 go."""
-    mixed = mixing.mix(docs, queries.labelled_domains(spark, docs, folder))
+    mixed = mixing.mix(docs, queries.domains(spark, folder))
     return mixed.filter("rate > 0")
 
 

@@ -67,22 +67,26 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def train(labelled: DataFrame, params: MixParams = MixParams()) -> dict:
-    """A multinomial logistic regression on hashed words from ``text, domain, key`` of labelled rows.
+def train(docs: DataFrame, labels: DataFrame, params: MixParams = MixParams()) -> dict:
+    """A multinomial logistic regression on hashed words of the ``doc_id, text`` whose ``domain`` is in
+    ``labels`` (``doc_id, domain``; the first by name if there are several).
 
-    Only the drawn sample reaches the driver. Its classes are balanced; the shares of all labelled
-    rows enter as priors. Domains that have no labelled rows get posterior 0; without any labelled
-    rows all domains are equally likely.
+    Only the drawn sample reaches the driver. Its classes are balanced; the shares of all labels enter
+    as priors. Domains without labelled texts get posterior 0; without any all domains are equally
+    likely.
     """
     domains = sorted(params.targets)
-    rows = labelled.filter(F.col("domain").isin(domains)).filter("text is not null")
+    rows = labels.filter(F.col("domain").isin(domains)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
     counts = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
+    even = {"domains": domains, "weights": np.zeros((1 << BITS, len(domains)), np.float32), "bias": np.zeros(len(domains))}
     if not counts:
-        return {"domains": domains, "weights": np.zeros((1 << BITS, len(domains)), np.float32), "bias": np.zeros(len(domains))}
+        return even
     share = F.lit(0)
     for name, n in counts.items():
         share = F.when(F.col("domain") == name, int(1e6 * min(1, params.train_rows / n))).otherwise(share)
-    drawn = rows.filter(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < share)
+    drawn = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
+    # the drawn labels are bounded by ``train_rows`` for each domain, so they go to the texts
+    labelled = docs.filter("text is not null").select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
 
     def encode(batches):
         for batch in batches:
@@ -97,12 +101,14 @@ def train(labelled: DataFrame, params: MixParams = MixParams()) -> dict:
                     names=["domain", "buckets", "weights"],
                 )
 
-    sample = drawn.select("domain", "text").mapInArrow(encode, "domain string, buckets binary, weights binary").collect()
+    sample = labelled.select("domain", "text").mapInArrow(encode, "domain string, buckets binary, weights binary").collect()
     buckets = [np.frombuffer(r["buckets"], np.int32) for r in sample]
     text = np.repeat(np.arange(len(sample)), [len(b) for b in buckets])
     bucket = np.concatenate([np.zeros(0, np.int32), *buckets])
     weight = np.concatenate([np.zeros(0, np.float32), *[np.frombuffer(r["weights"], np.float32) for r in sample]])
-    known = [d for d in domains if d in counts]
+    known = [d for d in domains if any(r["domain"] == d for r in sample)]
+    if not known:
+        return even
     truth = np.array([known.index(r["domain"]) for r in sample])
     onehot = np.eye(len(known))[truth]
     coef, bias = np.zeros((1 << BITS, len(known))), np.zeros(len(known))
@@ -166,46 +172,47 @@ def _posterior(column: pa.Array, width: int) -> np.ndarray:
 def fit_rates(rows: DataFrame, domains: list[str], params: MixParams = MixParams()) -> list[np.ndarray]:
     """The steps whose replay gives the rates; ``rows`` has ``n_tokens, posterior``.
 
-    The residuals are weighted by the inverse second moments of the posteriors, so a step is exact
-    where no rate is cut at 0. Without tokens there are no steps and all rates are 1.
+    A step is weighted by the inverse second moments of the posteriors of the documents whose rate is
+    not 0, so it is exact unless rates are cut at 0 by it. The best steps so far are returned if the
+    targets are not reached. Without tokens there are no steps and all rates are 1.
     """
     width = len(domains)
 
-    def sums(batches, steps, moments):
-        for batch in batches:
-            tokens = batch.column(0).to_numpy(zero_copy_only=False).astype(float)
-            posterior = _posterior(batch.column(1), width)
-            if moments:
-                found = (posterior * tokens[:, None]).T @ posterior
-                found = np.append(found.ravel(), tokens.sum())
-            else:
-                found = (tokens * replay(posterior, steps)) @ posterior
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(found))), pa.array(found)], names=["i", "x"])
-
-    def gathered(steps, moments=False):
-        part = rows.select("n_tokens", "posterior").mapInArrow(
-            lambda batches: sums(batches, steps, moments), "i bigint, x double"
-        )
+    def gathered(steps):
+        def sums(batches):
+            for batch in batches:
+                tokens = batch.column(0).to_numpy(zero_copy_only=False).astype(float)
+                posterior = _posterior(batch.column(1), width)
+                rate = replay(posterior, steps)
+                active = posterior * (tokens * (rate > 0))[:, None]
+                found = [(tokens * rate) @ posterior, (active.T @ posterior).ravel(), [tokens.sum()]]
+                found = np.concatenate(found)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(found))), pa.array(found)], names=["i", "x"])
+
+        part = rows.select("n_tokens", "posterior").mapInArrow(sums, "i bigint, x double")
         found = dict(part.groupBy("i").agg(F.sum("x")).collect())
-        return np.array([found.get(i, 0.0) for i in range(width * width + 1 if moments else width)])
+        out = np.array([found.get(i, 0.0) for i in range(width + width * width + 1)])
+        return out[:width], out[width:-1].reshape(width, width), out[-1]
 
-    first = gathered([], moments=True)
-    whole = first[-1]
-    if whole <= 0:
-        return []
-    inverse = np.linalg.pinv(first[:-1].reshape(width, width) / whole, rcond=1e-6)
     goal = np.array([params.targets[d] for d in domains], float)
-    goal *= (whole if params.tokens is None else params.tokens) / goal.sum() / whole
+    goal /= goal.sum()
     steps: list[np.ndarray] = []
+    best: tuple[float, list] = (np.inf, [])
     for _ in range(params.rounds):
-        residual = gathered(steps) / whole - goal
-        if np.abs(residual).max() <= params.tolerance * goal.sum():
+        tokens, moments, whole = gathered(steps)
+        if whole <= 0:
+            return []
+        scale = 1.0 if params.tokens is None else params.tokens / whole
+        residual = tokens / whole - goal * scale
+        worst = float(np.abs(residual).max())
+        best = min(best, (worst, list(steps)), key=lambda b: b[0])
+        if worst <= params.tolerance * scale:
             break
-        steps.append(inverse @ residual)
-    return steps
+        steps.append(np.linalg.pinv(moments / whole, rcond=1e-6) @ residual)
+    return best[1]
 
 
-def mix(docs: DataFrame, labelled: DataFrame, params: MixParams = MixParams()) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     """``docs`` with ``n_tokens, posterior, rate, copies``.
 
     ``rate`` is how often a document is to be seen on average. ``copies`` is the whole number of times:
@@ -213,7 +220,7 @@ def mix(docs: DataFrame, labelled: DataFrame, params: MixParams = MixParams()) -
     of these names in the input are replaced. A null or empty text has no tokens, the posterior of the
     priors, and the rate that follows from it. Equal rows get equal rates.
     """
-    model = train(labelled, params)
+    model = train(docs, labels, params)
     store = Landing(docs.sparkSession, "mixing")
     domains = model["domains"]
     keep = tuple(c for c in docs.columns if c.lower() not in ("rate", "copies"))
