@@ -6,38 +6,24 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import (
-    IDF,
-    PCA,
-    CountVectorizer,
-    ElementwiseProduct,
-    Normalizer,
-    OneHotEncoder,
-    RegexTokenizer,
-    StringIndexer,
-    VectorAssembler,
-)
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSizeHint
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devigil.functions.text import TOKEN_PATTERN, number_or_zero
+from devigil.functions.text import number_or_zero
+from devigil.operators.text_components import TextComponents, fit_components
 
 MISSING = "__missing__"
 
 
 @dataclass(frozen=True)
 class FeatureSpec:
-    """What goes into a feature vector.
-
-    ``vocabulary`` bounds the text features: PCA builds a vocabulary-square matrix on the driver.
-    """
+    """What goes into a feature vector; of the text at most ``components`` principal components."""
 
     categorical: Sequence[str] = ()
     text: str | None = None
     numeric: Sequence[str] = ()
     components: int = 500
-    vocabulary: int = 4096
     output: str = "features"
 
 
@@ -59,55 +45,52 @@ def one_hot_stages(columns: Sequence[str]) -> list:
     ]
 
 
-def _fit(stages: list, df: DataFrame) -> tuple[list, DataFrame]:
-    fitted = []
-    for stage in stages:
-        model = stage.fit(df) if hasattr(stage, "fit") else stage
-        df = model.transform(df)
-        fitted.append(model)
-    return fitted, df
+@dataclass
+class FeatureModel:
+    """Fitted features: one-hot models, text components and the assembler, applied in that order."""
 
+    spec: FeatureSpec
+    encoder: PipelineModel
+    text: TextComponents | None
+    assembler: PipelineModel
 
-def fit_text(df: DataFrame, text: str, vocabulary: int, output: str) -> tuple[list, DataFrame]:
-    """TF-IDF of unit length. Spark's inverse frequency lacks the added one, so it is put back."""
-    tokenizer = RegexTokenizer(
-        inputCol=text, outputCol=f"{text}_tokens", pattern=TOKEN_PATTERN, gaps=False
-    )
-    counter = CountVectorizer(
-        inputCol=f"{text}_tokens", outputCol=f"{text}_counts", vocabSize=vocabulary
-    )
-    stages, counted = _fit([tokenizer, counter], df)
-    inverse = IDF(inputCol=f"{text}_counts", outputCol=f"{text}_idf").fit(counted)
-    scale = ElementwiseProduct(
-        inputCol=f"{text}_counts",
-        outputCol=f"{text}_scaled",
-        scalingVec=Vectors.dense(inverse.idf.toArray() + 1.0),
-    )
-    unit = Normalizer(inputCol=f"{text}_scaled", outputCol=output)
-    rest, out = _fit([scale, unit], counted)
-    return stages + rest, out
+    def transform(self, df: DataFrame) -> DataFrame:
+        df = self.encoder.transform(df)
+        if self.text:
+            df = self.text.transform(df, self.spec.text, f"{self.spec.text}_pca")
+        return self.assembler.transform(df)
+
+    def save(self, path: str) -> None:
+        self.encoder.write().overwrite().save(f"{path}/encoder")
+        self.assembler.write().overwrite().save(f"{path}/assembler")
+        if self.text:
+            self.text.save(f"{path}/text")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, spec: FeatureSpec) -> FeatureModel:
+        text = TextComponents.load(spark, f"{path}/text") if spec.text else None
+        parts = [PipelineModel.load(f"{path}/{part}") for part in ("encoder", "assembler")]
+        return cls(spec, parts[0], text, parts[1])
 
 
-def fit_features(df: DataFrame, spec: FeatureSpec) -> tuple[PipelineModel, DataFrame]:
-    """The fitted feature pipeline and the transformed rows, for rows from ``prepare``."""
-    fitted, inputs = [], []
+def fit_features(df: DataFrame, spec: FeatureSpec) -> tuple[FeatureModel, DataFrame]:
+    """The fitted feature model and the transformed rows, for rows from ``prepare``."""
+    fitted, inputs, text, ready = [], [], None, df
     if spec.categorical:
-        models, df = _fit(one_hot_stages(spec.categorical), df)
-        fitted += models
+        for stage in one_hot_stages(spec.categorical):
+            fitted.append(stage.fit(ready))
+            ready = fitted[-1].transform(ready)
         inputs += [f"{c}_onehot" for c in spec.categorical]
     if spec.text:
-        models, df = fit_text(df, spec.text, spec.vocabulary, f"{spec.text}_tfidf")
-        fitted += models
-        size = len(next(m for m in models if hasattr(m, "vocabulary")).vocabulary)
-        components = min(spec.components, size, df.count())
-        models, df = _fit(
-            [PCA(k=components, inputCol=f"{spec.text}_tfidf", outputCol=f"{spec.text}_pca")], df
-        )
-        fitted += models
+        text = fit_components(df, spec.text, spec.components)
         inputs.append(f"{spec.text}_pca")
     inputs += list(spec.numeric)
-    assembler = VectorAssembler(inputCols=inputs, outputCol=spec.output)
-    return PipelineModel([*fitted, assembler]), assembler.transform(df)
+    last = [VectorAssembler(inputCols=inputs, outputCol=spec.output)]
+    if text:  # the assembler would look at a row to learn the length
+        last.insert(0, VectorSizeHint(inputCol=f"{spec.text}_pca", size=text.size))
+    assembler = PipelineModel(last)
+    model = FeatureModel(spec, PipelineModel(fitted), text, assembler)
+    return model, model.transform(df)
 
 
 def ordinal_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -107,11 +108,48 @@ MAPPINGS = {
         "openfda_medical_specialty_description": "medical_specialty_description",
     },
 }
-EVENT_TYPES = ("death", "injury", "malfunction", "other", "no answer provided", "recall")
+EVENT_TYPES = (
+    "death",
+    "injury",
+    "malfunction",
+    "other",
+    "no answer provided",
+    "not provided",
+    "recall",
+)
 CLASS_VALUES = ("1", "2", "3", "u", "n", "f")
+SPECIALTIES = (
+    "Anesthesiology",
+    "Cardiovascular",
+    "Clinical Chemistry",
+    "Dental",
+    "Ear, Nose, Throat",
+    "Gastroenterology, Urology",
+    "General Hospital",
+    "Hematology",
+    "Immunology",
+    "Medical Genetics",
+    "Microbiology",
+    "Neurology",
+    "Obstetrics/Gynecology",
+    "Ophthalmic",
+    "Orthopedic",
+    "Pathology",
+    "Physical Medicine",
+    "Radiology",
+    "General, Plastic Surgery",
+    "Clinical Toxicology",
+)
 # --- end of fixed values ------------------------------------------------------------------------
 
-PIVOTS = {"event_type": EVENT_TYPES, "device_class": CLASS_VALUES}
+PIVOTS = {
+    "event_type": EVENT_TYPES,
+    "device_class": CLASS_VALUES,
+    # values as the clean-up leaves them
+    "medical_specialty_description": tuple(
+        re.sub("[^a-z0-9]+", " ", name.lower()) for name in SPECIALTIES
+    ),
+}
 
 
 def fold_event_type(c: Column) -> Column:
@@ -157,30 +195,36 @@ def union_sources(
     return master
 
 
-def distinct_values(df: DataFrame, column: str) -> list[str]:
-    """The values of an enumerated column, for callers that cannot declare them."""
-    rows = df.select(column).dropna().distinct().orderBy(column).collect()
-    return [row[0] for row in rows]
-
-
 def one_hot(
-    df: DataFrame, pivots: Mapping[str, Sequence[str] | None], prefix: bool = False
+    df: DataFrame, pivots: Mapping[str, Sequence[str]], prefix: bool = False
 ) -> DataFrame:
-    """A 0/1 column per value of each pivot column, without a shuffle; NULL gives all zeros.
+    """A 0/1 column per declared value of each pivot column, without a shuffle; NULL gives all zeros.
 
-    ``None`` instead of values looks them up first, which costs one pass over the data.
+    ``<column>_undeclared`` marks values outside the declared ones. Open domains, whose values nobody
+    can declare, are for ``one_hot_rows``.
     """
     added = {}
     for column, values in pivots.items():
-        for value in distinct_values(df, column) if values is None else values:
+        for value in values:
             name = f"{column}_{value}" if prefix else value
             added[name] = F.coalesce((F.col(column) == value).cast("int"), F.lit(0))
+        outside = F.col(column).isNotNull() & ~F.col(column).isin(*values)
+        added[f"{column}_undeclared"] = outside.cast("int")
     return df.withColumns(added)
 
 
+def one_hot_rows(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """``key, column, value`` for every value that is not NULL: the ones of an open one-hot table."""
+    entries = [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
+    ]
+    stacked = df.select(key, F.explode(F.array(*entries)).alias("e"))
+    return stacked.select(key, "e.column", "e.value").filter("value is not null")
+
+
 def integrate(
     tables: Mapping[str, DataFrame],
-    pivots: Mapping[str, Sequence[str] | None] = PIVOTS,
+    pivots: Mapping[str, Sequence[str]] = PIVOTS,
     mappings: Mapping[str, Mapping[str, str]] = MAPPINGS,
     canonicals: Mapping[str, int] = CANONICALS,
 ) -> DataFrame:

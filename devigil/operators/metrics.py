@@ -20,16 +20,21 @@ def _counts(label: Column, prediction: Column) -> dict[str, Column]:
     }
 
 
+def _share(part: Column, whole: Column) -> Column:
+    """A ratio that is 0 where there is nothing to divide by."""
+    return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
+
+
 def _f1(tp: Column, fp: Column, fn: Column) -> Column:
     whole = 2 * tp + fp + fn
     return F.when(whole == 0, F.lit(0.0)).otherwise(2 * tp / whole)
 
 
 def binary_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """``accuracy, f1`` in one pass."""
+    """``accuracy, f1`` in one pass; both are 0 without rows."""
     c = _counts(F.col(label), F.col(prediction))
     return df.agg(
-        (c["correct"] / c["n"]).alias("accuracy"), _f1(c["tp"], c["fp"], c["fn"]).alias("f1")
+        _share(c["correct"], c["n"]).alias("accuracy"), _f1(c["tp"], c["fp"], c["fn"]).alias("f1")
     )
 
 
@@ -40,7 +45,7 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
     )
     totals = counts.groupBy("label").agg(F.sum("n").alias("total"))
     return counts.join(totals, "label").select(
-        "label", "prediction", "n", (F.col("n") / F.col("total")).alias("share")
+        "label", "prediction", "n", _share(F.col("n"), F.col("total")).alias("share")
     )
 
 
@@ -58,14 +63,17 @@ def flatten_labels(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataF
 
 
 def multilabel_metrics(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """``target, accuracy, f1, support, weighted_f1``; F1 weighted by the positives of a target."""
+    """``target, accuracy, f1, support, weighted_f1``; F1 weighted by the positives of a target.
+
+    Shares are 0 where there are no rows, and ``weighted_f1`` where no target has a positive.
+    """
     out = []
     for name, (label, prediction) in pairs.items():
         c = _counts(F.col(label), F.col(prediction))
         out.append(
             F.struct(
                 F.lit(name).alias("target"),
-                (c["correct"] / c["n"]).alias("accuracy"),
+                _share(c["correct"], c["n"]).alias("accuracy"),
                 _f1(c["tp"], c["fp"], c["fn"]).alias("f1"),
                 (c["tp"] + c["fn"]).alias("support"),
             )
@@ -77,5 +85,5 @@ def multilabel_metrics(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> D
     )
     support = reduce(lambda a, b: a + b, [F.col("targets")[i]["support"] for i in range(len(out))])
     return rows.select(
-        F.explode("targets").alias("t"), (weighted / support).alias("weighted_f1")
+        F.explode("targets").alias("t"), _share(weighted, support).alias("weighted_f1")
     ).select("t.*", "weighted_f1")

@@ -14,7 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devigil.functions.text import company_key
-from devigil.operators.features import FeatureSpec, fit_features, fit_text, prepare, split_by_hash
+from devigil.operators.features import (
+    FeatureModel,
+    FeatureSpec,
+    fit_features,
+    prepare,
+    split_by_hash,
+)
 from devigil.operators.harmonize import approval_flags, join_events
 from devigil.operators.metrics import binary_metrics, multilabel_metrics
 from devigil.session import cut_lineage
@@ -169,21 +175,45 @@ def booster(label: str, features: str, rounds: int = ROUNDS, suffix: str = "") -
     return trees.setProbabilityCol(f"probability{suffix}").setRawPredictionCol(f"raw{suffix}")
 
 
+@dataclass
+class Scorer:
+    """Fitted features and the classifiers over them."""
+
+    features: FeatureModel
+    classifiers: PipelineModel
+
+    @property
+    def stages(self) -> list:
+        return self.classifiers.stages
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.classifiers.transform(self.features.transform(df))
+
+    def save(self, path: str) -> None:
+        self.features.save(f"{path}/features")
+        self.classifiers.write().overwrite().save(f"{path}/classifiers")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, spec: FeatureSpec) -> Scorer:
+        features = FeatureModel.load(spark, f"{path}/features", spec)
+        return cls(features, PipelineModel.load(f"{path}/classifiers"))
+
+
 @dataclass
 class Trained:
-    """A fitted pipeline, its held-out predictions and the metrics over them."""
+    """A fitted model, its held-out predictions and the metrics over them."""
 
-    model: PipelineModel
+    model: Scorer
     predictions: DataFrame
     metrics: DataFrame
 
     def save(self, path: str) -> None:
-        self.model.write().overwrite().save(f"{path}/model")
+        self.model.save(f"{path}/model")
         self.metrics.write.mode("overwrite").parquet(f"{path}/metrics")
 
 
-def load(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
-    return PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/metrics")
+def load(spark: SparkSession, path: str, spec: FeatureSpec) -> tuple[Scorer, DataFrame]:
+    return Scorer.load(spark, f"{path}/model", spec), spark.read.parquet(f"{path}/metrics")
 
 
 def train_binary(
@@ -201,12 +231,12 @@ def train_binary(
     inputs = [*spec.categorical, *spec.numeric, *([spec.text] if spec.text else [])]
     source = cut_lineage(prepare(df, spec).select(key, label, *inputs))
     features, rows = fit_features(source, spec)
-    rows = rows.select(key, F.col(label).cast("double").alias(label), spec.output).persist()
+    rows = cut_lineage(rows.select(key, F.col(label).cast("double").alias(label), spec.output))
     train, test = split_by_hash(rows, key, train_share, SEED)
     model = (estimator or booster(label, spec.output)).fit(train)
     predictions = model.transform(test)
     return Trained(
-        PipelineModel([features, model]),
+        Scorer(features, PipelineModel([model])),
         predictions,
         binary_metrics(predictions, label, "prediction"),
     )
@@ -218,9 +248,9 @@ def train_multilabel(
     """One booster per 0/1 target column over the same, once computed, features."""
     source = cut_lineage(prepare(df, spec))
     features, rows = fit_features(source, spec)
-    rows = rows.select(
-        key, *[F.col(f"`{t}`").cast("double").alias(t) for t in targets], spec.output
-    ).persist()
+    rows = cut_lineage(
+        rows.select(key, *[F.col(f"`{t}`").cast("double").alias(t) for t in targets], spec.output)
+    )
     train, test = split_by_hash(rows, key, 0.8, SEED)
     models, predictions = [], test
     for target in targets:
@@ -229,7 +259,7 @@ def train_multilabel(
         models.append(model)
     pairs = {t: (t, f"prediction_{t}") for t in targets}
     return Trained(
-        PipelineModel([features, *models]), predictions, multilabel_metrics(predictions, pairs)
+        Scorer(features, PipelineModel(models)), predictions, multilabel_metrics(predictions, pairs)
     )
 
 
@@ -241,14 +271,14 @@ def positive(probability: str = "probability") -> Column:
     return vector_to_array(F.col(probability))[1]
 
 
-def score_devices(model: PipelineModel, features: DataFrame, spec: FeatureSpec) -> DataFrame:
+def score_devices(model: Scorer, features: DataFrame, spec: FeatureSpec) -> DataFrame:
     """``device_name, recall_probability`` for all devices at once: the worst case over their rows."""
     scored = model.transform(prepare(features, spec))
     return scored.groupBy(spec.text).agg(F.max(positive()).alias("recall_probability"))
 
 
 def score_event_types(
-    model: PipelineModel, devices: DataFrame, targets: Sequence[str], spec: FeatureSpec
+    model: Scorer, devices: DataFrame, targets: Sequence[str], spec: FeatureSpec
 ) -> DataFrame:
     """The probability of every event type and the likeliest one, per distinct device name."""
     names = prepare(devices, spec).select(spec.text).distinct()
@@ -283,14 +313,16 @@ def cluster_number(n: int, most: int = 1000) -> int:
 
 
 def kmeans_names(
-    names: DataFrame, column: str, k: int | None = None, vocabulary: int = 4096, seed: int = 52
-) -> tuple[PipelineModel, DataFrame]:
-    """Clusters of distinct names over TF-IDF; ``transform`` of the model labels other frames."""
-    distinct = prepare(names.select(column), FeatureSpec(text=column)).distinct().persist()
-    stages, rows = fit_text(distinct, column, vocabulary, "name_vector")
-    k = k or cluster_number(distinct.count())
-    model = kmeans(rows, "name_vector", k, seed)
-    return PipelineModel([*stages, model]), model.transform(rows)
+    names: DataFrame, column: str, k: int | None = None, components: int = 500, seed: int = 52
+) -> tuple[Scorer, DataFrame]:
+    """Clusters of distinct names over the components of their TF-IDF; ``transform`` of the model
+    labels other frames."""
+    spec = FeatureSpec(text=column, components=components, output="name_vector")
+    distinct = cut_lineage(prepare(names.select(column), spec).distinct())
+    features, rows = fit_features(distinct, spec)
+    rows = cut_lineage(rows.select(column, spec.output))
+    model = kmeans(rows, spec.output, k or cluster_number(distinct.count()), seed)
+    return Scorer(features, PipelineModel([model])), model.transform(rows)
 
 
 def kmeans(rows: DataFrame, features: str, k: int = 10, seed: int = 52) -> KMeansModel:

@@ -264,6 +264,10 @@ def _integrated_sql() -> str:
         for column, values in PIVOTS.items()
         for value in values
     )
+    flags += "".join(
+        f", CASE WHEN {column} NOT IN {values} THEN 1 ELSE 0 END AS {column}_undeclared"
+        for column, values in PIVOTS.items()
+    )
     union = " UNION ALL ".join(parts)
     return f"united AS ({union}), integrated AS (SELECT *, {flags} FROM united)"
 

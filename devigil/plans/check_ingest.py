@@ -272,12 +272,26 @@ def _(t):
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
-@query("smp1_sampled_lines")
+SHARE_SQL = "('0x' || substr(sha256('{seed}:' || {key}), 1, 8))::BIGINT / 4294967296.0"
+LINE_SHARE = SHARE_SQL.format(seed=200, key="(l_orderkey || '|' || l_linenumber)")
+
+
+@query(
+    "smp1_sampled_lines",
+    f"""SELECT * FROM lineitem WHERE {LINE_SHARE} <
+  (SELECT round(least(100.0, greatest(0.01, 5000.0 / count(*) * 100)), 2) FROM lineitem) / 100""",
+)
 def _(t):
-    return sample_to_target(t.lineitem, t.lineitem.count(), 5000)
+    return sample_to_target(t.lineitem, t.lineitem.count(), ("l_orderkey", "l_linenumber"), 5000)
 
 
-@query("smp2_sampled_orders_with_lines")
+@query(
+    "smp2_sampled_orders_with_lines",
+    f"""WITH o AS (SELECT o_orderkey AS key FROM orders
+  WHERE {SHARE_SQL.format(seed=12345, key="o_orderkey")} < 0.1)
+SELECT key, 'order' AS kind FROM o UNION ALL
+SELECT l_orderkey, 'line' FROM lineitem WHERE l_orderkey IN (SELECT key FROM o)""",
+)
 def _(t):
     orders, lines = sample_with_children(
         t.orders.withColumnRenamed("o_orderkey", "key"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from devigil.operators import marts
-from devigil.operators.harmonize import display_types, one_hot
+from devigil.operators.harmonize import display_types, one_hot, one_hot_rows, union_sources
 from devigil.operators.reports import (
     count_by,
     distinct_union,
@@ -86,6 +86,48 @@ def _(t):
     return flags.groupBy("user_id").agg(*[F.sum(v).alias(v) for v in values])
 
 
+THREE_PIVOTS = {
+    "event_type": ("death", "injury", "not provided"),
+    "device_class": ("1", "2"),
+    "medical_specialty_description": ("1 urgent", "2 high", "3 medium"),
+}
+_PIVOT_SUMS = ", ".join(
+    [
+        f"CAST(sum(CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END) AS BIGINT) AS \"{c}_{v}\""
+        for c, values in THREE_PIVOTS.items()
+        for v in values
+    ]
+    + [
+        f"CAST(sum(CASE WHEN {c} NOT IN {values} THEN 1 ELSE 0 END) AS BIGINT) AS {c}_undeclared"
+        for c, values in THREE_PIVOTS.items()
+    ]
+)
+
+
+@query(
+    "agg5_three_pivots",
+    f"{B.INTEGRATED_SQL} SELECT source, {_PIVOT_SUMS} FROM united GROUP BY source",
+)
+def _(t):
+    flags = one_hot(union_sources(B.sources(t)), THREE_PIVOTS, prefix=True)
+    names = [f"{c}_{v}" for c, values in THREE_PIVOTS.items() for v in values]
+    names += [f"{c}_undeclared" for c in THREE_PIVOTS]
+    return flags.groupBy("source").agg(*[F.sum(f"`{n}`").alias(n) for n in names])
+
+
+@query(
+    "agg5_open_domains",
+    f"""{B.INTEGRATED_SQL}, long AS (
+  SELECT source, 'event_type' AS "column", event_type AS value FROM united UNION ALL
+  SELECT source, 'medical_specialty_description', medical_specialty_description FROM united)
+SELECT source, "column", value, count(*) AS n FROM long WHERE value IS NOT NULL GROUP BY ALL""",
+)
+def _(t):
+    columns = ("event_type", "medical_specialty_description")
+    long = one_hot_rows(union_sources(B.sources(t)), "source", columns)
+    return long.groupBy("source", "column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("agg1_device_mart", f"{B.INTEGRATED_SQL}, {DEVICE_SQL} SELECT * FROM device_mart")
 def _(t):
     return marts.device_mart(B.integrated(t))
@@ -172,7 +214,6 @@ def _(t):
     + " SELECT * EXCLUDE (event_date) FROM united WHERE source IN ('submission', 'pma_submission')",
 )
 def _(t):
-    from devigil.operators.harmonize import union_sources
 
     tables = {name: B.sources(t)[name] for name in ("pma_submission", "submission")}
     return union_sources(tables).drop("event_date")

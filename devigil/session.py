@@ -1,9 +1,7 @@
-"""Session settings, reliable checkpoints and counted broadcasts."""
+"""Session settings, reliable checkpoints and measured broadcasts."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +12,8 @@ RECOMMENDED_CONF = {
     # hot join keys: AQE splits the oversized shuffle partition
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files go once nothing refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -37,17 +37,12 @@ def local_session(app: str = "devigil", cores: int | str = 8, **extra: str) -> S
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; a cluster must name one,
-    because executors could not read each other's machine-local files.
+    Without that setting it is a folder of the warehouse, which executors share as well.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        if configured is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            configured = tempfile.mkdtemp(prefix="devigil-checkpoint-")
-        sc.setCheckpointDir(configured)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return sc.getCheckpointDir()
 
 
@@ -57,6 +52,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast for a materialised frame of short rows, only after counting them."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = 16 << 20) -> DataFrame:
+    """Hint a broadcast for a materialised frame, only after measuring what its rows hold."""
+    held = F.octet_length(F.to_json(F.struct(*df.columns)))
+    size = df.agg(F.coalesce(F.sum(held), F.lit(0)).alias("bytes")).first()["bytes"]
+    return F.broadcast(df) if size <= max_bytes else df

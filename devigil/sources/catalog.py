@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from devigil.operators.features import hash_share
 from devigil.operators.quality import Split
 
 
@@ -54,7 +55,8 @@ def write_sampled_catalog(
     """A sampled copy of several tables below ``root``; the originals stay as they are.
 
     ``parents`` maps a child table to (parent table, key): such a child keeps exactly the rows
-    whose parent was drawn, read back from the parent's written sample.
+    whose parent was drawn, read back from the parent's written sample. The others are drawn by a
+    hash of the row, so equal rows are drawn together and a second run draws the same ones.
     """
     parents = parents or {}
     order: Sequence[str] = sorted(tables, key=lambda name: name in parents)
@@ -65,7 +67,8 @@ def write_sampled_catalog(
             drawn = spark.read.parquet(f"{root}/{parent}").select(key)
             rows = tables[name].join(drawn, key, "left_semi")
         else:
-            rows = tables[name].sample(fraction, seed)
+            whole = F.to_json(F.struct(*tables[name].columns))
+            rows = tables[name].filter(hash_share(whole, seed) < fraction)
         rows.write.mode("overwrite").parquet(f"{root}/{name}")
 
 

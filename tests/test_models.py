@@ -1,8 +1,14 @@
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from devigil.operators import models as M
-from devigil.operators.features import FeatureSpec, fit_features, prepare, split_by_hash
+from devigil.operators.features import FeatureSpec, prepare, split_by_hash
+from devigil.operators.text_components import fit_components
+from devigil.operators.metrics import binary_metrics, multilabel_metrics
+from devigil.operators.sampling import sample_percent_column
 from devigil.operators.vectors import tfidf
 
 SPEC = FeatureSpec(
@@ -30,7 +36,7 @@ def test_binary_model_learns_saves_and_scores(spark, facts, tmp_path):
     metrics = trained.metrics.first()
     assert metrics.accuracy > 0.9 and metrics.f1 > 0.9
     trained.save(str(tmp_path))
-    model, stored = M.load(spark, str(tmp_path))
+    model, stored = M.load(spark, str(tmp_path), SPEC)
     assert stored.first() == metrics
     scores = M.score_devices(model, facts, SPEC).collect()
     by_name = {r.device_name: r.recall_probability for r in scores}
@@ -58,20 +64,49 @@ def test_missing_categories_are_their_own_and_numbers_default_to_zero(facts):
     assert rows[0].event_type == "__missing__" and rows[1].num_events == 3.0
 
 
-def test_ml_vectors_equal_the_tfidf_rows(facts):
-    names = facts.select("device_name").distinct()
-    spec = FeatureSpec(text="device_name", components=2)
-    _, rows = fit_features(prepare(names, spec), spec)
-    expected = {
-        (r.device_name, round(r.weight, 9))
-        for r in tfidf(names, "device_name", "device_name").collect()
-    }
-    got = {
-        (r.device_name, round(float(v), 9))
-        for r in rows.collect()
-        for v in r.device_name_tfidf.values
-    }
-    assert got == expected
+def products(rows):
+    """Centered inner products of sparse rows ``{key: {term: weight}}``, by pairs of keys."""
+    terms = sorted({t for v in rows.values() for t in v})
+    dense = np.array([[v.get(t, 0.0) for t in terms] for v in rows.values()])
+    dense -= dense.mean(0)
+    return dict(zip([(a, b) for a in rows for b in rows], (dense @ dense.T).ravel()))
+
+
+def test_components_keep_the_products_of_all_terms(spark):
+    # more than 10,000 distinct terms, each in one text only but for two
+    rng = random.Random(1)
+    texts = [f"shared{i % 2} " + " ".join(f"t{i}x{j}" for j in range(rng.randrange(250, 270))) for i in range(42)]
+    df = spark.createDataFrame([(t,) for t in texts], "name string")
+    model = fit_components(df, "name", 500)
+    assert model.idf.count() > 10_000 and model.loadings.count() == model.idf.count()
+    weights = {}
+    for r in tfidf(df, "name", "name").collect():
+        weights.setdefault(r.name, {})[r.term] = r.weight
+    scores = {r.text: np.array(r.score) for r in model.scores(df, "name").collect()}
+    center = np.mean(list(scores.values()), axis=0)
+    assert np.allclose(center, model.center) and model.size == 41
+    for (a, b), product in products(weights).items():
+        assert abs((scores[a] - center) @ (scores[b] - center) - product) < 1e-6
+    # a rare term alone decides what is near
+    rare = spark.createDataFrame([("t7x3",), ("nothing known",)], "name string")
+    found = {r.name: r.v.toArray() for r in model.transform(rare, "name", "v").collect()}
+    near = max(scores, key=lambda t: found["t7x3"] @ (scores[t] - center))
+    assert near == texts[7] and np.allclose(found["nothing known"], -np.array(model.center))
+
+
+def test_few_components_are_the_principal_ones(spark):
+    rng = random.Random(2)
+    texts = [" ".join(f"w{int(rng.paretovariate(1))}" for _ in range(12)) for _ in range(80)]
+    df = spark.createDataFrame([(t,) for t in texts], "name string")
+    model = fit_components(df, "name", 3)
+    rows = {r.name: {} for r in df.collect()}
+    for r in tfidf(df.distinct(), "name", "name").collect():
+        rows[r.name][r.term] = r.weight
+    terms = sorted({t for v in rows.values() for t in v})
+    dense = np.array([[v.get(t, 0.0) for t in terms] for v in rows.values()])
+    exact = np.linalg.svd(dense - dense.mean(0), compute_uv=False)[:3]
+    score = np.array([r.score for r in model.scores(df, "name").collect()])
+    assert np.allclose(np.sqrt(((score - score.mean(0)) ** 2).sum(0)), exact, rtol=0.05)
 
 
 def test_hash_split_ignores_partitioning(facts):
@@ -110,3 +145,12 @@ def test_kmeans_labels_both_sides(facts):
     again = model.transform(facts.select("device_name")).distinct()
     assert {r.device_name: r.cluster for r in again.collect()} == both
     assert "reduced_component_y" in M.project_2d(labelled, "name_vector").columns
+
+
+def test_metrics_without_rows_or_positives(spark):
+    none = spark.createDataFrame([], "y double, p double")
+    assert binary_metrics(none, "y", "p").collect() == [(0.0, 0.0)]
+    negative = spark.createDataFrame([(0.0, 0.0), (0.0, 1.0)], "y double, p double")
+    assert multilabel_metrics(negative, {"t": ("y", "p")}).collect() == [("t", 0.5, 0.0, 0, 0.0)]
+    assert multilabel_metrics(none, {"t": ("y", "p")}).collect() == [("t", 0.0, 0.0, 0, 0.0)]
+    assert none.agg(sample_percent_column(F.count(F.lit(1)))).first()[0] == 100.0

@@ -133,9 +133,9 @@ def test_sample_percent_and_repeatability(spark):
     assert sample_percent(1_000_000) == 50.0
     assert sample_percent(10) == 100.0 and sample_percent(10**12) == 0.01
     df = spark.range(10_000)
-    first, second = (sample_to_target(df, 10_000, 1000) for _ in range(2))
+    first, second = (sample_to_target(df, 10_000, ["id"], 1000) for _ in range(2))
     assert 800 < first.count() < 1200 and first.exceptAll(second).isEmpty()
-    assert sample_to_target(df, 10_000, 20_000) is df
+    assert sample_to_target(df, 10_000, ["id"], 20_000) is df
 
 
 # --- series and forecasts -----------------------------------------------------------------------
