@@ -33,6 +33,7 @@ def devices_of_lines(t: Tables) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", "death")
         .when(F.col("l_returnflag") == "A", "injury (in)")
         .when(F.col("l_linestatus") == "O", "malfunction")
+        .when(F.col("l_tax") == 0, "not provided")
         .otherwise("other")
     )
     makers = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
@@ -167,7 +168,8 @@ devices_a AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS event_id, p_name AS openfda_device_name,
     p_brand AS brand_name, p_type AS generic_name,
     CASE WHEN l_returnflag = 'R' THEN 'death' WHEN l_returnflag = 'A' THEN 'injury (in)'
-      WHEN l_linestatus = 'O' THEN 'malfunction' ELSE 'other' END AS event_type,
+      WHEN l_linestatus = 'O' THEN 'malfunction' WHEN l_tax = 0 THEN 'not provided'
+      ELSE 'other' END AS event_type,
     CAST(l_shipdate AS DATE) AS date_of_event,
     l_returnflag || ',' || l_linestatus AS remedial_action, s_name AS manufacturer_d_name,
     CAST(s_suppkey AS VARCHAR) || ' Main St.' AS manufacturer_d_address_1,

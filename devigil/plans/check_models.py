@@ -19,14 +19,8 @@ from devigil.plans import bindings as B
 from devigil.plans.check_pages import _classes, _event_side, recall_training_rows
 from devigil.plans.registry import Tables, query
 
-TARGETS = ("death", "injury", "malfunction", "other")
-RECALL = FeatureSpec(
-    categorical=M.RECALL_FEATURES.categorical,
-    text=M.RECALL_FEATURES.text,
-    numeric=M.RECALL_FEATURES.numeric,
-    components=50,
-)
-EVENT = FeatureSpec(text="device_name", components=50)
+TARGETS = ("death", "injury", "malfunction", "not provided", "other")
+RECALL, EVENT = M.RECALL_FEATURES, M.EVENT_FEATURES
 
 
 def _keyed(df):
@@ -34,16 +28,7 @@ def _keyed(df):
 
 
 def _training_rows(t):
-    rows = recall_training_rows(t).drop("recall")
-    # parts with a high price stand for recalled devices, so that both classes occur
-    prices = t.part.groupBy(F.upper("p_name").alias("device_name")).agg(
-        F.avg("p_retailprice").alias("price")
-    )
-    average = t.part.agg(F.avg("p_retailprice").alias("p")).scalar()
-    labelled = rows.join(prices, "device_name").withColumn(
-        "recall", (F.col("price") > average).cast("int")
-    )
-    return _keyed(labelled.drop("price"))
+    return _keyed(recall_training_rows(t))
 
 
 @cache
@@ -70,7 +55,7 @@ def _event_model(application: str, folder: str, spark):
         .alias("event_type"),
     )
     flags = one_hot(named, {"event_type": TARGETS})
-    return M.train_multilabel(_keyed(flags), TARGETS, "row_key", EVENT, rounds=10)
+    return M.train_multilabel(_keyed(flags), TARGETS, "row_key", EVENT)
 
 
 def event_model(t):
@@ -128,12 +113,30 @@ def _names_of(part):
     return part.select(F.lower(F.concat_ws(" ", "p_name", "p_brand", "p_type")).alias("name"))
 
 
-@query("ml4_text_components")
+NAME_VECTORS_SQL = r"""
+names AS (SELECT DISTINCT lower(concat_ws(' ', p_name, p_brand, p_type)) AS name FROM part),
+tokens AS (SELECT name, unnest(regexp_extract_all(name, '[\p{L}\p{N}_]{2,}')) AS term FROM names),
+counts AS (SELECT name, term, count(*) AS tf FROM tokens GROUP BY 1, 2),
+raw AS (SELECT name, term, tf * (ln((1 + (SELECT count(*) FROM names)) /
+    (1 + count(*) OVER (PARTITION BY term))) + 1) AS w FROM counts),
+unit AS (SELECT name, term, w / sqrt(sum(w * w) OVER (PARTITION BY name)) AS w FROM raw),
+center AS (SELECT term, sum(w) / (SELECT count(*) FROM names) AS m FROM unit GROUP BY 1)
+"""
+
+
+@query(
+    "ml4_text_components",
+    f"""WITH {NAME_VECTORS_SQL}
+SELECT name, round(sum(w * w) - 2 * sum(w * m) + (SELECT sum(m * m) FROM center), 6) AS square
+FROM unit JOIN center USING (term) GROUP BY name""",
+)
 def _(t):
-    spec = FeatureSpec(text="name", components=8)
-    rows = prepare(_names_of(t.part).distinct(), spec)
-    components = fit_features(rows, spec)[1].select("name", vector_to_array("name_pca").alias("c"))
-    return components.select("name", F.posexplode("c").alias("component", "value"))
+    """Squared distances from the center: all components together keep what the terms have."""
+    rows = prepare(_names_of(t.part).distinct(), FeatureSpec(text="name"))
+    components = fit_features(rows, FeatureSpec(text="name"))[1]
+    vector = vector_to_array("name_pca")
+    square = F.aggregate(vector, F.lit(0.0), lambda a, x: a + x * x)
+    return components.select("name", F.round(square, 6).alias("square"))
 
 
 @query("er6_kmeans_names")
@@ -149,9 +152,7 @@ def _(t):
 
 @query("er6_kmeans_recall_features")
 def _(t):
-    spec = FeatureSpec(
-        text="device_name", numeric=("num_events", "pma_approval"), components=10
-    )
+    spec = FeatureSpec(text="device_name", numeric=("num_events", "pma_approval"))
     rows = fit_features(prepare(_training_rows(t), spec), spec)[1]
     model = M.kmeans(rows, spec.output, k=10)
     return model.transform(rows).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))

@@ -354,32 +354,64 @@ def _event_side(t):
     )
 
 
+SEGMENT_TYPE_SQL = """CASE o_orderpriority WHEN '1-URGENT' THEN 'death' WHEN '2-HIGH' THEN 'injury'
+    WHEN '3-MEDIUM' THEN 'malfunction' WHEN '5-LOW' THEN 'not provided' ELSE 'other' END"""
+
 FEATURES_SQL = f"""
 facts AS (SELECT DISTINCT manufacturer_d_name, event_type, brand_name, openfda_regulation_number,
-    generic_name, openfda_device_name FROM devices_a WHERE event_type IS NOT NULL),
+    generic_name, openfda_device_name FROM devices_a WHERE event_type IS NOT NULL
+  UNION SELECT c_name, {SEGMENT_TYPE_SQL}, n_name, CAST(c_nationkey AS VARCHAR), o_orderstatus,
+    c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey
+    JOIN nation ON c_nationkey = n_nationkey),
 keyed AS (SELECT {company_sql('openfda_device_name')} AS key, event_type FROM facts),
-recalled AS (SELECT key, sum(n) AS recall_count FROM (
-    SELECT {company_sql('p_name')} AS key, count(*) AS n FROM lineitem JOIN part
-      ON l_partkey = p_partkey WHERE l_discount > 0.09 AND l_tax > 0.07 AND l_quantity > 49
-    GROUP BY p_name) GROUP BY 1),
+recalled AS (SELECT {company_sql('openfda_device_name')} AS key, count(*) AS recall_count
+  FROM recalls_a GROUP BY 1),
+known AS (SELECT upper(device_name) AS device_name, product_code, device_class, regulation_number,
+    submission_type_id FROM classes UNION ALL
+  SELECT DISTINCT c_mktsegment, 'S' || substr(c_mktsegment, 1, 1), CAST(c_nationkey % 3 + 1 AS VARCHAR),
+    CAST(c_nationkey AS VARCHAR), CAST(c_nationkey % 2 + 1 AS VARCHAR) FROM customer),
 features AS (
-  SELECT upper(device_name) AS device_name, product_code, event_type, device_class,
+  SELECT device_name, product_code, event_type, device_class,
     regulation_number, CASE WHEN submission_type_id = '2' THEN 1 ELSE 0 END AS pma_approval,
     CASE WHEN submission_type_id = '1' THEN 1 ELSE 0 END AS "510k_approval",
     CASE WHEN coalesce(recall_count, 0) > 0 THEN 1 ELSE 0 END AS recall, count(*) AS num_events
-  FROM keyed k LEFT JOIN classes c ON k.key = {company_sql('device_name')}
+  FROM keyed k LEFT JOIN known c ON k.key = {company_sql('device_name')}
     LEFT JOIN recalled r ON k.key = r.key
   WHERE k.key <> '' AND device_name IS NOT NULL GROUP BY ALL)
 """
 
 
-def recall_training_rows(t):
-    recalls = (
-        t.lineitem.filter("l_discount > 0.09 and l_tax > 0.07 and l_quantity > 49")
-        .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-        .select(F.col("p_name").alias("openfda_device_name"))
+def _segment_side(t):
+    """Devices that recalls name: one event per order, about the segment of its customer."""
+    customers = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    kind = (
+        F.when(F.col("o_orderpriority") == "1-URGENT", "death")
+        .when(F.col("o_orderpriority") == "2-HIGH", "injury")
+        .when(F.col("o_orderpriority") == "3-MEDIUM", "malfunction")
+        .when(F.col("o_orderpriority") == "5-LOW", "not provided")
+        .otherwise("other")
+    )
+    return t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("c_name").alias("manufacturer_d_name"),
+        kind.alias("event_type"),
+        F.col("n_name").alias("device_report_product_code"),
+        F.col("c_nationkey").cast("string").alias("openfda_regulation_number"),
+        F.col("o_orderstatus").alias("model_number"),
+        F.col("c_mktsegment").alias("openfda_device_name"),
     )
-    return recall_features(event_facts(*_event_side(t)), _classes(t), recalls)
+
+
+def recall_training_rows(t):
+    """Facts about parts and about market segments; recalls of all orders name the segments."""
+    facts = event_facts(*_event_side(t)).unionByName(_segment_side(t)).distinct()
+    segments = t.customer.select(
+        F.col("c_mktsegment").alias("device_name"),
+        F.concat(F.lit("S"), F.substring("c_mktsegment", 1, 1)).alias("product_code"),
+        (F.col("c_nationkey") % 3 + 1).cast("string").alias("device_class"),
+        F.col("c_nationkey").cast("string").alias("regulation_number"),
+        (F.col("c_nationkey") % 2 + 1).cast("string").alias("submission_type_id"),
+    ).distinct()
+    return recall_features(facts, _classes(t).unionByName(segments), B.recalls_of_orders(t))
 
 
 @query(
