@@ -269,22 +269,18 @@ class SuffixLevels:
         self.store.drop(*[name for _, name, _ in self.levels])
 
 
-PACKED = "range bigint, heads binary, data binary, doc_id bigint, text_hash bigint, first bigint, last bigint"
+PACKED = "range bigint, heads binary, data binary"
 
 
-def _covered(doc, text, first, last) -> pa.RecordBatch:
-    n = len(doc)
-    return pa.RecordBatch.from_arrays(
-        [pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
-         *(pa.array(np.asarray(x, np.int64)) for x in (doc, text, first, last))],
-        names=[part.split()[0] for part in PACKED.split(", ")],
-    )
+def _packed(ranges, heads, data) -> pa.RecordBatch:
+    columns = [pa.array(ranges, pa.int64()), pa.array(heads, pa.binary()), pa.array(data, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["range", "heads", "data"])
 
 
 def segments(docs: DataFrame, n_ranges: int, params: SuffixParams) -> DataFrame:
     """From ``doc_id, text_hash, text, keys`` the runs of windows with one of the keys, packed by
-    range. Of equal runs in a chunk only those of the smallest doc_id are sent; the others are covered
-    and come out as ``doc_id, text_hash, first, last`` at once."""
+    range. Of equal runs in a chunk only those of the smallest doc_id are sent; the others are known to
+    be covered, and a row without heads has their ``doc_id, text_hash, first, last``."""
 
     def cut(batches):
         for batch, at, end, data, offsets in _chunked(batches, 2, 1 << 19):
@@ -307,7 +303,8 @@ def segments(docs: DataFrame, n_ranges: int, params: SuffixParams) -> DataFrame:
             smallest = doc_[group][np.cumsum(group) - 1]
             over = order[doc_ > smallest]
             local = start[over] - offsets[text[over]]
-            yield _covered(doc[over], hashes[text[over]], local, local + n[over] - 1 + WINDOW)
+            known_ = np.stack([doc[over], hashes[text[over]], local, local + n[over] - 1 + WINDOW])
+            yield _packed([int(ids[0]) % n_ranges], [None], [known_.astype(np.int64).tobytes()])
             sent = order[doc_ == smallest]
             place = _ranges(key[sent], n_ranges)
             sent = sent[np.argsort(place, kind="stable")]
@@ -321,11 +318,7 @@ def segments(docs: DataFrame, n_ranges: int, params: SuffixParams) -> DataFrame:
                 size = n[sent[a:b]] - 1 + WINDOW
                 begin = np.repeat(start[sent[a:b]] - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
                 rows[2].append(data[begin + np.arange(len(begin))].tobytes())
-            none = pa.nulls(len(rows[0]), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.binary()), none, none, none, none],
-                names=[part.split()[0] for part in PACKED.split(", ")],
-            )
+            yield _packed(*rows)
 
     return docs.mapInArrow(cut, PACKED)
 
@@ -368,19 +361,24 @@ def covered(packed: DataFrame) -> DataFrame:
             own = heads[run[a]]
             return own["doc"], own["text"], own["start"] + place[a], own["start"] + place[b] + WINDOW
 
-        names = ["doc_id", "text_hash", "first", "last"]
+        def batch_of(columns) -> pa.RecordBatch:
+            names = ["doc_id", "text_hash", "first", "last"]
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in columns], names=names)
+
         for batch in batches:
             for where, heads, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if heads is None:
+                    yield batch_of(np.frombuffer(data, np.int64).reshape(4, -1))
+                    continue
                 if where != now and held:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in done()], names=names)
+                    yield batch_of(done())
                     held.clear()
                 now = where
                 held.append((heads, data))
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in done()], names=names)
+            yield batch_of(done())
 
-    rows = packed.filter("range is not null").select("range", "heads", "data")
-    rows = rows.repartition("range").sortWithinPartitions("range")
+    rows = packed.repartition("range").sortWithinPartitions("range")
     return rows.mapInArrow(compare, "doc_id bigint, text_hash bigint, first bigint, last bigint")
 
 
@@ -451,14 +449,11 @@ def remove_repeats(docs: DataFrame, params: SuffixParams = SuffixParams(), texts
         family.add(own)
     keys = family.pairs().groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
     keyed = usable.withColumn("text_hash", F.xxhash64("text")).join(keys, "doc_id")
-    packed = store.land(segments(keyed.select("doc_id", "text_hash", "text", "keys"), n_ranges, params), "segments")
     family.drop()
-    found = covered(packed).unionByName(
-        packed.filter("range is null").select("doc_id", "text_hash", "first", "last")
-    )
+    found = covered(segments(keyed.select("doc_id", "text_hash", "text", "keys"), n_ranges, params))
     spans = found.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     spans = store.land(spans, "spans")
-    store.drop("segments")
+    family.store.drop(*[f"own-{i}" for i in range(family.count)])
     hashed = rows.withColumn("text_hash", F.xxhash64("text"))
     out = _cut_out(hashed.join(spans, ["doc_id", "text_hash"], "left"), texts)
     return out
