@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 SEASON = 12
 HORIZON = 24
 HOLDOUT = 0.1
+SERIES_PER_TASK = 50
 ACTUAL, HELD_OUT, FORECAST = "Actual", "Held-Out Forecast", "Forecast"
 
 # Smoothing parameters tried first, and how the grid closes in on the best ones.
@@ -138,5 +139,6 @@ def forecast(
     if not keys:
         return series.groupBy().applyInPandas(one_series, schema)
     # a fit is much work on few bytes, so the rows must not be packed into few tasks by size
-    spread = series.repartition(2 * series.sparkSession.sparkContext.defaultParallelism, *keys)
+    n = series.select(*keys).distinct().count()
+    spread = series.repartition(max(1, -(-n // SERIES_PER_TASK)), *keys)
     return spread.groupBy(*keys).applyInPandas(one_series, schema)

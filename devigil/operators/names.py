@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from devigil.functions.similarity import indel_ratio, levenshtein_ratio, sorted_tokens
 from devigil.functions.text import company_key
+from devigil.operators.blocks import blocked_join
 from devigil.operators.vectors import char_grams, tfidf
 from devigil.session import cut_lineage
 
 THRESHOLD = 0.95
 MAX_PAIRS_PER_KEY = 10_000
 MAX_LEVELS = 4
+PAIRS_PER_TASK = 20_000
 
 
 def distinct_names(df: DataFrame, column: str) -> DataFrame:
@@ -95,12 +97,13 @@ def _crowded(left: DataFrame, right: DataFrame, limit: int) -> DataFrame:
     return nl.join(nr, "k").filter(F.col("nl") * F.col("nr") > limit).select("k")
 
 
-def _close(left: DataFrame, right: DataFrame) -> DataFrame:
+def _close(left: DataFrame, right: DataFrame, crowded: bool = False) -> DataFrame:
     """Pairs under a common key within the allowed edits (a substitution counts once here)."""
     a = left.select(F.col("name").alias("a"), "k", "d")
     b = right.select(F.col("name").alias("b"), "k")
     within = F.expr("levenshtein(a, b, d) >= 0")
-    return a.join(b, "k").filter(within).select("a", "b").distinct()
+    met = blocked_join(a, b, "k") if crowded else a.join(b, "k")
+    return met.filter(within).select("a", "b").distinct()
 
 
 def candidate_pairs(
@@ -108,22 +111,25 @@ def candidate_pairs(
     right: DataFrame,
     threshold: float = THRESHOLD,
     max_pairs_per_key: int = MAX_PAIRS_PER_KEY,
+    levels: int = MAX_LEVELS,
 ) -> DataFrame:
     """``a, b`` of ``name`` frames: a superset of the pairs with indel ratio >= ``threshold``.
 
     Names meet under an exactly equal piece, never all with all. A key that is too crowded is not
-    joined but refined by a further piece of the remaining text, which loses no pair either.
+    joined but refined by a further piece of the remaining text, which loses no pair either; after the
+    last level it is joined block by block.
     """
     lefts = _split(_with_partner_lengths(left, threshold, True), True)
     rights = _split(_with_partner_lengths(right, threshold, False), False)
     found = None
-    for level in range(1, MAX_LEVELS + 1):
+    for level in range(1, levels + 1):
         lefts, rights = cut_lineage(lefts), cut_lineage(rights)
         crowded = cut_lineage(_crowded(lefts, rights, max_pairs_per_key))
-        last = level == MAX_LEVELS or crowded.isEmpty()
+        over = crowded.isEmpty()
+        last = level == levels or over
         calm_l = lefts if last else lefts.join(crowded, "k", "left_anti")
         calm_r = rights if last else rights.join(crowded, "k", "left_anti")
-        pairs = _close(calm_l, calm_r)
+        pairs = _close(calm_l, calm_r, crowded=last and not over)
         found = pairs if found is None else found.unionByName(pairs)
         if last:
             break
@@ -144,7 +150,8 @@ def fuzzy_join(
         distinct_names(left, left_column), distinct_names(right, right_column), threshold
     )
     # the exact ratio is much work on few bytes, so the pairs must not be packed by size
-    spread = pairs.repartition(2 * pairs.sparkSession.sparkContext.defaultParallelism)
+    pairs = cut_lineage(pairs)
+    spread = pairs.repartition(max(1, -(-pairs.count() // PAIRS_PER_TASK)))
     return spread.withColumn("score", indel_ratio(F.col("a"), F.col("b"))).filter(
         F.col("score") >= threshold
     )

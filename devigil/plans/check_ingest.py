@@ -17,9 +17,25 @@ from devigil.operators.sampling import (
     sample_with_children,
 )
 from devigil.plans.registry import query
-from devigil.sources.exports import explode_child, route, surrogate_key, wanted_name
-from devigil.sources.reference_files import medical_specialties
-from devigil.sources.schemas import MEDICAL_SPECIALTIES
+from devigil.sources.exports import (
+    FILE,
+    POSITION,
+    explode_child,
+    flatten,
+    load_flat,
+    records_of_lines,
+    records_of_text,
+    route,
+    surrogate_key,
+    wanted_name,
+)
+from devigil.sources.reference_files import (
+    RULES_DDL,
+    flatten_rules,
+    gazetteer_of_text,
+    medical_specialties,
+)
+from devigil.sources.schemas import MEDICAL_SPECIALTIES, TableSpec, flat_record
 
 # --- routing and reading ------------------------------------------------------------------------
 
@@ -42,22 +58,149 @@ def _(t):
     )
 
 
+#: Orders as exported records: a date in either spelling, one bad date, a status out of its domain.
+ORDER_SPEC = TableSpec(
+    "orders",
+    """o_orderkey bigint, placed date, total double, priority varchar(8), status string,
+    flags array<string>, openfda_device_class string, absent string""",
+    "order_id",
+    "o_orderkey",
+    unique=("o_orderkey",),
+    domains={"status": ("f", "o")},
+    renamed={"placed": "date_placed"},
+)
+
+
+def _order_files(t):
+    """``source_file, text``: an envelope with the orders of each customer, some of them twice."""
+    flags = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sort_array(F.collect_list("l_returnflag")).alias("flags")
+    )
+    day = F.date_format("o_orderdate", "yyyyMMdd")
+    record = F.struct(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.when(F.col("o_orderkey") % 11 == 0, "20241301")
+        .when(F.col("o_orderkey") % 2 == 0, day)
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .alias("date_placed"),
+        F.when(F.col("o_orderkey") % 13 == 0, "NULL")
+        .when(F.col("o_orderkey") % 17 == 0, "many")
+        .otherwise(F.round("o_totalprice", 2).cast("string"))
+        .alias("total"),
+        F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderstatus").alias("status"),
+        "flags",
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit(None))
+        .otherwise(F.struct(F.col("o_orderstatus").alias("device_class")))
+        .alias("openfda"),
+    )
+    orders = t.orders.join(flags, "o_orderkey", "left")
+    twice = F.when(F.col("o_orderkey") % 19 == 0, F.array(record, record)).otherwise(F.array(record))
+    files = orders.groupBy("o_custkey").agg(F.flatten(F.sort_array(F.collect_list(twice))).alias("results"))
+    return files.select(
+        F.col("o_custkey").cast("string").alias(FILE), F.to_json(F.struct("results")).alias("text")
+    )
+
+
+ORDER_RULES_SQL = """
+flags AS (SELECT l_orderkey, list_sort(list(l_returnflag)) AS flags FROM lineitem GROUP BY 1),
+raw AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS placed,
+    CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 THEN NULL ELSE round(o_totalprice, 2) END AS total,
+    lower(o_orderpriority) AS priority, lower(o_orderstatus) AS status, flags,
+    CASE WHEN o_orderkey % 3 <> 0 THEN lower(o_orderstatus) END AS openfda_device_class,
+    list_filter(['too long: priority', 'bad date: placed', 'bad double: total', 'outside domain: status'],
+      lambda r: (r = 'bad date: placed' AND o_orderkey % 11 = 0)
+        OR (r = 'bad double: total' AND o_orderkey % 17 = 0 AND o_orderkey % 13 <> 0)
+        OR (r = 'too long: priority' AND length(o_orderpriority) > 8)
+        OR (r = 'outside domain: status' AND o_orderstatus NOT IN ('F', 'O'))) AS reasons
+  FROM orders LEFT JOIN flags ON l_orderkey = o_orderkey),
+copies AS (SELECT raw.*, unnest(range(CASE WHEN o_orderkey % 19 = 0 THEN 2 ELSE 1 END)) AS n FROM raw)
+"""
+
+
 @query(
     "ing3_ing4_nested_json",
-    """SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
-  json_extract_string(props, '$.absent') AS absent,
-  json_extract_string(props, '$.openfda.device_class') AS openfda_device_class
-FROM events""",
+    f"""WITH {ORDER_RULES_SQL} SELECT o_orderkey, placed, total, priority, status,
+  array_to_string(flags, ',') AS flags, openfda_device_class, CAST(NULL AS VARCHAR) AS absent
+FROM copies WHERE len(reasons) = 0 AND n = 0""",
+)
+def _(t):
+    records = records_of_text(_order_files(t), "text", flat_record(ORDER_SPEC))
+    accepted = load_flat(records, ORDER_SPEC).accepted
+    names = [c.name for c in ORDER_SPEC.columns]
+    return accepted.select(*names).withColumn("flags", F.array_join("flags", ","))
+
+
+@query(
+    "ing3_lines_layout",
+    """SELECT lower(o_orderstatus) AS status, count(*) AS records, count(DISTINCT o_orderkey) AS orders,
+  CAST(count(*) AS BIGINT) AS positions FROM (
+    SELECT *, unnest(range(CASE WHEN o_orderkey % 19 = 0 THEN 2 ELSE 1 END)) FROM orders) GROUP BY 1""",
+)
+def _(t):
+    lines = _order_files(t).select(
+        FILE, F.explode(F.from_json("text", "results array<string>")["results"]).alias("line")
+    )
+    records = records_of_lines(lines, "line", flat_record(ORDER_SPEC))
+    rows = records.select(FILE, POSITION, *flatten(ORDER_SPEC))
+    return rows.groupBy("status").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_distinct("o_orderkey").alias("orders"),
+        F.count_distinct(FILE, POSITION).alias("positions"),
+    )
+
+
+@query(
+    "ing8_typed_load_rejects",
+    f"""WITH {ORDER_RULES_SQL}, told AS (
+  SELECT CASE WHEN len(reasons) > 0 THEN array_to_string(list_sort(reasons), '; ')
+    WHEN n > 0 THEN 'duplicate o_orderkey' ELSE '' END AS reasons FROM copies)
+SELECT reasons, count(*) AS row_count FROM told GROUP BY 1""",
+)
+def _(t):
+    records = records_of_text(_order_files(t), "text", flat_record(ORDER_SPEC))
+    accepted, rejected = load_flat(records, ORDER_SPEC)
+    both = rejected.select(REASONS).unionByName(
+        accepted.select(F.array().cast("array<string>").alias(REASONS))
+    )
+    told = F.array_join(F.sort_array(REASONS), "; ").alias("reasons")
+    return both.groupBy(told).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query(
+    "ing14_rewrite_rules",
+    """SELECT p_name AS original_name, p_brand AS normalized_name FROM (
+  SELECT DISTINCT p_name, p_brand FROM part)""",
 )
 def _(t):
-    record = F.from_json("props", "k string, absent string, openfda struct<device_class: string>")
-    nested = t.events.select("event_id", record.alias("r"))
-    return nested.select(
-        "event_id",
-        F.col("r.k").try_cast("bigint").alias("k"),
-        F.col("r.absent").alias("absent"),
-        F.col("r.openfda.device_class").alias("openfda_device_class"),
+    edits = t.part.groupBy("p_brand").agg(F.sort_array(F.collect_set("p_name")).alias("from"))
+    operations = edits.groupBy(F.substring("p_brand", 1, 7).alias("part")).agg(
+        F.collect_list(F.struct("from", F.col("p_brand").alias("to"))).alias("edits")
     )
+    text = operations.select(F.to_json(F.struct("edits")).alias("text"))
+    return flatten_rules(text.select(F.from_json("text", RULES_DDL).alias("o")).select("o.*"))
+
+
+@query(
+    "ing13_gazetteer_rows",
+    """SELECT 'US' AS country_code, lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS postal_code,
+  s_name AS place_name, s_nationkey + 0.5 AS latitude, CAST(-s_suppkey AS DOUBLE) AS longitude
+FROM supplier""",
+)
+def _(t):
+    nothing = [F.lit("")] * 6
+    fields = [
+        F.lit(" US"),
+        F.concat(F.lpad(F.col("s_suppkey").cast("string"), 5, "0"), F.lit(" ")),
+        F.col("s_name"),
+        *nothing,
+        (F.col("s_nationkey") + 0.5).cast("string"),
+        (-F.col("s_suppkey")).cast("string"),
+        F.lit("4"),
+    ]
+    places = gazetteer_of_text(t.supplier.select(F.concat_ws("\t", *fields).alias("line")), "line")
+    return places.select("country_code", "postal_code", "place_name", "latitude", "longitude")
 
 
 @query(

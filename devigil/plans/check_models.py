@@ -14,9 +14,17 @@ from pyspark.sql import functions as F
 from devigil.functions import text as X
 from devigil.operators import models as M
 from devigil.operators.features import FeatureSpec, fit_features, prepare
+from devigil.operators.clusters import cluster_texts
 from devigil.operators.harmonize import one_hot
 from devigil.plans import bindings as B
-from devigil.plans.check_pages import _classes, _event_side, recall_training_rows
+from devigil.plans.check_pages import (
+    CLASSES_SQL,
+    DEVICE_FEATURES_SQL,
+    _classes,
+    _event_side,
+    recall_training_rows,
+)
+from devigil.plans.dashboards import cluster_members, cluster_view, predictions_page
 from devigil.plans.registry import Tables, query
 
 TARGETS = ("death", "injury", "malfunction", "not provided", "other")
@@ -164,3 +172,69 @@ def _(t):
     return M.project_2d(labelled, "name_vector").select(
         "name", "cluster", "reduced_component_x", "reduced_component_y"
     )
+
+
+# --- the page of one device ---------------------------------------------------------------------
+
+CHOSEN = "Blue Anvil"
+
+
+def _named_clusters(t):
+    """Parts with their full names and the clusters of those names."""
+    parts = t.part.select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("name"))
+    return parts.join(cluster_texts(parts, "p_partkey", "name"), "p_partkey")
+
+
+def _page(t):
+    return predictions_page(
+        M.device_features(*_event_side(t), _classes(t)),
+        CHOSEN,
+        (recall_model(t).model, RECALL),
+        (event_model(t).model, EVENT, TARGETS),
+        _named_clusters(t),
+        "name",
+    )
+
+
+@query("page3_recall_of_device")
+def _(t):
+    return _page(t)["recall"]
+
+
+@query("page3_event_types_of_device")
+def _(t):
+    return _page(t)["event_types"]
+
+
+@query(
+    "page3_summary_of_device",
+    f"""WITH {B.EVENTS_SQL}, {CLASSES_SQL}, {DEVICE_FEATURES_SQL}
+SELECT product_code, device_class, regulation_number, pma_approval, "510k_approval",
+  CAST(sum(num_events) AS BIGINT) AS total_events FROM device_features
+WHERE lower(device_name) = lower('{CHOSEN}') AND product_code IS NOT NULL
+  AND device_class IS NOT NULL AND regulation_number IS NOT NULL GROUP BY ALL""",
+)
+def _(t):
+    features = M.device_features(*_event_side(t), _classes(t))
+    return M.prediction_summary(features.filter(F.lower("device_name") == CHOSEN.lower()))
+
+
+@query(
+    "page3_cluster_members",
+    r"""WITH named AS (
+  SELECT p_partkey, concat_ws(' ', p_name, p_brand, p_type) AS name FROM part),
+signed AS (SELECT *, list_sort(regexp_extract_all(lower(name), '[\p{L}\p{N}_]{2,}')) AS s FROM named),
+labelled AS (SELECT p_partkey, name, min(p_partkey) OVER (PARTITION BY s) AS cluster FROM signed)
+SELECT p_partkey, name, cluster FROM labelled WHERE cluster IN (SELECT cluster FROM labelled
+  WHERE name = (SELECT name FROM named GROUP BY name ORDER BY count(*) DESC, name LIMIT 1))""",
+)
+def _(t):
+    clusters = _named_clusters(t)
+    counts = t.part.groupBy(F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("name")).count()
+    chosen = counts.orderBy(F.desc("count"), "name").first()["name"]
+    return cluster_members(clusters, "name", chosen).select("p_partkey", "name", "cluster")
+
+
+@query("page3_cluster_view")
+def _(t):
+    return cluster_view(_named_clusters(t), "name")

@@ -12,7 +12,14 @@ from devigil.operators import geo
 from devigil.operators.filters import build_filter, restrict_to, search
 from devigil.operators.forecast import forecast
 from devigil.operators.harmonize import integrate, join_events
+from devigil.operators.features import FeatureSpec
 from devigil.operators.marts import address_mart, device_mart, manufacturer_mart
+from devigil.operators.models import (
+    Scorer,
+    prediction_summary,
+    score_devices,
+    score_event_types,
+)
 from devigil.operators.reports import (
     count_by,
     key_figures,
@@ -23,7 +30,9 @@ from devigil.operators.reports import (
     top_entities,
 )
 from devigil.operators.series import monthly_counts, policy_overlay
+from devigil.operators.text_components import fit_components
 
+# --- fixed values: columns of the event page -----------------------------------------------------
 EVENT_PAGE_COLUMNS = (
     "openfda_device_name", "event_id", "adverse_event_flag", "date_facility_aware",
     "date_of_event", "date_report_to_fda", "date_report_to_manufacturer", "event_type",
@@ -31,6 +40,7 @@ EVENT_PAGE_COLUMNS = (
     "number_patients_in_event", "manufacturer_d_name", "manufacturer_d_country",
     "manufacturer_d_postal_code", "manufacturer_d_state",
 )
+# --- end of fixed values ------------------------------------------------------------------------
 EVENT_TEXT_FILTERS = {
     "device_name": "openfda_device_name",
     "manufacturer_d_name": "manufacturer_d_name",
@@ -139,3 +149,41 @@ def recalls_page(
     page["root_causes"] = count_by(rows, "root_cause_description", ordered=True)
     page["trend"] = monthly_trend(rows, "event_date_posted", F.lit(reference))
     return page
+
+
+def cluster_members(clusters: DataFrame, name: str, chosen: str) -> DataFrame:
+    """The rows of ``clusters`` in a cluster with a row called ``chosen``, whatever its case."""
+    wanted = clusters.filter(F.lower(name) == chosen.lower()).select("cluster").distinct()
+    return clusters.join(wanted, "cluster", "left_semi")
+
+
+def cluster_view(clusters: DataFrame, name: str) -> DataFrame:
+    """``name, cluster, x, y``: the distinct named members of clusters on two text components."""
+    rows = clusters.select(name, "cluster").filter(F.col(name).isNotNull()).distinct()
+    scores = fit_components(rows, name, 2).scores(rows, name).withColumnRenamed("text", name)
+    at = F.coalesce("score", F.array().cast("array<double>"))
+    return rows.join(scores, name, "left").select(
+        name, "cluster", F.coalesce(F.get(at, 0), F.lit(0.0)).alias("x"),
+        F.coalesce(F.get(at, 1), F.lit(0.0)).alias("y"),
+    )
+
+
+def predictions_page(
+    features: DataFrame,
+    device: str,
+    recall: tuple[Scorer, FeatureSpec],
+    event_types: tuple[Scorer, FeatureSpec, tuple[str, ...]],
+    clusters: DataFrame,
+    name: str,
+) -> dict[str, DataFrame]:
+    """One device: its recall probability, its likeliest event types, its facts, and the names that
+    cluster with it; and all clusters in two dimensions."""
+    own = features.filter(F.lower("device_name") == device.lower())
+    types_model, types_spec, targets = event_types
+    return {
+        "recall": score_devices(recall[0], own, recall[1]),
+        "event_types": score_event_types(types_model, own, targets, types_spec),
+        "summary": prediction_summary(own),
+        "members": cluster_members(clusters, name, device),
+        "view": cluster_view(clusters, name),
+    }

@@ -77,32 +77,54 @@ def read_records(
 
     ``envelope`` files hold ``{"meta": ..., "results": [...]}``: one task parses one file, and the
     records are rebalanced before any further work. ``lines`` files hold one record per line and
-    are split like any text file; there the position is unique within its file but has gaps.
+    are split like any text file; there the position comes from what the line holds.
     """
     reader = spark.read.option("recursiveFileLookup", True)
     wanted = wanted_name(F.col("_metadata.file_name")) & (
         route(F.col("_metadata.file_path")) == feed
     )
     if layout == "lines":
-        rows = reader.schema(record).json(root).filter(wanted)
-        return rows.select(
-            F.col("_metadata.file_path").alias(FILE),
-            F.monotonically_increasing_id().alias(POSITION),
-            F.struct(*record.fieldNames()).alias("r"),
-        )
-    envelope = T.StructType(
+        rows = reader.text(root).filter(wanted)
+        return records_of_lines(rows.withColumn(FILE, F.col("_metadata.file_path")), "value", record)
+    files = reader.schema(envelope(record)).option("multiLine", True).json(root).filter(wanted)
+    return unpack_envelopes(files.withColumn(FILE, F.col("_metadata.file_path")), with_meta)
+
+
+def envelope(record: T.StructType) -> T.StructType:
+    return T.StructType(
         [
             T.StructField("meta", T.StructType.fromDDL(S.META_DDL)),
             T.StructField("results", T.ArrayType(record)),
         ]
     )
-    files = reader.schema(envelope).option("multiLine", True).json(root).filter(wanted)
+
+
+def unpack_envelopes(files: DataFrame, with_meta: bool = False) -> DataFrame:
+    """``source_file, source_position, r`` (and ``meta``) of parsed envelopes, one row each."""
     extra = ["meta"] if with_meta else []
-    return files.select(
-        F.col("_metadata.file_path").alias(FILE),
-        *extra,
-        F.posexplode("results").alias(POSITION, "r"),
-    ).hint("rebalance")
+    return files.select(FILE, *extra, F.posexplode("results").alias(POSITION, "r")).hint("rebalance")
+
+
+def records_of_text(
+    texts: DataFrame, text: str, record: T.StructType, with_meta: bool = False
+) -> DataFrame:
+    """The records of envelopes that are text in a column; ``source_file`` names each."""
+    parsed = F.from_json(text, envelope(record))
+    return unpack_envelopes(texts.select(FILE, parsed.alias("e")).select(FILE, "e.*"), with_meta)
+
+
+def records_of_lines(lines: DataFrame, text: str, record: T.StructType) -> DataFrame:
+    """The records of lines of JSON. A record's position is the hash of its line and a number among the
+    equal lines of its file, so it does not depend on where files are split."""
+    hashed = lines.filter(F.trim(text) != "").select(FILE, text, F.sha2(text, 256).alias("line_key"))
+    counted = hashed.groupBy(FILE, "line_key").agg(
+        F.first(text).alias(text), F.count(F.lit(1)).alias("copies")
+    )
+    each = counted.select(
+        FILE, "line_key", text, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("n")
+    )
+    position = F.concat_ws(":", "line_key", F.lpad(F.col("n").cast("string"), 9, "0"))
+    return each.select(FILE, position.alias(POSITION), F.from_json(text, record).alias("r"))
 
 
 def surrogate_key(*parts: Column) -> Column:

@@ -19,10 +19,18 @@ RULES_DDL = "edits array<struct<`from`: array<string>, `to`: string>>"
 
 def read_gazetteer(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated postal places; codes stay text, so leading zeros survive."""
-    places = spark.read.schema(GAZETTEER_DDL).csv(path, sep="\t", quote="")
-    return places.withColumns(
-        {"country_code": F.trim("country_code"), "postal_code": F.trim("postal_code")}
-    )
+    return _trimmed(spark.read.schema(GAZETTEER_DDL).csv(path, sep="\t", quote=""))
+
+
+def gazetteer_of_text(lines: DataFrame, text: str) -> DataFrame:
+    """The same places from lines in a column."""
+    place = F.from_csv(F.col(text), GAZETTEER_DDL.replace("\n", " "), {"sep": "\t", "quote": ""})
+    return _trimmed(lines.select(place.alias("p")).select("p.*"))
+
+
+def _trimmed(places: DataFrame) -> DataFrame:
+    codes = ("country_code", "postal_code")
+    return places.withColumns({c: F.trim(c) for c in codes})
 
 
 def read_rewrite_rules(spark: SparkSession, path: str) -> DataFrame:

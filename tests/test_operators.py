@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from devigil.functions import temporal, text
 from devigil.functions.similarity import indel_ratio, indel_similarity
 from devigil.operators import geo, reports
+from devigil.operators.blocks import blocked_join
 from devigil.operators.clusters import cluster_texts, linking_pairs, similar_pairs
 from devigil.operators.components import connected_components
 from devigil.operators.filters import build_filter, restrict_to, search
@@ -261,6 +262,8 @@ def test_fuzzy_join_equals_brute_force(spark, limit):
     found = {tuple(r) for r in candidate_pairs(a, b, 0.95, limit).collect()}
     true = {(x, y) for x in left for y in right if indel_similarity(x, y) >= 0.95}
     assert true and true <= found
+    crowded = {tuple(r) for r in candidate_pairs(a, b, 0.95, 3, levels=1).collect()}
+    assert true <= crowded, "crowded keys after the last level are joined in blocks"
     if limit > 3:
         joined = fuzzy_join(a, "name", b, "name").collect()
         assert {(r.a, r.b) for r in joined} == true
@@ -403,8 +406,19 @@ def test_crowded_groups_are_connected_without_all_pairs(spark, minimum):
         edges = pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
         return {tuple(r) for r in connected_components(edges).collect()}
 
-    few = linking_pairs(vectors, "id", minimum, max_pairs_per_key=20)
-    assert components(few) == components(everything)
+    for rounds in (5, 2, 1):  # fewer rounds leave crowded groups to the joins in blocks
+        few = linking_pairs(vectors, "id", minimum, max_pairs_per_key=20, rounds=rounds)
+        assert components(few) == components(everything)
+
+
+@pytest.mark.parametrize("rows_per_block", [4096, 100])
+def test_crowded_keys_are_joined_in_blocks(spark, rows_per_block):
+    left = spark.range(3000).select((F.col("id") % 2).alias("k"), F.col("id").alias("x"))
+    right = spark.range(2500).select((F.col("id") % 3).alias("k"), F.col("id").alias("y"))
+    plain = left.join(right, "k")
+    found = blocked_join(left, right, "k", rows_per_block)
+    total = [F.count(F.lit(1)), F.sum(F.xxhash64("k", "x", "y").cast("decimal(38,0)"))]
+    assert found.agg(*total).first() == plain.agg(*total).first()
 
 
 # --- metrics ------------------------------------------------------------------------------------
