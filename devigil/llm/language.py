@@ -36,7 +36,7 @@ class LanguageParams:
     smoothing: float = 0.5
     longest: int = 32
     penalty: float = 1.0
-    most_noise: float = 0.5
+    most_noise: float = 0.8
     rounds: int = 10
     warm_rounds: int = 4
 
