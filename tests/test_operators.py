@@ -16,7 +16,7 @@ from devigil.operators.clusters import cluster_texts, linking_pairs, similar_pai
 from devigil.operators.components import connected_components
 from devigil.operators.filters import build_filter, restrict_to, search
 from devigil.operators.forecast import fit, forecast, smooth
-from devigil.operators.harmonize import fold_event_type, harmonize, one_hot, union_sources
+from devigil.operators.harmonize import fold_event_type, harmonize, one_hot, one_hot_rows, union_sources
 from devigil.operators.metrics import binary_metrics, confusion_matrix
 from devigil.operators.names import candidate_pairs, fuzzy_join, nearest_by_grams
 from devigil.operators.rewrites import (
@@ -116,10 +116,9 @@ def test_one_hot_rows_sum_to_zero_or_one(spark):
     )
     flags = one_hot(df, {"event_type": ("death", "injury")})
     assert [r.death + r.injury for r in flags.collect()] == [1, 1, 1, 0, 0]
-    looked_up = one_hot(df, {"event_type": None}, prefix=True)
-    assert looked_up.columns[1:] == [
-        "event_type_death", "event_type_injury", "event_type_unknown",
-    ]
+    assert [r.event_type_undeclared for r in flags.collect()] == [0, 0, 0, 0, 1]
+    long = one_hot_rows(df.withColumn("id", F.lit(1)), "id", ["event_type"])
+    assert sorted(r.value for r in long.collect()) == ["death", "injury", "injury", "unknown"]
 
 
 def test_rankings_break_ties_and_keep_null_only_on_request(spark):
