@@ -26,6 +26,8 @@ WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = range(4, 9)
 #: Occurrences per 1,000 words; 0 is any.
 DENSITIES = (0, 4, 8, 16)
+#: Words or counts that a worker holds before it starts anew.
+HELD = 200_000
 EVIDENCE = "array<struct<doc_id:bigint,similarity:double,toxic:int>>"
 
 
@@ -97,11 +99,23 @@ def sample(docs: DataFrame, labels: DataFrame, params: ToxicityParams) -> tuple[
 def vocabulary(rows: DataFrame, params: ToxicityParams) -> tuple[dict, np.ndarray]:
     """``{stem: term of each density or -1}`` and the idf of the terms."""
 
+    def counts_of(found: Counter) -> pa.RecordBatch:
+        keys = list(found)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([k[0] for k in keys], pa.string()),
+                pa.array([k[1] for k in keys], pa.int32()),
+                pa.array([k[2] for k in keys], pa.int32()),
+                pa.array([found[k] for k in keys], pa.int64()),
+            ],
+            names=["stem", "level", "toxic", "n"],
+        )
+
     def count(batches):
+        found: Counter = Counter()
         for batch in batches:
-            found: Counter = Counter()
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words, n = counted(text)
+            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
+                words, n = counted(text.as_py())
                 own: Counter = Counter()
                 for word, times in words.items():
                     for stem in stems(word):
@@ -109,16 +123,11 @@ def vocabulary(rows: DataFrame, params: ToxicityParams) -> tuple[dict, np.ndarra
                 for stem, times in own.items():
                     for level in densities(times, n):
                         found[stem, level, toxic] += 1
-            keys = list(found)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k[0] for k in keys], pa.string()),
-                    pa.array([k[1] for k in keys], pa.int32()),
-                    pa.array([k[2] for k in keys], pa.int32()),
-                    pa.array([found[k] for k in keys], pa.int64()),
-                ],
-                names=["stem", "level", "toxic", "n"],
-            )
+                if len(found) > HELD:
+                    yield counts_of(found)
+                    found = Counter()
+        if found:
+            yield counts_of(found)
 
     index = rows.filter(~F.col("calibrates"))
     sizes = {r["toxic"]: r["count"] for r in index.groupBy("toxic").count().collect()}
@@ -295,7 +304,7 @@ def score(docs: DataFrame, model: dict, params: ToxicityParams = ToxicityParams(
         for batch in batches:
             scores, evidence = [], []
             for _, texts in chunks(batch.column(len(keep))):
-                if len(memo) > 500_000:
+                if len(memo) > HELD:
                     memo.clear()
                 for text in texts:
                     if m["index"] is None:
