@@ -2,10 +2,11 @@
 
 A classifier trained on the labelled table predicts how likely a document belongs to each domain.
 Nonnegative document rates then solve a least-squares problem: the expected tokens of every domain,
-rate times tokens times posterior summed over all documents, shall match the targets. Projected
-gradient steps start from rate 1 everywhere. A step changes a rate only through the residuals of the
-domains, so the rates of any step are a function of the few residuals before it: every round is one
-pass over ``tokens, posterior`` that replays those residuals and sums up the next.
+rate times tokens times posterior summed over all documents, shall match the targets. Gradient
+steps start from rate 1 everywhere and their sum is projected on rates of 0 and more. A step changes a
+rate only through the residuals of the domains, so the rates of any step are a function of the few
+residuals before it: every round is one pass over ``tokens, posterior`` that replays those residuals
+and sums up the next.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ class MixParams:
     tokens: float | None = None
     train_rows: int = 2000
     epochs: int = 80
+    stride: float = 4.0
     ridge: float = 1e-5
     rounds: int = 60
     tolerance: float = 1e-4
@@ -119,7 +121,7 @@ def train(docs: DataFrame, labels: DataFrame, params: MixParams = MixParams()) -
         slope = np.stack([np.bincount(bucket, wrong[text, k] * weight, 1 << BITS) for k in range(len(known))], 1)
         slope += params.ridge * coef
         scale += slope**2
-        coef -= 0.5 * slope / np.sqrt(scale)
+        coef -= params.stride * slope / np.sqrt(scale)
         bias -= wrong.sum(0)
     drawn_share = np.bincount(truth, minlength=len(known)) / max(1, len(truth))
     prior = np.array([counts[d] for d in known], float) / sum(counts.values())
@@ -158,11 +160,11 @@ def posteriors(docs: DataFrame, model: dict, keep: tuple[str, ...]) -> DataFrame
 
 
 def replay(posterior: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    """The rates after some steps: start at 1, move against each step's residuals, cut at 0."""
-    rate = np.ones(len(posterior))
-    for step in steps:
-        rate = np.maximum(0, rate - posterior @ step)
-    return rate
+    """The rates after some steps: from 1 against the residuals of all steps, then cut at 0.
+
+    Cutting only at the end keeps the rates the nearest to 1 among those with the same totals.
+    """
+    return np.maximum(0, 1 - posterior @ np.sum([np.zeros(posterior.shape[1]), *steps], axis=0))
 
 
 def _posterior(column: pa.Array, width: int) -> np.ndarray:
