@@ -59,10 +59,10 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     """
     html = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html")).withColumns(
-        {"digest": base32(F.sha1(F.col("html"))), "bytes": F.octet_length("html")}
+        {"sha1": F.sha1("html"), "bytes": F.octet_length("html")}
     )
-    first = rows.groupBy("digest", "bytes").agg(F.min("page_id").alias("first_id"))
-    rows = rows.join(first, ["digest", "bytes"])
+    first = rows.groupBy("sha1", "bytes").agg(F.min("page_id").alias("first_id"))
+    rows = rows.join(first, ["sha1", "bytes"]).withColumn("digest", base32(F.col("sha1")))
     names = {"response": "r", "request": "q", "metadata": "m"}
     number = F.monotonically_increasing_id().cast("string")
 
@@ -205,9 +205,12 @@ def assemble(records: DataFrame) -> DataFrame:
     answered = records.filter("type = 'response'").groupBy(F.col("record_id").alias("refers_to")).agg(
         F.max(F.struct("payload_bytes", "sha1")).alias("revisited")
     )
-    # record ids of responses that repeat are equal in all that is taken from them here
     found = main.join(requests, "capture_id", "left").join(about, "capture_id", "left")
-    return found.join(answered, "refers_to", "left").select(
+    # most records refer to nothing and stay out of the join, where they would be one key
+    referring = found.filter("refers_to is not null").join(answered, "refers_to", "left")
+    nothing = F.lit(None).cast(referring.schema["revisited"].dataType)
+    others = found.filter("refers_to is null").withColumn("revisited", nothing)
+    return referring.unionByName(others).select(
         "capture_id", "target_uri", "date", "refers_to", "main", "request", "metadata", "revisited"
     )
 
@@ -222,7 +225,9 @@ def digest(captures: DataFrame) -> DataFrame:
     held = F.when(F.col("main.type") == "response", F.struct("main.payload_bytes", "main.sha1")).otherwise(
         F.col("revisited")
     )
-    rows = captures.join(answered, "refers_to", "left").withColumn("held", held)
+    referring = captures.filter("refers_to is not null").join(answered, "refers_to", "left")
+    others = captures.filter("refers_to is null").withColumn("refers_to_page", F.lit(None).cast("bigint"))
+    rows = referring.unionByName(others).withColumn("held", held)
     found = base32(F.col("held.sha1"))
     return rows.select(
         "page_id", "held.payload_bytes", found.alias("payload_digest"), F.col("main.type").alias("record_type"),
