@@ -7,10 +7,9 @@ each there would be 32. So each chunk is indexed four times, each time without o
 every pair within the distance meets in at least one of 64 buckets.
 
 Only the groups count, not the links in them. First every member of a bucket is compared with the
-bucket's smallest id; then members of different groups with the closest signature of another group;
-at last all pairs of a bucket that are still in different groups. The documents left for that get a
-second, longer signature of single bits, which decides far more sharply which pairs can be similar.
-Every link is judged on full sets.
+bucket's smallest id, then all pairs of a bucket that are still in different groups. The documents
+left for that get a second, longer signature of single bits, which decides far more sharply which
+pairs can be similar. Every link is judged on full sets.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devigil.llm.shared import Landing, slices
+from devigil.llm.shared import Landing, likely_among, slices
 from devigil.llm.tokens import NOT_SPACE, mix, shingles, word_hashes, words
 from devigil.operators.components import connected_components
 
@@ -42,7 +41,6 @@ class NearParams:
     percent: int = 75
     shingle: int = 5
     block: int = 1024
-    best_rounds: int = 2
 
 
 def _sets(data, offsets, size):
@@ -93,7 +91,8 @@ def long_signatures(docs: DataFrame, ids: DataFrame, params: NearParams) -> Data
 
     rows = docs.filter("text is not null").select(F.col("doc_id").cast("bigint").alias("id"), "text")
     # a document without words is in no bucket, unless another row has its id
-    rows = rows.filter(F.col("text").rlike(r"[^ \t\n\x0B\f\r]")).join(ids, "id", "left_semi")
+    rows = rows.filter(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"))
+    rows = rows.filter(likely_among("id", ids)).join(ids, "id", "left_semi")
     return rows.mapInArrow(sign, "id bigint, bits binary")
 
 
@@ -169,7 +168,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, params: NearParams) -> DataFrame:
     """The pairs ``a, b`` that are linked, judged on the full sets of their texts."""
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     rows = docs.filter("text is not null").select(F.col("doc_id").cast("bigint").alias("id"), "text")
-    texts = rows.join(wanted, "id", "left_semi")
+    texts = rows.filter(likely_among("id", wanted)).join(wanted, "id", "left_semi")
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     percent, size = params.percent, params.shingle
@@ -195,17 +194,13 @@ def confirm(pairs: DataFrame, docs: DataFrame, params: NearParams) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(linked, "a bigint, b bigint")
 
 
-def _bucket_pairs(ids, groups, blocks, key, component, signature, bits, best: bool):
-    """Pairs of a bucket in different components within both distances, each in its first common bucket.
-
-    Rows are sorted by group. With ``best`` every row keeps only its closest partner.
-    """
+def _bucket_pairs(ids, groups, blocks, key, component, signature, bits):
+    """Pairs of a bucket in different components within both distances, each in its first common
+    bucket. Rows are sorted by group."""
     n = len(ids)
     ends = np.searchsorted(groups, groups, "right")
     tag = key >> 48
-    closest = np.full(n, LONG_FARTHEST + 1, np.int64)
-    partner = np.zeros(n, np.int64)
-    out_a, out_b, out_d = [], [], []
+    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     rows = np.arange(n)
     for step in range(1, n):
         rows = rows[ends[rows] > rows + step]
@@ -223,20 +218,10 @@ def _bucket_pairs(ids, groups, blocks, key, component, signature, bits, best: bo
             left_out = differ[np.arange(len(a)), chunk].argmax(1)
             good = (errors.sum(1) <= FARTHEST) & (chunk * CHUNK + left_out == tag[a])
             a, b = a[good], b[good]
-            apart = np.bitwise_count(bits[a] ^ bits[b]).sum(1, dtype=np.int64)
-            good = apart <= LONG_FARTHEST
-            a, b, apart = a[good], b[good], apart[good]
-            if not best:
-                out_a.append(ids[a]), out_b.append(ids[b]), out_d.append(apart)
-                continue
-            for own, its in ((a, b), (b, a)):
-                closer = apart < closest[own]
-                closest[own[closer]], partner[own[closer]] = apart[closer], ids[its[closer]]
-    if best:
-        found = np.flatnonzero(closest <= LONG_FARTHEST)
-        return ids[found], partner[found], closest[found]
-    empty = [np.zeros(0, np.int64)]
-    return np.concatenate(out_a or empty), np.concatenate(out_b or empty), np.concatenate(out_d or empty)
+            good = np.bitwise_count(bits[a] ^ bits[b]).sum(1, dtype=np.int64) <= LONG_FARTHEST
+            out_a.append(ids[a[good]])
+            out_b.append(ids[b[good]])
+    return np.concatenate(out_a), np.concatenate(out_b)
 
 
 def mixed_buckets(members: DataFrame, component: DataFrame, params: NearParams) -> DataFrame:
@@ -251,7 +236,7 @@ def mixed_buckets(members: DataFrame, component: DataFrame, params: NearParams)
     return placed.join(mixed, "key")
 
 
-def cross_pairs(mixed: DataFrame, signed: DataFrame, best: bool) -> DataFrame:
+def cross_pairs(mixed: DataFrame, signed: DataFrame) -> DataFrame:
     """``a, b`` (a < b) within the distances that share a bucket but not yet a component.
 
     A crowded bucket is dealt out as pairs of blocks, so a task holds two blocks at a time.
@@ -288,18 +273,13 @@ def cross_pairs(mixed: DataFrame, signed: DataFrame, best: bool) -> DataFrame:
             sig = _matrix(held.column(6).slice(0, cut).combine_chunks())
             packed = b"".join(held.column(7).slice(0, cut).to_pylist())
             bits = np.frombuffer(packed, np.uint64).reshape(-1, LONG // 64)
-            a, b, apart = _bucket_pairs(ids[:cut], groups, blocks, key[:cut], comp[:cut], sig, bits, best)
+            a, b = _bucket_pairs(ids[:cut], groups, blocks, key[:cut], comp[:cut], sig, bits)
             held = held.slice(cut)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(apart), pa.array(a)],
-                names=["a", "b", "apart", "of"],
+                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
             )
 
-    found = rows.mapInArrow(search, "a bigint, b bigint, apart bigint, of bigint")
-    if best:
-        found = found.groupBy("of").agg(F.min(F.struct("apart", "a", "b")).alias("p")).select("p.a", "p.b")
-        return found.distinct()
-    return found.select("a", "b").distinct()
+    return rows.mapInArrow(search, "a bigint, b bigint").distinct()
 
 
 def _with_end(batches):
@@ -338,26 +318,11 @@ def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataF
     left = mixed.select("id").distinct()
     signed = long_signatures(docs, left, params).distinct().join(classes.select("id", "signature"), "id")
     signed = store.land(signed, "signed")
-    for turn in range(params.best_rounds + 1):
-        best = turn < params.best_rounds
-        pairs = cross_pairs(mixed, signed, best).join(tested, ["a", "b"], "left_anti")
-        pairs = store.land(pairs, f"pairs-{turn}")
-        if pairs.isEmpty():
-            if best:
-                continue
-            break
-        found = store.land(confirm(pairs, docs, params), f"links-{turn}")
-        tested = tested.union(pairs)
-        if best and not found.isEmpty():
-            stars = component.select(F.col("id").alias("u"), F.col("component").alias("v"))
-            links = stars.union(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
-            component = store.land(_components(links), f"components-{turn}")
-            mixed = mixed_buckets(members.join(left, "id", "left_semi"), component, params)
-            mixed = store.land(mixed, f"mixed-{turn}")
-        elif not found.isEmpty():
-            stars = component.select(F.col("id").alias("u"), F.col("component").alias("v"))
-            links = stars.union(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
-            component = _components(links)
+    pairs = cross_pairs(mixed, signed).join(tested, ["a", "b"], "left_anti")
+    more = store.land(confirm(store.land(pairs, "pairs"), docs, params), "more-links")
+    if not more.isEmpty():
+        stars = component.select(F.col("id").alias("u"), F.col("component").alias("v"))
+        component = _components(stars.union(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     store.drop("members")
     ids = classes.join(component, "id", "left").select(
         "set_a", "set_b", "n_shingles", F.coalesce("component", "id").alias("component_id")

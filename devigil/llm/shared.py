@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,8 +30,25 @@ class Landing:
 
     def land(self, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{self.folder}/{name}")
+        # shuffle files go when the driver's JVM collects the plans that made them: help it along
+        self.spark._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
+    def land_parts(self, df: DataFrame, name: str, column: str, values: tuple) -> list[DataFrame]:
+        """A table of its own for each of the values of ``column``, which they do not hold any more."""
+        df.write.partitionBy(column).parquet(f"{self.folder}/{name}")
+        self.spark._jvm.System.gc()
+        schema = df.drop(column).schema
+        # an absent value has no folder
+        whole = self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+        present = {row[0] for row in whole.select(column).distinct().collect()}
+        return [
+            self.spark.read.schema(schema).parquet(f"{self.folder}/{name}/{column}={value}")
+            if value in present
+            else self.spark.createDataFrame([], schema)
+            for value in values
+        ]
+
     def drop(self, *names: str) -> None:
         for name in names:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
@@ -59,5 +77,26 @@ def partitions_of(bytes_: float, each: float, least: int = 1) -> int:
     return max(least, int(-(-bytes_ // each)))
 
 
+def likely_among(column: str, ids: DataFrame, bits: int = 1 << 26):
+    """A condition that holds for every row whose ``column`` is in the one column of ``ids``, and for few
+    others: a bitmap of ``bits`` bits, whatever the number of ids, goes to the workers. It keeps large
+    rows out of the shuffle of the join that decides."""
+    place = F.pmod(F.xxhash64(ids.columns[0]), F.lit(bits))
+    words = ids.select(place.alias("p")).groupBy(F.floor(F.col("p") / 64).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("x")
+    )
+    found = words.toPandas()
+    held = np.zeros(bits // 64, np.uint64)
+    held[found["w"].to_numpy()] = found["x"].to_numpy().astype(np.int64).view(np.uint64)
+    shared = ids.sparkSession.sparkContext.broadcast(held)
+
+    @F.pandas_udf("boolean")
+    def among(p: pd.Series) -> pd.Series:
+        at = p.to_numpy()
+        return pd.Series((shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0)
+
+    return among(F.pmod(F.xxhash64(column), F.lit(bits)))
+
+
 def total(df: DataFrame, column) -> float:
     return float(df.agg(F.sum(column)).first()[0] or 0)
