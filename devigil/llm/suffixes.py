@@ -27,7 +27,7 @@ from devigil.llm.tokens import mix
 WINDOW, GRAM = 50, 16
 SPAN = WINDOW - GRAM + 1
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
-HEAD = np.dtype([("key", "<u8"), ("doc", "<i8"), ("text", "<i8"), ("start", "<i8"), ("n", "<i8")])
+HEAD = np.dtype([("doc", "<i8"), ("text", "<i4"), ("start", "<u4"), ("n", "<u4")])
 MANY = -(2**63)
 
 
@@ -37,7 +37,7 @@ class SuffixParams:
     documents are cut into, by doc_id. A worker packs ``chunk_bytes`` of text at a time."""
 
     range_bytes: int = 4 << 20
-    batches: int = 4
+    batches: int = 2
     chunk_bytes: int = 4 << 20
 
 
@@ -239,14 +239,13 @@ class SuffixLevels:
             self.store.drop(old, new)
             self.levels[-2:] = [(2 * size, name, merged)]
         name = f"batch-{self.count}"
-        built = self.store.land(suffix_array(docs, self.n_ranges, self.params), name)
-        array = built.filter("kind = 0")
-        own = self.store.land(built.filter("kind = 1"), f"own-{self.count}")
-        self.repeats.append(own)
+        built = suffix_array(docs, self.n_ranges, self.params)
+        array, own = self.store.land_parts(built, name, "kind", (0, 1))
+        self.repeats.append(own.select("keys", "docs"))
         for i, (_, _, level) in enumerate(self.levels):
             found = self.store.land(merge_scan(array, level), f"repeats-{self.count}-{i}")
-            self.repeats.append(found)
-        self.levels.append((1, name, array))
+            self.repeats.append(found.select("keys", "docs"))
+        self.levels.append((1, f"{name}/kind=0", array))
         self.count += 1
 
     def pairs(self) -> DataFrame:
@@ -309,7 +308,7 @@ def segments(docs: DataFrame, n_ranges: int, params: SuffixParams) -> DataFrame:
             place = _ranges(key[sent], n_ranges)
             sent = sent[np.argsort(place, kind="stable")]
             heads = np.empty(len(sent), HEAD)
-            heads["key"], heads["doc"], heads["text"] = key[sent], doc[sent], hashes[text[sent]]
+            heads["doc"], heads["text"] = doc[sent], hashes[text[sent]]
             heads["start"], heads["n"] = start[sent] - offsets[text[sent]], n[sent]
             rows: list[list] = [[], [], []]
             for where, a, b in _pieces(_ranges(key[sent], n_ranges)):
@@ -333,7 +332,7 @@ def covered(packed: DataFrame) -> DataFrame:
         def done():
             heads = np.concatenate([np.frombuffer(h, HEAD) for h, _ in held])
             data = np.frombuffer(b"".join(d for _, d in held), np.uint8)
-            n = heads["n"]
+            n = heads["n"].astype(np.int64)
             begins = np.concatenate([[0], np.cumsum(n - 1 + WINDOW)[:-1]])
             run = np.repeat(np.arange(len(n)), n)
             place = np.arange(len(run)) - np.repeat(np.concatenate([[0], np.cumsum(n)[:-1]]), n)
@@ -359,7 +358,8 @@ def covered(packed: DataFrame) -> DataFrame:
             end[:-1] &= ~over[1:] | (run[1:] != run[:-1])
             a, b = np.flatnonzero(begin), np.flatnonzero(end)
             own = heads[run[a]]
-            return own["doc"], own["text"], own["start"] + place[a], own["start"] + place[b] + WINDOW
+            start = own["start"].astype(np.int64)
+            return own["doc"], own["text"].astype(np.int64), start + place[a], start + place[b] + WINDOW
 
         def batch_of(columns) -> pa.RecordBatch:
             names = ["doc_id", "text_hash", "first", "last"]
@@ -426,6 +426,26 @@ def _cut_out(rows: DataFrame, texts: bool) -> DataFrame:
     return rows.select("doc_id", "text", "spans").mapInArrow(cut, REMOVED)
 
 
+def text_hash(text):
+    """Tells the texts of rows with the same doc_id apart."""
+    return F.hash(text).cast("bigint")
+
+
+def whole_copies(docs: DataFrame, store: Landing) -> DataFrame:
+    """``doc_id, text_hash, first, last`` over the whole of texts that a smaller doc_id has too."""
+    size = F.octet_length("text").cast("bigint")
+    same = ["a", "b", "last"]
+    texts = docs.select(
+        "doc_id", text_hash(F.col("text")).alias("text_hash"), F.xxhash64("text").alias("a"),
+        F.xxhash64("text", F.lit(1)).alias("b"), size.alias("last"),
+    )
+    texts = store.land(texts, "texts")
+    firsts = texts.groupBy(*same).agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("most"))
+    firsts = store.land(firsts.filter("owner < most").drop("most"), "firsts")
+    found = texts.join(firsts, same).filter("doc_id > owner")
+    return found.select("doc_id", "text_hash", F.lit(0).cast("bigint").alias("first"), "last")
+
+
 def remove_repeats(docs: DataFrame, params: SuffixParams = SuffixParams(), texts: bool = True) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text`` for every row of ``docs``.
 
@@ -447,13 +467,19 @@ def remove_repeats(docs: DataFrame, params: SuffixParams = SuffixParams(), texts
         own = own if low is None else own.filter(F.col("doc_id") > low)
         own = own if high is None else own.filter(F.col("doc_id") <= high)
         family.add(own)
-    keys = family.pairs().groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
-    keyed = usable.withColumn("text_hash", F.xxhash64("text")).join(keys, "doc_id")
+    copies = store.land(whole_copies(usable, store), "copies")
+    # a row whose id no other row has needs no closer look if it is a copy
+    single = usable.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n = 1").select("doc_id")
+    done = copies.join(single, "doc_id", "left_semi").select("doc_id")
+    keys = family.pairs().join(done, "doc_id", "left_anti")
+    keys = keys.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
+    keyed = usable.withColumn("text_hash", text_hash(F.col("text"))).join(keys, "doc_id")
     family.drop()
     found = covered(segments(keyed.select("doc_id", "text_hash", "text", "keys"), n_ranges, params))
+    found = found.unionByName(copies)
     spans = found.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     spans = store.land(spans, "spans")
-    family.store.drop(*[f"own-{i}" for i in range(family.count)])
-    hashed = rows.withColumn("text_hash", F.xxhash64("text"))
+    family.store.drop(*[f"batch-{i}/kind=1" for i in range(family.count)])
+    hashed = rows.withColumn("text_hash", text_hash(F.col("text")))
     out = _cut_out(hashed.join(spans, ["doc_id", "text_hash"], "left"), texts)
     return out
