@@ -2,8 +2,8 @@
 
 Lines are hashed; a HyperLogLog sketch of the sites of every line merges by aggregation. Lines whose
 estimate is near the threshold are counted exactly, and lines on enough sites are boilerplate: they
-are removed wherever they stand. Equal texts count as one text at the first of their sites, so copies
-of a document do not turn its lines into boilerplate.
+are removed wherever they stand. All sites of a text count. A line that stands in one text only is no
+boilerplate, so copies of a document alone do not turn its lines into it.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ GONE = "positions to take out"
 @dataclass(frozen=True)
 class LineParams:
     """A line of at least ``min_chars`` characters, spaces around it aside, on at least ``min_sites``
-    sites is boilerplate. Sketches have 2 ** ``lg_k`` registers; estimates within ``sigmas`` standard
+    sites and in more than one text is boilerplate. Sketches have 2 ** ``lg_k`` registers; estimates within ``sigmas`` standard
     errors of the threshold (and at least 1) are not trusted."""
 
     min_sites: int = 8
@@ -44,7 +44,7 @@ def _hashes(value) -> tuple:
 
 
 def occurrences(docs: DataFrame, params: LineParams) -> DataFrame:
-    """``text_a, text_b, site, pos, line_a, line_b``: the countable lines of every distinct text."""
+    """``text_a, text_b, site, pos, line_a, line_b``: the countable lines of every text on each of its sites."""
 
     def hashed(line):
         a, b = _hashes(F.trim(line))
@@ -55,15 +55,16 @@ def occurrences(docs: DataFrame, params: LineParams) -> DataFrame:
     texts = docs.filter("text is not null").select(
         a.alias(KEY[0]), b.alias(KEY[1]), F.coalesce("source", F.lit("")).alias("site"), lines.alias("lines")
     )
-    texts = texts.groupBy(*KEY).agg(F.min("site").alias("site"), F.first("lines").alias("lines"))
+    texts = texts.groupBy(*KEY, "site").agg(F.first("lines").alias("lines"))
     each = texts.select(*KEY, "site", F.posexplode("lines").alias("pos", "line")).filter("line is not null")
     return each.select(*KEY, "site", "pos", F.col("line.a").alias(LINE[0]), F.col("line.b").alias(LINE[1]))
 
 
 def boilerplate(found: DataFrame, store: Landing, params: LineParams) -> DataFrame:
-    """``line_a, line_b`` of the lines on at least ``min_sites`` sites."""
-    sketches = found.groupBy(*LINE).agg(F.hll_sketch_agg("site", params.lg_k).alias("sketch"))
-    spread = sketches.select(*LINE, F.hll_sketch_estimate("sketch").alias("sites"))
+    """``line_a, line_b`` of the lines on at least ``min_sites`` sites and in more than one text."""
+    several = (F.min(KEY[0]) < F.max(KEY[0])) | (F.min(KEY[1]) < F.max(KEY[1]))
+    sketches = found.groupBy(*LINE).agg(F.hll_sketch_agg("site", params.lg_k).alias("sketch"), several.alias("several"))
+    spread = sketches.filter("several").select(*LINE, F.hll_sketch_estimate("sketch").alias("sites"))
     spread = store.land(spread.filter(F.col("sites") >= params.min_sites - params.band), "spread")
     near = spread.filter(F.col("sites") <= params.min_sites + params.band).select(*LINE)
     exact = found.join(near, list(LINE)).select(*LINE, "site").distinct().groupBy(*LINE).count()

@@ -75,6 +75,18 @@ def test_lines_near_the_threshold_are_exact(documents):
     assert removed == {58: 0, 59: 0, 60: 1, 61: 1}
 
 
+def test_lines_of_copied_texts_count_all_their_sites(documents):
+    mirrored, copied, few = ("this line stands in texts that others mirror", "this line stands in a single copied text", "this line is on a few sites in many texts")
+    docs = [(i, f"own line {i}\n{mirrored}", "en", f"s{i}") for i in range(20)]
+    docs += [(100 + i, f"own line {i}\n{mirrored}", "en", "a hot aggregator") for i in range(20)]
+    docs += [(200 + i, copied, "en", f"s{i}") for i in range(20)]
+    docs += [(300 + i, f"other line {i}\n{few}", "en", f"s{i % 7}") for i in range(20)]
+    docs += [(400 + i, "two texts\nwith this line on eight sites in all" + f"\n{i % 2}", "en", f"s{i}") for i in range(8)]
+    found = {r["doc_id"]: r["n_removed"] for r in lines.remove_boilerplate(documents(docs)).collect()}
+    assert len(found) == len(docs)
+    assert all(n == (1 if i < 200 or i >= 400 else 0) for i, n in found.items())
+
+
 def plain_scan(text, items, size=13):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     hit, found = set(), set()
