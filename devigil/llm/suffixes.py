@@ -101,6 +101,15 @@ def _chunked(batches, column: int, most: int):
             yield batch, first, last, data, offsets
 
 
+def _contents(window: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A hash of all windows of each run and of their places in it."""
+    if not len(n):
+        return np.zeros(0, np.uint64)
+    edges = np.cumsum(n) - n
+    place = np.arange(n.sum()) - np.repeat(edges, n)
+    return np.add.reduceat(mix(window[np.repeat(start, n) + place] ^ mix(place.astype(np.uint64))), edges)
+
+
 INDEX = "kind int, range bigint, keys binary, docs binary"
 
 
@@ -295,6 +304,9 @@ def segments(docs: DataFrame, n_ranges: int, params: SuffixParams) -> DataFrame:
                 continue
             doc = ids[text]
             alike = mix(key ^ mix(window[start]) ^ (window[start + n - 1] * FACTOR)) + n.astype(np.uint64)
+            # the first and the last window have all bytes of a run up to this length only
+            long = n > WINDOW + 1
+            alike[long] ^= _contents(window, start[long], n[long])
             order = np.lexsort((doc, alike))
             alike, doc_ = alike[order], doc[order]
             group = np.ones(len(order), bool)

@@ -153,6 +153,19 @@ def test_long_repeats_against_brute_force(documents, batches, range_bytes):
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found} == want
 
 
+def test_periodic_repeats_with_different_middles_against_brute_force(documents):
+    rng = random.Random(13)
+    # the smallest hash recurs in the pair, so the whole text is one run
+    pair = "| 0.1 | | 0.2 | "
+    texts = []
+    for _ in range(60):
+        middle = "".join(pair + "".join(f"| 0.{rng.randrange(10)} | " for _ in range(2)) for _ in range(6))
+        texts.append(pair * 4 + middle + pair * 4)
+    docs = [(7 * i, t) for i, t in enumerate(texts)]
+    found = suffixes.remove_repeats(documents(docs)).collect()
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found} == cut_out(docs)
+
+
 def test_long_repeats_of_odd_rows(documents):
     text = "a passage of more than fifty bytes that stands in every one of these rows"
     found = suffixes.remove_repeats(documents([(3, text), (3, text + "!"), (None, text), (9, text)])).collect()
