@@ -67,6 +67,24 @@ def test_licences_and_odd_rows(documents):
     assert licences.licences(docs.limit(0)).count() == 0
 
 
+def test_licences_wrapped_over_lines(documents):
+    import textwrap
+
+    prose = [f"the work of number {i} is in the house of the old man and the dog" for i in range(60)]
+    long = {f: max((t for family, t in licences.NOTICES if family == f), key=len) for f in ("GPL", "MIT", "BSD", "Apache-2.0")}
+    wrapped = {f: "\n".join(textwrap.wrap(t, 40 if f == "BSD" else 72)) for f, t in long.items()}
+    rows = prose + [
+        f"some words\n\n{wrapped['GPL']}\n\nother words", textwrap.indent(wrapped["MIT"], "# "), wrapped["BSD"],
+        f"{wrapped['GPL']}\n \n{wrapped['BSD']}", wrapped["MIT"].replace("\n", "\n\n"),
+        f"Licensed under CC BY-NC 4.0.\n{wrapped['GPL']}",
+    ]
+    found = {r[0]: tuple(r[1:]) for r in licences.licences(documents(rows)).collect()}
+    assert [found[i] for i in range(60, 63)] == [(f, 1, f) for f in ("GPL", "MIT", "BSD")]
+    assert found[63][1:] == (2, "BSD,GPL") and found[64] == ("unknown", 0, "")
+    assert found[65][1:] == (2, "CC-BY-NC,GPL")
+    assert all(found[i] == ("unknown", 0, "") for i in range(60))
+
+
 def test_nearest_examples_are_exact():
     import numpy as np
 
