@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devigil.llm import contamination, language, licences, lines, mixing, near, suffixes, toxicity, vectors, warc
+from devigil.llm import (
+    audit,
+    contamination,
+    language,
+    licences,
+    lines,
+    mixing,
+    near,
+    suffixes,
+    toxicity,
+    vectors,
+    warc,
+    whitening,
+)
 from devigil.llm.shared import Landing
 
 
@@ -70,6 +83,14 @@ def op10_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return language.predictions(table(spark, folder, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op12_filter_diagrams(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
     "op1_soft_membership_mix": op1_soft_membership_mix,
     "op2_benchmark_windows": op2_benchmark_windows,
@@ -81,6 +102,8 @@ QUERIES = {
     "op8_warc_transactions": op8_warc_transactions,
     "op9_suffix_levels": op9_suffix_levels,
     "op10_language_mixture": op10_language_mixture,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_filter_diagrams": op12_filter_diagrams,
 }
 
 CHECKS: dict[str, str] = {
@@ -88,4 +111,5 @@ CHECKS: dict[str, str] = {
     "op3_line_spread": lines.CHECK,
     "op5_licence_paragraphs": licences.CHECK,
     "op8_warc_transactions": warc.CHECK,
+    "op12_filter_diagrams": audit.CHECK,
 }
