@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from devigil.llm import (
     audit,
+    byte_pairs,
     contamination,
     language,
     licences,
@@ -91,6 +92,13 @@ def op12_filter_diagrams(spark: SparkSession, folder: str) -> DataFrame:
     return audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op13_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_pairs.round_trip(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_soft_membership_mix": op1_soft_membership_mix,
     "op2_benchmark_windows": op2_benchmark_windows,
@@ -104,6 +112,7 @@ QUERIES = {
     "op10_language_mixture": op10_language_mixture,
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_filter_diagrams": op12_filter_diagrams,
+    "op13_byte_pairs": op13_byte_pairs,
 }
 
 CHECKS: dict[str, str] = {
