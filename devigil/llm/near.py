@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devigil.llm.shared import Landing, likely_among, slices
+from devigil.llm.shared import Landing, arrow_rows, likely_among, slices
 from devigil.llm.tokens import NOT_SPACE, mix, shingles, word_hashes, words
 from devigil.operators.components import connected_components
 
@@ -36,11 +36,14 @@ LONG_FARTHEST = 612
 @dataclass(frozen=True)
 class NearParams:
     """Documents are linked if ``100 * intersection >= percent * union`` of their shingles of
-    ``shingle`` words. Buckets of more than ``block`` members are compared in pairs of blocks."""
+    ``shingle`` words. Buckets of more than ``block`` members are compared in pairs of blocks. Python
+    gets ``batch`` rows at once, or ``pair_batch`` pairs of texts."""
 
     percent: int = 75
     shingle: int = 5
     block: int = 1024
+    batch: int = 2000
+    pair_batch: int = 128
 
 
 def _sets(data, offsets, size):
@@ -294,36 +297,41 @@ def near_duplicates(docs: DataFrame, params: NearParams = NearParams()) -> DataF
     one document that links if one of them does. Rows without doc_id link with nothing, stay and get
     no component.
     """
-    store = Landing(docs.sparkSession, "near")
-    rows = store.land(signatures(docs, params), "rows")
-    named = rows.filter("n_shingles > 0 and doc_id is not null")
-    classes = named.groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min("doc_id").alias("id"), F.first("signature").alias("signature")
-    )
-    classes = store.land(classes, "classes")
-    keys = index_keys(classes)
-    hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("most"))
-    members = store.land(keys.join(hubs.filter("hub < most").select("key", "hub"), "key"), "members")
-
-    star = members.filter("hub < id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    tested = store.land(within_distance(star, classes), "star")
-    edges = store.land(confirm(tested, docs, params), "links")
-    # equal sets under several ids of one document are links too
-    same = named.join(classes.select("set_a", "set_b", "n_shingles", "id"), ["set_a", "set_b", "n_shingles"])
-    twice = named.groupBy("doc_id").agg(F.min("set_a").alias("lo"), F.max("set_a").alias("hi")).filter("lo < hi")
-    shared = same.join(twice, "doc_id", "left_semi").select(F.col("id").alias("u"), F.col("doc_id").alias("v"))
-    links = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(shared)
-    component = store.land(_components(links), "components")
-    mixed = store.land(mixed_buckets(members, component, params), "mixed")
-    left = mixed.select("id").distinct()
-    signed = long_signatures(docs, left, params).distinct().join(classes.select("id", "signature"), "id")
-    signed = store.land(signed, "signed")
-    pairs = cross_pairs(mixed, signed).join(tested, ["a", "b"], "left_anti")
-    more = store.land(confirm(store.land(pairs, "pairs"), docs, params), "more-links")
-    if not more.isEmpty():
-        stars = component.select(F.col("id").alias("u"), F.col("component").alias("v"))
-        component = _components(stars.union(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
-    store.drop("members")
+    spark = docs.sparkSession
+    store = Landing(spark, "near")
+    with arrow_rows(spark, params.batch):
+        rows = store.land(signatures(docs, params), "rows")
+        named = rows.filter("n_shingles > 0 and doc_id is not null")
+        classes = named.groupBy("set_a", "set_b", "n_shingles").agg(
+            F.min("doc_id").alias("id"), F.first("signature").alias("signature")
+        )
+        classes = store.land(classes, "classes")
+        keys = index_keys(classes)
+        hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("most"))
+        members = store.land(keys.join(hubs.filter("hub < most").select("key", "hub"), "key"), "members")
+
+        star = members.filter("hub < id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+        tested = store.land(within_distance(star, classes), "star")
+        with arrow_rows(spark, params.pair_batch):
+            edges = store.land(confirm(tested, docs, params), "links")
+        # equal sets under several ids of one document are links too
+        same = named.join(classes.select("set_a", "set_b", "n_shingles", "id"), ["set_a", "set_b", "n_shingles"])
+        twice = named.groupBy("doc_id").agg(F.min("set_a").alias("lo"), F.max("set_a").alias("hi")).filter("lo < hi")
+        shared = same.join(twice, "doc_id", "left_semi").select(F.col("id").alias("u"), F.col("doc_id").alias("v"))
+        links = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(shared)
+        component = store.land(_components(links), "components")
+        mixed = store.land(mixed_buckets(members, component, params), "mixed")
+        left = mixed.select("id").distinct()
+        signed = long_signatures(docs, left, params).distinct().join(classes.select("id", "signature"), "id")
+        signed = store.land(signed, "signed")
+        pairs = cross_pairs(mixed, signed).join(tested, ["a", "b"], "left_anti")
+        pairs = store.land(pairs, "pairs")
+        with arrow_rows(spark, params.pair_batch):
+            more = store.land(confirm(pairs, docs, params), "more-links")
+        if not more.isEmpty():
+            stars = component.select(F.col("id").alias("u"), F.col("component").alias("v"))
+            component = _components(stars.union(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+        store.drop("members")
     ids = classes.join(component, "id", "left").select(
         "set_a", "set_b", "n_shingles", F.coalesce("component", "id").alias("component_id")
     )

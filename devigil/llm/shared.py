@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -56,6 +57,19 @@ class Landing:
             files.delete(path, True)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Jobs that start inside send at most ``rows`` rows at once to Python, so that rows with long texts
+    do not add up."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``first row, last row + 1, bytes, offsets`` of runs of whole texts; null reads as empty."""
     flat = texts.cast(pa.large_string()).fill_null("")
