@@ -35,7 +35,7 @@ A7C0-A7C1 A7CB-A7CD A7D0-A7D1 A7D3 A7D5-A7DC A7F2-A7F4 10570-1057A 1057C-1058A 1
 2B735-2B739 2EBF0-2EE5D 31350-323AF"""
 NEW_NUMBERS = """10D40-10D49 116D0-116E3 11BF0-11BF9 11F50-11F59 16130-16139 16AC0-16AC9 16D70-16D79
 1CCF0-1CCF9 1D2C0-1D2D3 1E4F0-1E4F9 1E5F1-1E5FA"""
-WHITE_SPACE = "9-D 20 85 A0 1680 2000-200A 2028-2029 202F 205F 3000"
+OTHER_SPACE = "85 A0 1680 2000-200A 2028-2029 202F 205F 3000"
 # --- end of fixed values ------------------------------------------------------------------------
 
 #: Ids are below this.
@@ -56,15 +56,17 @@ class BytePairParams:
 
 
 def _ranges(text: str) -> str:
+    """A class of the code points in ``text``; one test of the whole range keeps most characters out."""
     parts = [[rf"\x{{{end}}}" for end in part.split("-")] for part in text.split()]
-    return "".join("-".join(ends) for ends in parts)
+    return f"[{parts[0][0]}-{parts[-1][-1]}&&[{''.join('-'.join(ends) for ends in parts)}]]"
 
 
 def java_pattern(pattern: str) -> str:
     """The pattern with its classes of letters, numbers and white space written out for Java."""
-    letters, numbers, space = r"\p{L}" + _ranges(NEW_LETTERS), r"\p{N}" + _ranges(NEW_NUMBERS), _ranges(WHITE_SPACE)
+    letters, numbers = r"\p{L}" + _ranges(NEW_LETTERS), r"\p{N}" + _ranges(NEW_NUMBERS)
+    space = r"\t-\r\x{20}" + _ranges(OTHER_SPACE)
     marks = {r"[^\s\p{L}\p{N}]": "\0", r"\p{L}": "\1", r"\p{N}": "\2", r"\s": "\3", r"\S": "\4"}
-    classes = [f"[^{space}{letters}{numbers}]", f"[{letters}]", f"[{numbers}]", f"[{space}]", f"[^{space}]"]
+    classes = [f"[^{letters}{numbers}{space}]", f"[{letters}]", f"[{numbers}]", f"[{space}]", f"[^{space}]"]
     for sign, mark in marks.items():
         pattern = pattern.replace(sign, mark)
     return "".join(classes[ord(c)] if ord(c) < len(classes) else c for c in pattern)
