@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from devigil.functions import text as X
 from devigil.operators.quality import (
@@ -17,6 +21,8 @@ from devigil.operators.sampling import (
     sample_with_children,
 )
 from devigil.plans.registry import query
+from devigil.session import ensure_checkpoint_dir
+from devigil.sources.envelopes import record_texts, split_records
 from devigil.sources.exports import (
     FILE,
     POSITION,
@@ -29,6 +35,8 @@ from devigil.sources.exports import (
     surrogate_key,
     wanted_name,
 )
+from devigil.sources.increments import StoredTable
+from devigil.sources.parquet_blocks import sample_blocks
 from devigil.sources.reference_files import (
     RULES_DDL,
     flatten_rules,
@@ -151,6 +159,62 @@ def _(t):
     )
 
 
+def _shared_folder(t, name: str) -> str:
+    """A new folder that all executors share, for files that a query derives from the tables."""
+    return f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+#: What stands around the records of an envelope: brackets, quotes and backslashes in strings as well.
+ENVELOPE_START = '{"meta": {"results": {"total": 1}, "note": "a \\" [ { \\\\"}, "other": [{"x": 1}], "results": ['
+
+
+@query(
+    "ing3_split_envelopes",
+    "SELECT doc_id, text, lang, source, n_chars FROM documents",
+)
+def _(t):
+    record = F.to_json(F.struct("doc_id", "text", F.struct("lang", "source", "n_chars").alias("openfda")))
+
+    def enclosed(batches):
+        yield pd.DataFrame({"value": [ENVELOPE_START]})
+        comma = ""
+        for batch in batches:
+            if len(batch):
+                yield pd.DataFrame({"value": [comma + batch["value"].iloc[0], *(", " + batch["value"].iloc[1:])]})
+                comma = ", "
+        yield pd.DataFrame({"value": ['], "end": "]}"}']})
+
+    folder = _shared_folder(t, "envelopes")
+    lines = t.documents.repartition(4, "source").select(record.alias("value"))
+    lines.mapInPandas(enclosed, "value string").write.text(folder)
+    kind = T.StructType.fromDDL(
+        "doc_id bigint, text string, openfda struct<lang: string, source: string, n_chars: bigint>"
+    )
+    records = split_records(record_texts(t.spark, folder, "part-*", 256 << 10), kind, FILE, POSITION)
+    return records.select("r.doc_id", "r.text", "r.openfda.*")
+
+
+@query(
+    "ing9_ing11_two_loads",
+    """SELECT o_orderkey, k, CAST(o_orderkey % 2 AS INTEGER) AS load FROM (
+  SELECT o_orderkey, k, row_number() OVER (PARTITION BY k ORDER BY o_orderkey % 2, o_orderdate, o_orderkey) AS n
+  FROM (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS k FROM orders))
+WHERE k IS NULL OR n = 1""",
+)
+def _(t):
+    keyed = t.orders.select(
+        "o_orderkey",
+        "o_orderdate",
+        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("k"),
+        F.pmod("o_orderkey", F.lit(2)).cast("int").alias("load"),
+    )
+    store = StoredTable(t.spark, _shared_folder(t, "stored-orders"), ["k"], ["o_orderdate", "o_orderkey"])
+    # the last load is a second run of the one before
+    for number in (0, 1, 1):
+        store.load(keyed.filter(F.col("load") == number), f"load {number}")
+    return store.read().select("o_orderkey", "k", "load")
+
+
 @query(
     "ing8_typed_load_rejects",
     f"""WITH {ORDER_RULES_SQL}, told AS (
@@ -428,6 +492,24 @@ def _(t):
     return sample_to_target(t.lineitem, t.lineitem.count(), ("l_orderkey", "l_linenumber"), 5000)
 
 
+BLOCK_SHARE = SHARE_SQL.format(seed=200, key="(l_orderkey % 64 || ':0')")
+
+
+@query(
+    "smp1_block_sample",
+    f"""SELECT * FROM lineitem WHERE {BLOCK_SHARE} <
+  (SELECT round(least(100.0, greatest(0.01, 5000.0 / count(*) * 100)), 2) FROM lineitem) / 100""",
+)
+def _(t):
+    folder = _shared_folder(t, "blocks")
+    parts = t.lineitem.withColumn("part", F.pmod("l_orderkey", F.lit(64)))
+    parts.repartition("part").write.partitionBy("part").parquet(folder)
+    part = r"part=([0-9]+)/"
+    return sample_blocks(
+        t.spark, folder, 5000, columns=t.lineitem.columns, name=lambda path: F.regexp_extract(path, part, 1)
+    )
+
+
 @query(
     "smp2_sampled_orders_with_lines",
     f"""WITH o AS (SELECT o_orderkey AS key FROM orders

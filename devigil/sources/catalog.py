@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +45,27 @@ def analyze_tables(spark: SparkSession, database: str = "default") -> list[str]:
     return names
 
 
+def parents_first(tables: Iterable[str], parents: Mapping[str, tuple[str, str]]) -> list[str]:
+    """The names with every parent before its children; a cycle is an error. A parent that is not among the
+    tables counts as none."""
+    known, out, open_ = list(tables), [], []
+
+    def visit(name: str) -> None:
+        if name in out:
+            return
+        if name in open_:
+            raise ValueError(f"tables that are each other's parents: {', '.join(open_)}")
+        open_.append(name)
+        if name in parents and parents[name][0] in known:
+            visit(parents[name][0])
+        open_.pop()
+        out.append(name)
+
+    for name in known:
+        visit(name)
+    return out
+
+
 def write_sampled_catalog(
     tables: Mapping[str, DataFrame],
     root: str,
@@ -59,10 +80,10 @@ def write_sampled_catalog(
     hash of the row, so equal rows are drawn together and a second run draws the same ones.
     """
     parents = parents or {}
-    order: Sequence[str] = sorted(tables, key=lambda name: name in parents)
+    order = parents_first(tables, parents)
     spark = next(iter(tables.values())).sparkSession
     for name in order:
-        if name in parents:
+        if name in parents and parents[name][0] in tables:
             parent, key = parents[name]
             drawn = spark.read.parquet(f"{root}/{parent}").select(key)
             rows = tables[name].join(drawn, key, "left_semi")
@@ -74,6 +95,7 @@ def write_sampled_catalog(
 
 __all__ = [
     "analyze_tables",
+    "parents_first",
     "read_table",
     "write_load",
     "write_sampled_catalog",

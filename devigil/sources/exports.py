@@ -18,6 +18,7 @@ from devigil.operators.quality import (
     typed_load,
 )
 from devigil.sources import schemas as S
+from devigil.sources.envelopes import records_of_files, split_records
 
 # --- fixed values: markers in file paths, tested in this order, and names to leave out -----------
 FEED_MARKERS = (
@@ -77,8 +78,14 @@ def read_records(
 
     ``envelope`` files hold ``{"meta": ..., "results": [...]}``: one task parses one file, and the
     records are rebalanced before any further work. ``lines`` files hold one record per line and
-    are split like any text file; there the position comes from what the line holds.
+    are split like any text file; there the position comes from what the line holds. ``split`` reads
+    envelopes by many tasks a file; there the position is the place of the record's first byte, and
+    elements of ``results`` that are no objects have no row (nor has ``meta``).
     """
+    if layout == "split":
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        named = wanted_name(F.element_at(F.split("path", "/"), -1)) & (route(F.col("path")) == feed)
+        return split_records(records_of_files(files.filter(named).select("path", "length")), record, FILE, POSITION)
     reader = spark.read.option("recursiveFileLookup", True)
     wanted = wanted_name(F.col("_metadata.file_name")) & (
         route(F.col("_metadata.file_path")) == feed
