@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devigil.functions.text import strip
-from devigil.session import cut_lineage
+from devigil.session import cut_estimates
+
+# length of a walk that can go on for ever; a longest walk has fewer edges
+ENDLESS = 2**62
 
 
 def rewrite_edges(mapping: DataFrame) -> DataFrame:
@@ -53,7 +56,7 @@ def resolve(mapping: DataFrame) -> DataFrame:
     Every round doubles the distance looked ahead, so n names need about log2(n) rounds. Names that
     never come to rest lead into a cycle: they stay unmapped with status ``cycle``.
     """
-    state = cut_lineage(
+    state = cut_estimates(
         one_target(mapping)
         .filter(F.col("original_name") != F.col("normalized_name"))
         .select(F.col("original_name").alias("name"), F.col("normalized_name").alias("target"))
@@ -62,7 +65,7 @@ def resolve(mapping: DataFrame) -> DataFrame:
     for _ in range(rounds):
         ahead = state.select(F.col("name").alias("target"), F.col("target").alias("next"))
         step = state.join(ahead, "target", "left")
-        state = cut_lineage(
+        state = cut_estimates(
             step.select(
                 "name",
                 F.coalesce("next", "target").alias("target"),
@@ -78,28 +81,88 @@ def resolve(mapping: DataFrame) -> DataFrame:
     )
 
 
-def _trim(edges: DataFrame) -> DataFrame:
-    """Drop edges from nodes nothing leads to and edges to nodes that lead nowhere."""
-    sources = edges.select(F.col("src").alias("dst")).distinct()
-    inner = edges.join(sources, "dst", "left_semi")
-    targets = edges.select(F.col("dst").alias("src")).distinct()
-    return inner.join(targets, "src", "left_semi").select("src", "dst")
+def _doubled(state: DataFrame) -> DataFrame:
+    ahead = state.select(
+        F.col("node").alias("next"), F.col("next").alias("after"), F.col("steps").alias("more")
+    )
+    return state.join(ahead, "next", "left").select(
+        "node",
+        "chosen",
+        F.coalesce("after", "next").alias("next"),
+        (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+        F.col("after").isNotNull().alias("open"),
+    )
+
 
+def _follow(choice: DataFrame, jumps: int) -> DataFrame:
+    """``node, chosen, steps``: the walk from every ``node`` along the choices, ENDLESS on a cycle.
 
-def _cyclic_core(edges: DataFrame) -> DataFrame:
-    size = edges.count()
-    while size:
-        edges = cut_lineage(_trim(_trim(edges)))
-        size, before = edges.count(), size
-        if size == before:
+    Every round doubles the distance twice; a walk that is open after ``jumps`` doublings is on a cycle
+    or leads to one.
+    """
+    state = choice.select(
+        "node", "chosen", F.col("chosen").alias("next"), F.lit(1).cast("bigint").alias("steps")
+    ).withColumn("open", F.lit(True))
+    for _ in range(0, jumps, 2):
+        state = cut_estimates(_doubled(_doubled(state)))
+        if state.filter("open").isEmpty():
             break
+    steps = F.when(F.col("open"), F.lit(ENDLESS)).otherwise(F.col("steps"))
+    return state.select("node", "chosen", steps.alias("steps"))
+
+
+def walk_lengths(edges: DataFrame) -> DataFrame:
+    """``node, steps``: edges on the longest walk from every node that has one, ENDLESS into a cycle.
+
+    Every node chooses one of its targets. The walks along the choices are measured by doubling, then
+    nodes with a better target choose that one, until none has. For one target per name that is a
+    single look; the number of looks otherwise is how often a choice proves wrong, not the length.
+    """
+    edges = cut_estimates(edges.select("src", "dst"))
+    choice = cut_estimates(
+        edges.groupBy("src").agg(F.max("dst").alias("chosen")).withColumnRenamed("src", "node")
+    )
+    jumps = math.ceil(math.log2(choice.count() + 1)) + 1
+    while True:
+        steps = _follow(choice, jumps)
+        ahead = steps.select(F.col("node").alias("dst"), F.col("steps").alias("rest"))
+        reach = F.least(F.lit(1) + F.coalesce("rest", F.lit(0)), F.lit(ENDLESS))
+        best = (
+            edges.join(ahead, "dst", "left")
+            .groupBy("src")
+            .agg(F.max(F.struct(reach.alias("reach"), "dst")).alias("best"))
+            .select(F.col("src").alias("node"), "best")
+        )
+        wrong = F.col("best.reach") > F.col("steps")
+        step = cut_estimates(
+            steps.join(best, "node").select(
+                "node", F.when(wrong, F.col("best.dst")).otherwise(F.col("chosen")).alias("chosen"),
+                wrong.alias("wrong"),
+            )
+        )
+        if step.filter("wrong").isEmpty():
+            return steps.select("node", "steps")
+        choice = step.drop("wrong")
+
+
+def _cyclic_core(edges: DataFrame) -> DataFrame:
+    """The edges between nodes that come from a cycle and lead into one."""
+    for _ in range(0 if edges.isEmpty() else 2):
+        endless = walk_lengths(edges).filter(F.col("steps") == ENDLESS).select("node")
+        inner = edges.join(endless, edges.src == endless.node, "left_semi")
+        inner = inner.join(endless, inner.dst == endless.node, "left_semi")
+        edges = cut_estimates(_turned(inner))
     return edges
 
 
+def _turned(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+
+
 def _spread_largest(edges: DataFrame) -> DataFrame:
     """``node, color``: the largest node that leads to each node, itself included."""
     nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
-    colors = cut_lineage(nodes.withColumn("color", F.col("node")))
+    colors = cut_estimates(nodes.withColumn("color", F.col("node")))
     while True:
         incoming = (
             edges.join(colors, edges.src == colors.node)
@@ -111,7 +174,7 @@ def _spread_largest(edges: DataFrame) -> DataFrame:
         )
         # whatever leads to the color of a node leads to the node itself
         jump = step.select(F.col("node").alias("new"), F.col("new").alias("further"))
-        step = cut_lineage(
+        step = cut_estimates(
             step.join(jump, "new").select(
                 "node", "color", F.greatest("new", "further").alias("new")
             )
@@ -121,41 +184,31 @@ def _spread_largest(edges: DataFrame) -> DataFrame:
             return colors
 
 
-def _reach_back(edges: DataFrame, roots: DataFrame) -> DataFrame:
-    """Nodes from which the root of their color is reachable inside that color."""
-    reached = frontier = cut_lineage(roots)
-    while not frontier.isEmpty():
-        back = (
-            edges.join(frontier, edges.dst == frontier.node, "left_semi")
-            .select(F.col("src").alias("node"), "color")
-            .distinct()
-        )
-        frontier = cut_lineage(back.join(reached, "node", "left_anti"))
-        reached = cut_lineage(reached.unionByName(frontier))
-    return reached
-
-
 def cycle_members(edges: DataFrame) -> DataFrame:
     """``node, cycle``: the nodes on rewrite cycles, grouped by mutual reachability.
 
-    The acyclic parts are peeled off first. What is left is split by the largest node that leads
+    What lies before the first and behind the last cycle goes first. What is left is split by the largest node that leads
     to each node; within such a part, the nodes that lead back to it form one group. A group is
     named after its smallest node.
     """
-    remaining, found = _cyclic_core(cut_lineage(edges.select("src", "dst"))), []
+    remaining, found = _cyclic_core(cut_estimates(edges.select("src", "dst"))), []
     while not remaining.isEmpty():
         colors = _spread_largest(remaining)
         start = colors.select(F.col("node").alias("src"), F.col("color"))
         end = colors.select(F.col("node").alias("dst"), F.col("color").alias("end_color"))
-        inside = cut_lineage(
+        inside = cut_estimates(
             remaining.join(start, "src").join(end, "dst").filter("color = end_color")
         )
-        group = _reach_back(inside.select("src", "dst", "color"), colors.filter("node = color"))
+        # the color is the largest node there: who leads back to it is found on the turned edges
+        back = _spread_largest(_turned(inside)).select("node", F.col("color").alias("back"))
+        loops = colors.join(back, "node").filter("color = back").select("node", "color")
+        roots = colors.filter("node = color")
+        group = cut_estimates(loops.unionByName(roots).distinct())
         found.append(group)
         members = group.select("node")
         rest = remaining.join(members, remaining.src == members.node, "left_anti")
         rest = rest.join(members, rest.dst == members.node, "left_anti")
-        remaining = _cyclic_core(cut_lineage(rest))
+        remaining = _cyclic_core(cut_estimates(rest))
     if not found:
         return edges.select(F.col("src").alias("node"), F.col("src").alias("cycle")).limit(0)
     merged = reduce(DataFrame.unionByName, found)
@@ -175,10 +228,5 @@ def longest_chain(edges: DataFrame, on_cycles: DataFrame | None = None) -> int:
     members = on_cycles.select("node")
     acyclic = edges.join(members, edges.src == members.node, "left_anti")
     acyclic = acyclic.join(members, acyclic.dst == members.node, "left_anti")
-    acyclic = cut_lineage(acyclic.select("src", "dst"))
-    frontier, length = acyclic.select("src", "dst"), 1
-    while not frontier.isEmpty():
-        length += 1
-        ends = frontier.select(F.col("dst").alias("src")).distinct()
-        frontier = cut_lineage(acyclic.join(ends, "src", "left_semi"))
-    return length
+    longest = walk_lengths(acyclic).agg(F.max("steps").alias("steps")).first()["steps"]
+    return 1 + (longest or 0)

@@ -210,13 +210,10 @@ def _(t):
 
 @query(
     "prj1_harmonized_submissions",
-    B.INTEGRATED_SQL
-    + " SELECT * EXCLUDE (event_date) FROM united WHERE source IN ('submission', 'pma_submission')",
+    B.INTEGRATED_SQL + " SELECT * FROM united",
 )
 def _(t):
-
-    tables = {name: B.sources(t)[name] for name in ("pma_submission", "submission")}
-    return union_sources(tables).drop("event_date")
+    return union_sources(B.sources(t)).withColumn("event_date", F.col("event_date").cast("string"))
 
 
 @query(
@@ -244,27 +241,28 @@ def _(t):
 
 @query(
     "prj4_derived_flags",
-    """
-WITH returned AS (
-  SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+    f"""WITH {B.EVENTS_SQL},
+r AS (SELECT openfda_regulation_number AS number, count(*) AS n FROM recalls_a GROUP BY 1)
 SELECT p_partkey, CASE WHEN p_type = 'PROMO' THEN 1 ELSE 0 END AS pma_approval,
   CASE WHEN p_type = 'ECONOMY' THEN 1 ELSE 0 END AS "510k_approval",
   CASE WHEN coalesce(n, 0) > 0 THEN 1 ELSE 0 END AS recall
-FROM part LEFT JOIN returned ON p_partkey = l_partkey""",
+FROM part LEFT JOIN r ON CAST(p_size AS VARCHAR) = number""",
 )
 def _(t):
     from devigil.operators.harmonize import approval_flags
+    from devigil.operators.models import recall_counts
 
     kind = F.when(F.col("p_type") == "PROMO", "2").when(F.col("p_type") == "ECONOMY", "1")
-    returned = t.lineitem.filter("l_returnflag = 'R'").groupBy("l_partkey").count()
+    recalls = recall_counts(B.recalls_of_orders(t), "openfda_regulation_number")
+    number = F.col("p_size").cast("string")
     return (
-        t.part.join(returned, F.col("p_partkey") == F.col("l_partkey"), "left")
+        t.part.join(recalls, number == F.col("openfda_regulation_number"), "left")
         .withColumns(approval_flags(kind))
         .select(
             "p_partkey",
             "pma_approval",
             "510k_approval",
-            (F.coalesce("count", F.lit(0)) > 0).cast("int").alias("recall"),
+            (F.coalesce("recall_count", F.lit(0)) > 0).cast("int").alias("recall"),
         )
     )
 
@@ -296,24 +294,22 @@ def _(t):
 
 @query(
     "jn3_recall_counts_left",
-    """
-WITH r AS (
-  SELECT lower(p_name) AS name, count(*) AS recall_count FROM lineitem JOIN part
-    ON l_partkey = p_partkey WHERE l_returnflag = 'R' GROUP BY 1)
-SELECT p_partkey, p_name, coalesce(recall_count, 0) AS recall_count,
+    f"""WITH {B.EVENTS_SQL},
+r AS (SELECT lower(country) AS name, count(*) AS recall_count FROM recalls_a GROUP BY 1)
+SELECT s_suppkey, n_name, coalesce(recall_count, 0) AS recall_count,
   CASE WHEN coalesce(recall_count, 0) > 0 THEN 1 ELSE 0 END AS recall
-FROM part LEFT JOIN r ON lower(p_name) = name""",
+FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN r ON lower(n_name) = name""",
 )
 def _(t):
     from devigil.operators.models import recall_counts
 
-    returned = t.lineitem.filter("l_returnflag = 'R'").join(
-        t.part, F.col("l_partkey") == F.col("p_partkey")
-    )
-    per_name = recall_counts(returned.select(F.lower("p_name").alias("name")), "name")
-    return t.part.join(per_name, F.lower("p_name") == F.col("name"), "left").select(
-        "p_partkey",
-        "p_name",
+    recalls = B.recalls_of_orders(t).select(F.lower("country").alias("name"))
+    makers = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    return makers.join(
+        recall_counts(recalls, "name"), F.lower("n_name") == F.col("name"), "left"
+    ).select(
+        "s_suppkey",
+        "n_name",
         F.coalesce("recall_count", F.lit(0)).alias("recall_count"),
         (F.coalesce("recall_count", F.lit(0)) > 0).cast("int").alias("recall"),
     )

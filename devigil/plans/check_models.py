@@ -150,10 +150,10 @@ def _(t):
 @query("er6_kmeans_names")
 def _(t):
     model, _ = M.kmeans_names(_names_of(t.part), "name")
-    returned = t.lineitem.filter("l_returnflag = 'R'").select(F.col("l_partkey").alias("p_partkey"))
-    returned_parts = t.part.join(returned, "p_partkey", "left_semi")
+    reported = t.lineitem.select(F.col("l_partkey").alias("p_partkey"))
+    reported_parts = t.part.join(reported, "p_partkey", "left_semi")
     sides = _names_of(t.part).withColumn("side", F.lit("classified")).unionByName(
-        _names_of(returned_parts).withColumn("side", F.lit("returned"))
+        _names_of(reported_parts).withColumn("side", F.lit("reported"))
     )
     return model.transform(sides.distinct()).select("name", "side", "cluster")
 

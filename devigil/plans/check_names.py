@@ -30,7 +30,7 @@ from devigil.plans.registry import query
 LABELS_SQL = """
 lefts AS (SELECT DISTINCT lower(p_name || ' ' || p_brand || ' ' || p_type) AS a FROM part),
 rights AS (SELECT DISTINCT lower(p_name || ' ' || p_brand || ' ' || p_type) AS b
-  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R')
+  FROM lineitem JOIN part ON l_partkey = p_partkey)
 """
 CLOSE_SQL = """
 close AS (SELECT a, b, total FROM (SELECT a, b, length(a) + length(b) AS total,
@@ -53,8 +53,8 @@ scored AS (SELECT a, b, 2.0 * cells[length(b)] / total AS score FROM lcs WHERE i
 
 def _labels(t):
     label = F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("label")
-    returned = t.lineitem.filter("l_returnflag = 'R'").select(F.col("l_partkey").alias("p_partkey"))
-    return t.part.select(label), t.part.join(returned, "p_partkey", "left_semi").select(label)
+    reported = t.lineitem.select(F.col("l_partkey").alias("p_partkey"))
+    return t.part.select(label), t.part.join(reported, "p_partkey", "left_semi").select(label)
 
 
 @query(

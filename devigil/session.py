@@ -52,6 +52,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_estimates(df: DataFrame) -> DataFrame:
+    """``cut_lineage`` that forgets the estimated size of ``df`` as well.
+
+    A checkpoint keeps the estimate of its plan, and that of a join is a product. Where a table joins
+    itself in every round, the number of its digits doubles with every round and planning ends up
+    slower than the work. Sizes are measured at run time here, so nothing is lost but the estimate.
+    """
+    spark, kept = df.sparkSession, cut_lineage(df)
+    plain = spark._jsparkSession.createDataFrame(kept._jdf.javaRDD(), kept._jdf.schema())
+    return DataFrame(plain, spark)
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = 16 << 20) -> DataFrame:
     """Hint a broadcast for a materialised frame, only after measuring what its rows hold."""
     held = F.octet_length(F.to_json(F.struct(*df.columns)))

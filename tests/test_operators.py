@@ -30,6 +30,7 @@ from devigil.operators.rewrites import (
 from devigil.operators.sampling import sample_percent, sample_to_target
 from devigil.operators.vectors import tfidf
 from devigil.operators.series import monthly_counts, policies, split_holdout
+from devigil.session import cut_estimates
 
 
 # --- scalar functions ---------------------------------------------------------------------------
@@ -343,6 +344,48 @@ def test_chains_cycles_and_fixpoints(spark):
     }
 
 
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    from devigil.operators import rewrites
+
+    rounds = []
+    monkeypatch.setattr(
+        rewrites, "cut_estimates", lambda df: rounds.append(1) or cut_estimates(df)
+    )
+    n = 65_536
+    # names in an order that has nothing to do with their place
+    place = "(id * 40503) % 65536"
+    after = place.replace("id", "(id + 1)")
+    chain = spark.range(n - 1).selectExpr(
+        f"cast({place} as string) src", f"cast({after} as string) dst"
+    )
+    assert rewrites.walk_lengths(chain).agg(F.max("steps")).first()[0] == n - 1
+    assert len(rounds) <= 22
+    ring = chain.union(spark.sql(f"select cast((({n} - 1L) * 40503) % 65536 as string), '0'"))
+    steps = rewrites.walk_lengths(ring.union(spark.sql("select 'in', '0'")))
+    assert steps.filter(F.col("steps") == rewrites.ENDLESS).count() == n + 1
+
+
+def test_walks_and_cycles_of_random_graphs(spark):
+    from devigil.operators.rewrites import ENDLESS, walk_lengths
+
+    for seed, (nodes, count) in enumerate([(12, 14), (25, 30)]):
+        draw = random.Random(seed)
+        pairs = {(draw.randrange(nodes), draw.randrange(nodes)) for _ in range(count)}
+        pairs = {(a, b) for a, b in pairs if a != b}
+        reach = {a: {b for x, b in pairs if x == a} for a in range(nodes)}
+        for _ in range(nodes):
+            reach = {a: r.union(*[reach[b] for b in r]) for a, r in reach.items()}
+        steps = dict.fromkeys(range(nodes), 0)
+        for _ in range(nodes + 1):
+            for a, b in pairs:
+                steps[a] = max(steps[a], steps[b] + 1)
+        want = {a: ENDLESS if any(b in reach[b] for b in reach[a] | {a}) else steps[a] for a, _ in pairs}
+        edges = spark.createDataFrame(sorted(pairs), "src bigint, dst bigint")
+        assert dict(map(tuple, walk_lengths(edges).collect())) == want
+        loops = {a: min(b for b in reach[a] if a in reach[b]) for a in range(nodes) if a in reach[a]}
+        assert dict(map(tuple, cycle_members(edges).collect())) == loops
+
+
 def test_overlapping_cycles_form_one_group(spark):
     pairs = [("a", "b"), ("b", "a"), ("b", "c"), ("c", "b"), ("c", "d"), ("e", "f"), ("f", "e")]
     members = {tuple(r) for r in cycle_members(rewrite_edges(_mapping(spark, pairs))).collect()}
