@@ -101,14 +101,14 @@ def remove_boilerplate(docs: DataFrame, params: LineParams = LineParams()) -> Da
 
 #: The same in SQL, with exact counts: what the sketches must agree with.
 CHECK = """
-WITH texts AS (
-  SELECT text, min(coalesce(source, '')) AS site FROM documents WHERE text IS NOT NULL GROUP BY text
+WITH sites AS (
+  SELECT DISTINCT text, coalesce(source, '') AS site FROM documents WHERE text IS NOT NULL
 ), split AS (
-  SELECT text, site, unnest(string_split(text, chr(10))) AS line,
-         generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM texts
+  SELECT text, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM (SELECT DISTINCT text FROM sites)
 ), common AS (
-  SELECT trim(line) AS line FROM split WHERE length(trim(line)) >= 20
-  GROUP BY ALL HAVING count(DISTINCT site) >= 8
+  SELECT trim(line) AS line FROM split JOIN sites USING (text) WHERE length(trim(line)) >= 20
+  GROUP BY ALL HAVING count(DISTINCT site) >= 8 AND count(DISTINCT text) >= 2
 ), cleaned AS (
   SELECT s.text, count(*) AS n_lines, count(c.line) AS n_removed,
          coalesce(string_agg(s.line, chr(10) ORDER BY s.pos) FILTER (WHERE c.line IS NULL), '') AS kept
