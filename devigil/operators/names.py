@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from devigil.functions.similarity import indel_ratio, levenshtein_ratio, sorted_tokens
+from devigil.functions.similarity import (
+    indel_ratio,
+    levenshtein_ratio,
+    sorted_tokens,
+    subsequence_similarity,
+)
 from devigil.functions.text import company_key
 from devigil.operators.blocks import blocked_join
 from devigil.operators.vectors import char_grams, tfidf
@@ -235,25 +240,27 @@ def nearest_by_grams(
         .agg(F.min("cosine").alias("bound"), F.count(F.lit(1)).alias("found"))
         .filter(F.col("found") == k)
     )
-    needed = (
+    needed = cut_lineage(
         queries.join(bound, "a", "left")
         .filter(F.col("reach") >= F.coalesce("bound", F.lit(0.0)) - 1e-9)
         .select("a", "term")
     )
-    candidates = needed.join(postings.select("b", "term"), "term").select("a", "b").distinct()
+    # a frequent n-gram stands in much of both sides, so its lists meet block by block
+    met = blocked_join(needed, postings.select("b", "term"), "term")
+    candidates = met.select("a", "b").distinct()
     # rounded, because the last bits of a sum depend on the order of addition
     exact = cosines(candidates).withColumn("cosine", F.round("cosine", 9))
     return _rank(exact, k, "cosine")
 
 
-def match_score(a: Column, b: Column, cosine: Column) -> Column:
-    """0 to 100: mean of edit, token-order-free edit and n-gram similarity."""
+def match_score(a: Column, b: Column) -> Column:
+    """0 to 100: mean of edit, token-order-free edit and subsequence similarity."""
     return (
         100
         * (
             levenshtein_ratio(a, b)
             + levenshtein_ratio(sorted_tokens(a), sorted_tokens(b))
-            + cosine
+            + subsequence_similarity(a, b)
         )
         / 3
     )
@@ -265,6 +272,8 @@ def match_names(
     """``a, b, score, rank``: the best matches among the k nearest names, on cleaned names."""
     a = left.select(company_key(F.col(left_column)).alias("name")).filter("name <> ''").distinct()
     b = right.select(company_key(F.col(right_column)).alias("name")).filter("name <> ''").distinct()
-    near = nearest_by_grams(a, b, k).drop("rank")
-    scored = near.withColumn("score", match_score(F.col("a"), F.col("b"), F.col("cosine")))
+    near = cut_lineage(nearest_by_grams(a, b, k).select("a", "b"))
+    # the kernel is much work on few bytes, so the pairs must not be packed by size
+    spread = near.repartition(max(1, -(-near.count() // PAIRS_PER_TASK)))
+    scored = spread.withColumn("score", match_score(F.col("a"), F.col("b")))
     return _rank(scored.withColumn("score", F.round("score", 6)), k, "score")

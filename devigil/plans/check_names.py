@@ -117,10 +117,20 @@ NEAREST_SQL = _nearest_sql("p_name || ' ' || p_brand", "p_name || ' ' || p_type"
 SAME_KIND_SQL = _nearest_sql("p_name || ' ' || p_brand", "p_name || ' ' || p_brand || ' Inc.'")
 TOKEN_SORT_SQL = "array_to_string(list_sort(string_split({0}, ' ')), ' ')"
 EDIT_SQL = "(1.0 - levenshtein({0}, {1}) / CAST(greatest(length({0}), length({1})) AS DOUBLE))"
+# Weights of all subsequences of two characters per name; a kernel is the product of two names' weights.
 SCORED_SQL = f"""
-scored AS (SELECT a, b, cosine, round(100 * ({EDIT_SQL.format('a', 'b')} +
-  {EDIT_SQL.format(TOKEN_SORT_SQL.format('a'), TOKEN_SORT_SQL.format('b'))} + cosine) / 3, 6)
-  AS score FROM nearest)
+spelled AS (SELECT name, unnest(range(1, length(name) + 1)) AS i
+  FROM (SELECT a AS name FROM nearest UNION SELECT b FROM nearest)),
+skips AS (SELECT x.name, substr(x.name, x.i, 1) || substr(x.name, y.i, 1) AS u,
+    sum(0.9::DOUBLE ** (y.i - x.i + 1)) AS w
+  FROM spelled x JOIN spelled y ON x.name = y.name AND x.i < y.i GROUP BY 1, 2),
+unit AS (SELECT name, u, w / sqrt(sum(w * w) OVER (PARTITION BY name)) AS w FROM skips),
+kernels AS (SELECT a, b, sum(l.w * r.w) AS kernel FROM nearest
+  JOIN unit l ON l.name = a JOIN unit r ON r.name = b AND r.u = l.u GROUP BY 1, 2),
+scored AS (SELECT a, b, round(100 * ({EDIT_SQL.format('a', 'b')} +
+  {EDIT_SQL.format(TOKEN_SORT_SQL.format('a'), TOKEN_SORT_SQL.format('b'))} +
+  coalesce(kernel, CASE WHEN a = b THEN 1 ELSE 0 END)) / 3, 6)
+  AS score FROM nearest LEFT JOIN kernels USING (a, b))
 """
 
 
@@ -139,6 +149,20 @@ def _(t):
     return nearest_by_grams(a, b).drop("rank")
 
 
+@query(
+    "jn8_subsequence_similarity",
+    f"""WITH {NEAREST_SQL}, {SCORED_SQL}
+SELECT a, b, round(coalesce(kernel, 0), 9) AS similarity FROM nearest LEFT JOIN kernels USING (a, b)""",
+)
+def _(t):
+    from devigil.functions.similarity import subsequence_similarity
+    from devigil.functions.text import company_key
+
+    a, b = (side.select(company_key(F.col("name")).alias("name")).distinct() for side in _sides(t))
+    similarity = subsequence_similarity(F.col("a"), F.col("b"))
+    return nearest_by_grams(a, b).select("a", "b", F.round(similarity, 9).alias("similarity"))
+
+
 @query(
     "jn8_top_matches",
     f"""WITH {NEAREST_SQL}, {SCORED_SQL} SELECT a, b, score,

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from devigil.functions import temporal, text
-from devigil.functions.similarity import indel_ratio, indel_similarity
+from devigil.functions.similarity import indel_ratio, indel_similarity, subsequence_similarity
 from devigil.operators import geo, reports
 from devigil.operators.blocks import blocked_join
 from devigil.operators.clusters import cluster_texts, linking_pairs, similar_pairs
@@ -322,6 +322,44 @@ def test_mapping_is_applied_once_with_the_smallest_target(spark):
     assert changed_rows(renamed, "n").first().changed == 1
 
 
+@pytest.mark.parametrize("order, cells", [(1, 1 << 20), (2, 40), (3, 1), (3, 1 << 20)])
+def test_subsequence_kernel_equals_its_definition(monkeypatch, order, cells):
+    from itertools import combinations
+
+    from devigil.functions import similarity
+
+    monkeypatch.setattr(similarity, "KERNEL_CELLS", cells)
+    draw = random.Random(order)
+    names = ["", "a", "ab", "abc", "\U0001f600b\U0001f600", "cab" * 4, "acme corp", "corp acme"]
+    names += ["".join(draw.choices("abc ", k=draw.randrange(1, 11))) for _ in range(12)]
+
+    def weights(name):
+        found = {}
+        for at in combinations(range(len(name)), order):
+            key = "".join(name[i] for i in at)
+            found[key] = found.get(key, 0) + 0.7 ** (at[-1] - at[0] + 1)
+        return found
+
+    def product(a, b):
+        return sum(w * weights(b).get(u, 0) for u, w in weights(a).items())
+
+    pairs = [(a, b) for a in names for b in names]
+    got = similarity.subsequence_similarities(*zip(*pairs, (None, "a"), ("a", None)), order, 0.7)
+    assert got[-2:] == [None, None] and similarity.subsequence_similarities([], []) == []
+    for (a, b), value in zip(pairs, got):
+        scale = (product(a, a) * product(b, b)) ** 0.5
+        want = 1.0 if a == b else product(a, b) / scale if scale else 0.0
+        assert value == pytest.approx(want, abs=1e-12), (a, b)
+
+
+def test_subsequence_kernel_of_long_names(spark):
+    long = "abcdefghij" * 400
+    rows = [(long, long[1:]), (long, "0" * 4000), ("x", "x"), (None, "x")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    out = [r[0] for r in df.select(subsequence_similarity(F.col("a"), F.col("b"))).collect()]
+    assert 0.99 < out[0] < 1 and out[1:] == [0.0, 1.0, None]
+
+
 def test_chains_cycles_and_fixpoints(spark):
     pairs = [
         ("A ", "b"), ("b", "c"), ("c", "d"), ("d", "D"),  # a chain of four, and a self-map
