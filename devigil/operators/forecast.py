@@ -76,6 +76,86 @@ def fit(y: np.ndarray, multiplicative: bool) -> tuple[float, float, float]:
     return best
 
 
+def start_states(y: np.ndarray, multiplicative: bool) -> np.ndarray:
+    """Level, trend and seasons that ``smooth`` starts from."""
+    first, second = y[:SEASON].mean(), y[SEASON : 2 * SEASON].mean()
+    seasons = y[:SEASON] / first if multiplicative else y[:SEASON] - first
+    return np.concatenate([[first, (second - first) / SEASON], seasons])
+
+
+def one_step(y: np.ndarray, sets: np.ndarray, multiplicative: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Errors of the one-step forecasts and the states after them, for rows of parameters.
+
+    A row holds alpha, beta, gamma, the start level and trend and the twelve start seasons.
+    """
+    alpha, beta, gamma, level, trend = sets[:, :5].T
+    seasonal = list(sets[:, 5:].T)
+    errors = np.empty((len(sets), len(y)))
+    with np.errstate(all="ignore"):
+        for i, value in enumerate(y):
+            s, ahead = seasonal.pop(0), level + trend
+            error = value - (ahead * s if multiplicative else ahead + s)
+            errors[:, i] = error
+            # what the level and the season take of the error
+            shift, turn = (error / s, error / ahead) if multiplicative else (error, error)
+            level = ahead + alpha * shift
+            trend = trend + alpha * beta * shift
+            seasonal.append(s + gamma * turn)
+    return errors, np.column_stack([level, trend, *seasonal])
+
+
+def fit_all(y: np.ndarray, multiplicative: bool, rounds: int = 200) -> np.ndarray:
+    """Smoothing parameters in [0, 1] and start states with the least squared training error.
+
+    Damped Gauss-Newton steps with the smoothing parameters projected into their bounds; those held
+    at a bound stay out of the step. It starts from ``fit`` and from fixed guesses, keeps the best and
+    only takes steps that lower the error, so it ends no higher than ``fit``.
+    """
+    states = start_states(y, multiplicative)
+    guesses = [fit(y, multiplicative), (0.5, 0.1, 0.1), (0.1, 0.01, 0.01), (0.02, 0.0, 0.5)]
+    found = [_descend(y, np.concatenate([g, states]), multiplicative, rounds) for g in guesses]
+    return min(found, key=lambda pair: pair[0])[1]
+
+
+def _descend(
+    y: np.ndarray, point: np.ndarray, multiplicative: bool, rounds: int
+) -> tuple[float, np.ndarray]:
+    def squares(errors: np.ndarray) -> float:
+        total = float(np.sum(errors**2))
+        return total if np.isfinite(total) else np.inf
+
+    error, damping = squares(one_step(y, point[None], multiplicative)[0][0]), 1e-3
+    for _ in range(rounds):
+        width = 1e-6 * np.maximum(1.0, np.abs(point))
+        # differences are taken inwards, so that no parameter leaves its bounds
+        width[:3] = np.where(point[:3] > 0.5, -width[:3], width[:3])
+        errors = one_step(y, np.vstack([point, point + np.diag(width)]), multiplicative)[0]
+        if not np.isfinite(errors).all():
+            break
+        slopes = (errors[1:] - errors[0]) / width[:, None]
+        gradient = slopes @ errors[0]
+        held = np.zeros(len(point), dtype=bool)
+        held[:3] = ((point[:3] <= 0) & (gradient[:3] > 0)) | ((point[:3] >= 1) & (gradient[:3] < 0))
+        free = slopes[~held]
+        normal = free @ free.T
+        scale = np.diag(np.maximum(np.diag(normal), 1e-12))
+        lowered = False
+        while damping < 1e12 and not lowered:
+            step = np.zeros(len(point))
+            step[~held] = np.linalg.lstsq(normal + damping * scale, -gradient[~held], rcond=None)[0]
+            trial = point + step
+            trial[:3] = np.clip(trial[:3], 0.0, 1.0)
+            tried = squares(one_step(y, trial[None], multiplicative)[0][0])
+            lowered = tried < error
+            damping = max(damping / 5, 1e-12) if lowered else damping * 4
+        if not lowered:
+            break
+        gain, point, error = error - tried, trial, tried
+        if gain <= 1e-12 * error:
+            break
+    return error, point
+
+
 def forecast_schema(series: DataFrame, keys: Sequence[str]) -> T.StructType:
     return T.StructType(
         [T.StructField(k, series.schema[k].dataType) for k in keys]
@@ -90,12 +170,14 @@ def forecast(
     series: DataFrame,
     keys: Sequence[str] = (),
     parameters: tuple[float, float, float] | None = None,
+    fit_states: bool = False,
 ) -> DataFrame:
     """Actual counts, the forecast of the held-out months and the forecast beyond.
 
     The last tenth of a series is held out. The season is additive as soon as one month has no
     count, otherwise multiplicative. Without two full training seasons, or with nothing to hold
-    out, only the actual counts come back. ``parameters`` fixes (alpha, beta, gamma).
+    out, only the actual counts come back. ``parameters`` fixes (alpha, beta, gamma); ``fit_states``
+    fits the states a series starts from as well, by ``fit_all``.
     """
     keys = list(keys)
     schema = forecast_schema(series, keys)
@@ -112,13 +194,15 @@ def forecast(
         if forecasted:
             multiplicative = bool((y >= 1).all())
             kind = "multiplicative" if multiplicative else "additive"
-            used = parameters or fit(train, multiplicative)
-            level, trend, seasonal, _ = smooth(
-                train, *[np.array([p]) for p in used], multiplicative
-            )
-            ahead = project(
-                level[0], trend[0], seasonal[:, 0], held + HORIZON, multiplicative
-            )
+            if fit_states:
+                point = fit_all(train, multiplicative)
+                used = tuple(float(p) for p in point[:3])
+                level, trend, *seasonal = one_step(train, point[None], multiplicative)[1][0]
+            else:
+                used = parameters or fit(train, multiplicative)
+                states = smooth(train, *[np.array([p]) for p in used], multiplicative)[:3]
+                level, trend, seasonal = states[0][0], states[1][0], states[2][:, 0]
+            ahead = project(level, trend, np.array(seasonal), held + HORIZON, multiplicative)
             last = months.iloc[len(train) - 1]
             dates = pd.date_range(last + pd.offsets.MonthEnd(1), periods=len(ahead), freq="ME")
             rmse = float(round(np.sqrt(np.mean((y[len(train) :] - ahead[:held]) ** 2))))

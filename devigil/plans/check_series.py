@@ -230,6 +230,12 @@ def _(t):
     return _shown(forecast(series, ["series"]))
 
 
+@query("ts2_forecast_fitted_states")
+def _(t):
+    series = monthly_counts(_orders(t), "o_orderdate", ["series"])
+    return _shown(forecast(series, ["series"], fit_states=True))
+
+
 @query(
     "ts6_forecast_fallback",
     """WITH counted AS (

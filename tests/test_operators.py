@@ -15,7 +15,7 @@ from devigil.operators.blocks import blocked_join
 from devigil.operators.clusters import cluster_texts, linking_pairs, similar_pairs
 from devigil.operators.components import connected_components
 from devigil.operators.filters import build_filter, restrict_to, search
-from devigil.operators.forecast import fit, forecast, smooth
+from devigil.operators.forecast import fit, fit_all, forecast, one_step, smooth, start_states
 from devigil.operators.harmonize import fold_event_type, harmonize, one_hot, one_hot_rows, union_sources
 from devigil.operators.metrics import binary_metrics, confusion_matrix
 from devigil.operators.names import candidate_pairs, fuzzy_join, nearest_by_grams
@@ -166,6 +166,59 @@ def test_holdout_rounds_halves_to_even(spark):
         assert split_holdout(series, ["key"]).filter("held_out").count() == held
 
 
+def _made_series(draw, multiplicative, noise, months=84):
+    """A series that follows the model with the parameters returned beside it."""
+    alpha, beta, gamma = 0.4, 0.2, 0.3
+    level, trend = 200.0, 1.5
+    seasons = [1 + 0.3 * np.sin(i) if multiplicative else 40 * np.sin(i) for i in range(12)]
+    point, y = np.array([alpha, beta, gamma, level, trend, *seasons]), []
+    for _ in range(months):
+        s, ahead = seasons.pop(0), level + trend
+        error = draw.normal(0, noise)
+        y.append((ahead * s if multiplicative else ahead + s) + error)
+        shift, turn = (error / s, error / ahead) if multiplicative else (error, error)
+        level, trend = ahead + alpha * shift, trend + alpha * beta * shift
+        seasons.append(s + gamma * turn)
+    return np.array(y), point
+
+
+@pytest.mark.parametrize("multiplicative", [False, True])
+def test_fitted_states_reach_the_least_error(multiplicative):
+    draw = np.random.default_rng(7)
+    axis = np.arange(0, 1.001, 0.05)
+    grid = np.stack(np.meshgrid(axis, axis, axis, indexing="ij"), -1).reshape(-1, 3)
+    for noise in (3.0, 12.0):
+        y, true = _made_series(draw, multiplicative, noise)
+        best = fit_all(y, multiplicative)
+        assert ((best[:3] >= 0) & (best[:3] <= 1)).all()
+
+        def squares(point):
+            return (one_step(y, np.atleast_2d(point), multiplicative)[0] ** 2).sum(axis=1)
+
+        least = squares(best)[0]
+        # no worse than the truth, than any grid point with fixed or true states, than small moves
+        states = start_states(y, multiplicative)
+        assert least <= squares(true)[0]
+        for fixed in (states, true[3:]):
+            error = squares(np.hstack([grid, np.tile(fixed, (len(grid), 1))]))
+            assert least <= np.nanmin(error)
+        moved = best + np.diag(1e-3 * np.maximum(1, abs(best)))
+        moved[:, :3] = np.clip(moved[:, :3], 0, 1)
+        assert (squares(moved) >= least * (1 - 1e-6)).all()
+        # the same recursion as the one with fixed states
+        fixed = one_step(y, np.array([[0.4, 0.2, 0.3, *states]]), multiplicative)
+        level, trend, seasons, error = smooth(y, *np.array([[0.4], [0.2], [0.3]]), multiplicative)
+        assert (fixed[0] ** 2).sum() == pytest.approx(error[0])
+        assert fixed[1][0] == pytest.approx([level[0], trend[0], *seasons[:, 0]])
+
+
+def test_fitted_states_of_flat_and_empty_series():
+    for y, multiplicative in ((np.zeros(30), False), (np.full(30, 7.0), True), (np.full(24, 7.0), False)):
+        best = fit_all(y, multiplicative)
+        assert np.isfinite(best).all()
+        assert (one_step(y, best[None], multiplicative)[0] ** 2).sum() == pytest.approx(0, abs=1e-9)
+
+
 def test_forecast_shapes_kinds_and_fallback(spark):
     season = [10 + 5 * (i % 12) + i for i in range(60)]
     with_zero = [0 if i == 30 else n for i, n in enumerate(season)]
