@@ -224,6 +224,9 @@ def longest_chain(edges: DataFrame, on_cycles: DataFrame | None = None) -> int:
     Repeated mapping needs one pass less than that to settle, plus one that changes nothing.
     """
     if on_cycles is None:
+        longest = walk_lengths(edges).agg(F.max("steps").alias("steps")).first()["steps"] or 0
+        if longest < ENDLESS:
+            return 1 + longest
         on_cycles = cycle_members(edges)
     members = on_cycles.select("node")
     acyclic = edges.join(members, edges.src == members.node, "left_anti")
