@@ -2,11 +2,11 @@
 
 A classifier trained on the labelled table predicts how likely a document belongs to each domain.
 Nonnegative document rates then solve a least-squares problem: the expected tokens of every domain,
-rate times tokens times posterior summed over all documents, shall match the targets. Gradient
-steps start from rate 1 everywhere and their sum is projected on rates of 0 and more. A step changes a
-rate only through the residuals of the domains, so the rates of any step are a function of the few
-residuals before it: every round is one pass over ``tokens, posterior`` that replays those residuals
-and sums up the next.
+rate times tokens times posterior summed over all documents, shall match the targets. Projected
+gradient solves it: from rate 1 everywhere, every round takes a step against the gradient and cuts the
+rate of each document at 0. The gradient of a document is its posterior times the residuals of the
+domains, so its rate after any round is a function of the few residuals before: every round is one pass
+over ``tokens, posterior`` that replays those rounds and sums up the next residuals.
 """
 
 from __future__ import annotations
@@ -24,13 +24,17 @@ from devigil.llm.shared import Landing, slices
 from devigil.llm.tokens import LETTERS_DIGITS, NOT_SPACE, word_hashes, words
 
 BITS = 16
+#: Rounds of projected gradient over which the residual has to fall.
+STALL = 10
 
 
 @dataclass(frozen=True)
 class MixParams:
     """``targets`` are the shares of tokens by domain, scaled to a sum of 1; ``tokens`` is their total
     (None: the tokens that the documents have). ``train_rows`` bounds the labelled rows per domain
-    that the classifier is fitted on (in expectation: they are drawn by a hash)."""
+    that the classifier is fitted on (in expectation: they are drawn by a hash). At most ``rounds`` of
+    projected gradient are made; they end at residuals of ``tolerance`` of all tokens, or once the squared
+    residual falls by less than the share ``progress`` a round."""
 
     targets: Mapping[str, float] = field(default_factory=lambda: {"good": 0.9, "poor": 0.08, "toxic": 0.02})
     tokens: float | None = None
@@ -38,8 +42,9 @@ class MixParams:
     epochs: int = 80
     stride: float = 4.0
     ridge: float = 1e-5
-    rounds: int = 60
+    rounds: int = 200
     tolerance: float = 1e-4
+    progress: float = 1e-4
 
 
 def domain_of_labels():
@@ -159,59 +164,81 @@ def posteriors(docs: DataFrame, model: dict, keep: tuple[str, ...]) -> DataFrame
     return source.mapInArrow(predict, f"{schema}n_tokens bigint, posterior array<double>")
 
 
-def replay(posterior: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    """The rates after some steps: from 1 against the residuals of all steps, then cut at 0.
+@dataclass(frozen=True)
+class Round:
+    """A round of projected gradient: both arrays by domain. ``step`` is the residual times the step size;
+    ``momentum`` is how far the rates go on in the direction of the round."""
+
+    scale: np.ndarray
+    step: np.ndarray
+    momentum: float
 
-    Cutting only at the end keeps the rates the nearest to 1 among those with the same totals.
-    """
-    return np.maximum(0, 1 - posterior @ np.sum([np.zeros(posterior.shape[1]), *steps], axis=0))
+
+def replay(posterior: np.ndarray, rounds: list[Round]) -> np.ndarray:
+    """The rates after some rounds: from 1, each a step against the gradient, cut at 0."""
+    rate = last = np.ones(len(posterior))
+    for r in rounds:
+        moved = np.maximum(0, rate - (posterior @ r.scale) * (posterior @ r.step))
+        rate, last = np.maximum(0, moved + r.momentum * (moved - last)), moved
+    return rate
 
 
 def _posterior(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def fit_rates(rows: DataFrame, domains: list[str], params: MixParams = MixParams()) -> list[np.ndarray]:
-    """The steps whose replay gives the rates; ``rows`` has ``n_tokens, posterior``.
+def fit_rates(rows: DataFrame, domains: list[str], params: MixParams = MixParams()) -> list[Round]:
+    """The rounds whose replay gives the rates; ``rows`` has ``n_tokens, posterior``.
 
-    A step is weighted by the inverse second moments of the posteriors of the documents whose rate is
-    not 0, so it is exact unless rates are cut at 0 by it. The best steps so far are returned if the
-    targets are not reached. Without tokens there are no steps and all rates are 1.
+    A document's gradient is scaled by its posterior over the tokens of the domains, so that rare domains
+    move as fast as frequent ones; cutting at 0 is the projection under this diagonal scaling as well. The
+    step is the inverse of the largest curvature. Rounds gain momentum until the squared residual rises,
+    then start to gain it again. They end when the residuals are within ``tolerance`` or the best of them
+    does not fall any more, which is the least-squares solution of targets that cannot be reached. The
+    rounds up to the best residual are returned. Without tokens there are none and all rates are 1.
     """
     width = len(domains)
 
-    def gathered(steps):
+    def gathered(measure, size):
         def sums(batches):
             for batch in batches:
                 tokens = batch.column(0).to_numpy(zero_copy_only=False).astype(float)
-                posterior = _posterior(batch.column(1), width)
-                rate = replay(posterior, steps)
-                active = posterior * (tokens * (rate > 0))[:, None]
-                found = [(tokens * rate) @ posterior, (active.T @ posterior).ravel(), [tokens.sum()]]
-                found = np.concatenate(found)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(found))), pa.array(found)], names=["i", "x"])
+                found = measure(tokens, _posterior(batch.column(1), width))
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(found)], names=["i", "x"])
 
         part = rows.select("n_tokens", "posterior").mapInArrow(sums, "i bigint, x double")
         found = dict(part.groupBy("i").agg(F.sum("x")).collect())
-        out = np.array([found.get(i, 0.0) for i in range(width + width * width + 1)])
-        return out[:width], out[width:-1].reshape(width, width), out[-1]
+        return np.array([found.get(i, 0.0) for i in range(size)])
+
+    tokens = gathered(lambda tokens, posterior: tokens @ posterior, width)
+    whole = tokens.sum()
+    if whole <= 0:
+        return []
+    scale = np.divide(whole, tokens, out=np.zeros(width), where=tokens > 0)
+
+    def curvature(tokens, posterior):
+        return ((posterior * (tokens * (posterior @ scale))[:, None]).T @ posterior).ravel()
 
+    moments = gathered(curvature, width * width).reshape(width, width) / whole
+    step = 1 / np.linalg.eigvalsh(moments)[-1]
     goal = np.array([params.targets[d] for d in domains], float)
     goal /= goal.sum()
-    steps: list[np.ndarray] = []
-    best: tuple[float, list] = (np.inf, [])
-    for _ in range(params.rounds):
-        tokens, moments, whole = gathered(steps)
-        if whole <= 0:
-            return []
-        scale = 1.0 if params.tokens is None else params.tokens / whole
-        residual = tokens / whole - goal * scale
-        worst = float(np.abs(residual).max())
-        best = min(best, (worst, list(steps)), key=lambda b: b[0])
-        if worst <= params.tolerance * scale:
-            break
-        steps.append(np.linalg.pinv(moments / whole, rcond=1e-6) @ residual)
-    return best[1]
+    if params.tokens is not None:
+        goal *= params.tokens / whole
+    made: list[Round] = []
+    best: list[tuple[float, int]] = []
+    residual, before, gained = tokens / whole - goal, np.inf, 0
+    while True:
+        square = float(residual @ residual)
+        best.append(min([*best[-1:], (square, len(made))]))
+        stalls = len(best) > STALL and best[-1][0] > (1 - params.progress * STALL) * best[-1 - STALL][0]
+        if np.abs(residual).max() <= params.tolerance * goal.sum() or stalls or len(made) >= params.rounds:
+            return made[: best[-1][1]]
+        gained = 0 if square > before else gained + 1
+        before = square
+        made.append(Round(scale, step * residual, max(0, (gained - 1) / (gained + 2))))
+        done = list(made)
+        residual = gathered(lambda tokens, posterior: (tokens * replay(posterior, done)) @ posterior, width) / whole - goal
 
 
 def mix(docs: DataFrame, labels: DataFrame, params: MixParams = MixParams()) -> DataFrame:
@@ -227,12 +254,12 @@ def mix(docs: DataFrame, labels: DataFrame, params: MixParams = MixParams()) ->
     domains = model["domains"]
     keep = tuple(c for c in docs.columns if c.lower() not in ("rate", "copies"))
     scored = store.land(posteriors(docs, model, keep), "scored")
-    steps = fit_rates(scored, domains, params)
+    rounds = fit_rates(scored, domains, params)
     width = len(domains)
 
     @F.pandas_udf("double")
     def rate(posterior):
-        return pd.Series(replay(np.array(posterior.tolist()).reshape(-1, width), steps))
+        return pd.Series(replay(np.array(posterior.tolist()).reshape(-1, width), rounds))
 
     rated = scored.withColumn("rate", rate("posterior"))
     chance = F.pmod(F.xxhash64("doc_id", "text", F.lit("copies")), F.lit(1_000_000)) / 1e6

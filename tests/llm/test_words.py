@@ -139,6 +139,41 @@ def test_rates_reach_the_targets(spark):
     assert mixing.fit_rates(rows.limit(0), ["a", "b", "c"], params) == []
 
 
+def _nonnegative_least_squares(columns, goal, sweeps):
+    """Coordinate descent: every rate in turn takes its best value of 0 and more."""
+    rate, residual = np.ones(columns.shape[1]), columns.sum(1) - goal
+    squares = (columns**2).sum(0)
+    for _ in range(sweeps):
+        for d in np.flatnonzero(squares):
+            new = max(0.0, rate[d] - columns[:, d] @ residual / squares[d])
+            residual += (new - rate[d]) * columns[:, d]
+            rate[d] = new
+    return rate, residual
+
+
+def test_rates_are_the_nonnegative_least_squares_solution(spark):
+    rng = np.random.default_rng(5)
+    # nobody is more than half in c, so 0.9 of c cannot be reached whatever the rates are
+    posterior = rng.dirichlet([1, 1, 1], 40)
+    posterior[:, 2] = np.minimum(posterior[:, 2], 0.4)
+    posterior /= posterior.sum(1, keepdims=True)
+    tokens = rng.integers(0, 50, 40)
+    rows = spark.createDataFrame(
+        [(int(n), [float(x) for x in p]) for n, p in zip(tokens, posterior)], "n_tokens bigint, posterior array<double>"
+    )
+    goals = {"reached": [0.5, 0.3, 0.2], "not reached": [0.05, 0.05, 0.9]}
+    columns = (posterior * tokens[:, None] / tokens.sum()).T
+    for name, goal in goals.items():
+        params = mixing.MixParams(targets=dict(zip("abc", goal)), tolerance=1e-6, progress=1e-7)
+        steps = mixing.fit_rates(rows, list("abc"), params)
+        rate = mixing.replay(posterior, steps)
+        residual = columns @ rate - goal
+        _, best = _nonnegative_least_squares(columns, np.array(goal), 3000)
+        assert (rate >= 0).all()
+        assert residual @ residual <= best @ best * (1 + 1e-3) + 1e-11, name
+        assert (np.abs(residual).max() <= 1e-6) == (name == "reached")
+
+
 def test_mixing_of_labelled_and_odd_documents(documents):
     good, bad = "clear useful words about science and history", "junk spam noise buy click now"
     docs = documents([f"{good} {i}" for i in range(30)] + [f"{bad} {i}" for i in range(30)] + [None, "", (0, f"{good} 0")])
