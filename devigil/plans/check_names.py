@@ -375,6 +375,37 @@ def _(t):
     return cluster_texts(rows, "name", "text")
 
 
+PARTS_SQL = "SELECT DISTINCT p_name || ' ' || p_brand || ' ' || p_type AS name FROM part"
+
+
+@query(
+    "er5_profile_clusters",
+    rf"""WITH RECURSIVE names AS ({PARTS_SQL}),
+counts AS (SELECT name, term, count(*) AS tf FROM (SELECT name,
+  unnest(regexp_extract_all(lower(name), '[\p{{L}}\p{{N}}_]{{2,}}')) AS term FROM names) GROUP BY 1, 2),
+raw AS (SELECT name, c.term, tf * (ln((1 + (SELECT count(*) FROM names)) / (1 + df)) + 1) AS w
+  FROM counts c JOIN (SELECT term, count(*) AS df FROM counts GROUP BY 1) f ON c.term = f.term),
+vectors AS (SELECT name, term, w / sqrt(sum(w * w) OVER (PARTITION BY name)) AS weight FROM raw),
+gram AS (SELECT a.term, b.term AS other, sum(a.weight * b.weight) AS g
+  FROM vectors a JOIN vectors b ON a.name = b.name GROUP BY 1, 2),
+turned AS (SELECT name, gram.term, sum(weight * g) AS y
+  FROM vectors JOIN gram ON vectors.term = other GROUP BY 1, 2),
+norms AS (SELECT t.name, sqrt(sum(weight * y)) AS norm
+  FROM turned t JOIN vectors v ON t.name = v.name AND t.term = v.term GROUP BY 1),
+products AS (SELECT t.name AS a, v.name AS b, sum(weight * y) AS product
+  FROM turned t JOIN vectors v ON t.term = v.term AND t.name <> v.name GROUP BY 1, 2),
+links AS (SELECT a, b FROM products JOIN norms l ON a = l.name JOIN norms r ON b = r.name
+  WHERE product >= 0.9 * l.norm * r.norm),
+reach AS (SELECT name, name AS seen FROM names UNION
+  SELECT r.name, l.b FROM reach r JOIN links l ON r.seen = l.a)
+SELECT name, min(seen) AS cluster FROM reach GROUP BY 1""",
+)
+def _(t):
+    label = F.concat("p_name", F.lit(" "), "p_brand", F.lit(" "), "p_type")
+    names = t.part.select(label.alias("name")).distinct()
+    return cluster_texts(names, "name", "name", eps=0.1, profile=True)
+
+
 @query(
     "agg16_cluster_sizes",
     f"""WITH RECURSIVE {CLUSTERS_SQL} SELECT cluster, count(*) AS size FROM clusters GROUP BY 1""",

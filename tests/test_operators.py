@@ -1,5 +1,7 @@
 import datetime as dt
 import random
+import re
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from devigil.functions import temporal, text
 from devigil.functions.similarity import indel_ratio, indel_similarity, subsequence_similarity
-from devigil.operators import geo, reports
+from devigil.operators import clusters, geo, reports
 from devigil.operators.blocks import blocked_join
 from devigil.operators.clusters import cluster_texts, linking_pairs, similar_pairs
 from devigil.operators.components import connected_components
@@ -19,6 +21,7 @@ from devigil.operators.forecast import fit, fit_all, forecast, one_step, smooth,
 from devigil.operators.harmonize import fold_event_type, harmonize, one_hot, one_hot_rows, union_sources
 from devigil.operators.metrics import binary_metrics, confusion_matrix
 from devigil.operators.names import candidate_pairs, fuzzy_join, nearest_by_grams
+from devigil.operators.profiles import profile_links
 from devigil.operators.rewrites import (
     apply_mapping,
     changed_rows,
@@ -563,3 +566,43 @@ def test_metrics_without_positives_and_normalized_matrix(spark):
     df = spark.createDataFrame([(1, 1), (1, 0), (0, 0), (1, 1)], "y int, p int")
     shares = confusion_matrix(df, "y", "p").groupBy("label").agg(F.sum("share").alias("s"))
     assert all(abs(r.s - 1) < 1e-12 for r in shares.collect())
+
+
+def _profile_clusters(texts: dict, eps: float) -> dict:
+    """Rows of the whole similarity matrix compared with each other, in numpy."""
+    names = [n for n, t in texts.items() if re.findall(r"\w{2,}", t or "")]
+    words = [re.findall(r"\w{2,}", texts[n].lower()) for n in names]
+    terms = sorted({w for row in words for w in row})
+    counts = np.array([[row.count(t) for t in terms] for row in words], float)
+    idf = np.log((1 + len(texts)) / (1 + (counts > 0).sum(0))) + 1
+    unit = counts * idf / np.linalg.norm(counts * idf, axis=1, keepdims=True)
+    profiles = unit @ unit.T
+    profiles /= np.linalg.norm(profiles, axis=1, keepdims=True)
+    near = profiles @ profiles.T >= 1 - eps
+    label = np.array(range(len(names)))
+    for _ in names:
+        label = np.array([label[row].min() for row in near])
+    order = sorted(names)
+    first = {c: min(n for n, d in zip(names, label) if d == c) for c in set(label)}
+    return {n: first[c] for n, c in zip(names, label)} | {n: n for n in texts if n not in order}
+
+
+def test_profile_clusters_equal_the_whole_matrix(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    kinds = [f"kind{i}" for i in range(6)]
+    makers = [f"maker{i}" for i in range(4)]
+    texts = {i: f"{rng.choice(kinds)} {rng.choice(kinds)} {rng.choice(makers)}" for i in range(90)}
+    texts |= {100: "alone here", 101: "kind0 kind1 maker0", 102: "kind0 kind1 maker0", 103: None, 104: ""}
+    df = spark.createDataFrame(list(texts.items()), "id int, t string")
+    several = 0
+    for eps, most in ((0.02, 10_000), (0.1, 4), (0.2, 4)):
+        expected = _profile_clusters(texts, eps)
+        several += len(set(expected.values()))
+        monkeypatch.setattr(clusters, "profile_links", partial(profile_links, max_pairs_per_key=most, rounds=2))
+        found = cluster_texts(df, "id", "t", eps, profile=True).collect()
+        assert {r.id: r.cluster for r in found} == expected, (eps, most)
+        assert len(found) == len(texts)
+    assert several < 3 * len(texts)
+    assert cluster_texts(df.limit(0), "id", "t", profile=True).count() == 0
+    with pytest.raises(ValueError):
+        cluster_texts(df, "id", "t", 1.0, profile=True)
