@@ -34,10 +34,10 @@ MANY = -(2**63)
 @dataclass(frozen=True)
 class SuffixParams:
     """A range of hashes has about ``range_bytes`` of text. ``batches`` is how many batches the
-    documents are cut into, by doc_id. A worker packs ``chunk_bytes`` of text at a time."""
+    documents are cut into, by doc_id; from the third on levels merge. A worker packs ``chunk_bytes`` of text at a time."""
 
     range_bytes: int = 4 << 20
-    batches: int = 2
+    batches: int = 4
     chunk_bytes: int = 4 << 20
 
 
