@@ -34,10 +34,13 @@ MANY = -(2**63)
 @dataclass(frozen=True)
 class SuffixParams:
     """A range of hashes has about ``range_bytes`` of text. ``batches`` is how many batches the
-    documents are cut into, by doc_id; from the third on levels merge. A worker packs ``chunk_bytes`` of text at a time."""
+    documents are cut into, by doc_id; from the third on levels merge. Repeats are compared in ``rounds``
+    shares of the hashes, one after the other, and the texts sent for one share are gone before the next.
+    A worker packs ``chunk_bytes`` of text at a time."""
 
     range_bytes: int = 4 << 20
     batches: int = 4
+    rounds: int = 2
     chunk_bytes: int = 4 << 20
 
 
@@ -238,6 +241,7 @@ class SuffixLevels:
         self.store = Landing(self.spark, "suffixes")
         self.levels: list[tuple[int, str, DataFrame]] = []
         self.repeats: list[DataFrame] = []
+        self.repeat_names: list[str] = []
         self.count = 0
 
     def add(self, docs: DataFrame) -> None:
@@ -251,9 +255,11 @@ class SuffixLevels:
         built = suffix_array(docs, self.n_ranges, self.params)
         array, own = self.store.land_parts(built, name, "kind", (0, 1))
         self.repeats.append(own.select("keys", "docs"))
+        self.repeat_names.append(f"{name}/kind=1")
         for i, (_, _, level) in enumerate(self.levels):
-            found = self.store.land(merge_scan(array, level), f"repeats-{self.count}-{i}")
+            found = self.store.land(merge_scan(array, level), scanned := f"repeats-{self.count}-{i}")
             self.repeats.append(found.select("keys", "docs"))
+            self.repeat_names.append(scanned)
         self.levels.append((1, f"{name}/kind=0", array))
         self.count += 1
 
@@ -483,15 +489,20 @@ def remove_repeats(docs: DataFrame, params: SuffixParams = SuffixParams(), texts
     # a row whose id no other row has needs no closer look if it is a copy
     single = usable.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n = 1").select("doc_id")
     done = copies.join(single, "doc_id", "left_semi").select("doc_id")
-    keys = family.pairs().join(done, "doc_id", "left_anti")
-    keys = keys.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
-    keyed = usable.withColumn("text_hash", text_hash(F.col("text"))).join(keys, "doc_id")
+    pairs = family.pairs().join(done, "doc_id", "left_anti")
     family.drop()
-    found = covered(segments(keyed.select("doc_id", "text_hash", "text", "keys"), n_ranges, params))
-    found = found.unionByName(copies)
+    hashed = usable.withColumn("text_hash", text_hash(F.col("text")))
+    found = copies
+    # equal windows have equal hashes, so each share of them is complete in itself
+    for share in range(params.rounds):
+        own = pairs.filter(F.pmod("key", F.lit(params.rounds)) == share)
+        keyed = hashed.join(own.groupBy("doc_id").agg(F.collect_list("key").alias("keys")), "doc_id")
+        sent = segments(keyed.select("doc_id", "text_hash", "text", "keys"), -(-n_ranges // params.rounds), params)
+        found = found.unionByName(store.land(covered(sent), f"covered-{share}"))
     spans = found.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     spans = store.land(spans, "spans")
-    family.store.drop(*[f"batch-{i}/kind=1" for i in range(family.count)])
+    family.store.drop(*family.repeat_names)
+    store.drop("texts", "firsts", "copies", *[f"covered-{share}" for share in range(params.rounds)])
     hashed = rows.withColumn("text_hash", text_hash(F.col("text")))
     out = _cut_out(hashed.join(spans, ["doc_id", "text_hash"], "left"), texts)
     return out
