@@ -59,10 +59,12 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def possible_pairs(a, b, threshold: float):
     """Positions of pairs whose cosine can reach the threshold; ``a, b`` are results of quantise."""
     (code_a, scale_a, error_a), (code_b, scale_b, error_b) = a, b
-    # every pair of a column is at least this far from the threshold if its product is below
-    low = (threshold - SLACK - error_a.max() * (1 + error_b) - error_b) / (scale_a.max() * scale_b)
+    # every pair of a column is at least this far from the threshold if its product is below; a bound
+    # below 0 is lowest for the smallest scale
+    reach = threshold - SLACK - error_a.max() * (1 + error_b) - error_b
+    low = reach / (np.where(reach < 0, scale_a.min(), scale_a.max()) * scale_b)
     product = _product(code_a, code_b)
-    i, j = np.nonzero(product >= low.astype(product.dtype) * (1 - 1e-6) - 1)
+    i, j = np.nonzero(product >= (low - 1e-6 * np.abs(low) - 1).astype(product.dtype))
     about = product[i, j].astype(np.float64) * scale_a[i] * scale_b[j]
     good = about + error_a[i] * (1 + error_b[j]) + error_b[j] + SLACK >= threshold
     return i[good], j[good]
