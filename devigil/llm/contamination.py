@@ -49,7 +49,7 @@ def _words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(NORMAL).split()
 
 
-def windows(items: list[tuple[int, str]], size: int) -> dict:
+def windows(items: list[tuple[str, str]], size: int) -> dict:
     """``vocabulary`` numbers the words of the items, ``items`` are the item ids of every window."""
     vocabulary: dict[bytes, int] = {}
     found: dict[tuple, set] = {}
@@ -96,11 +96,13 @@ def scan(docs: DataFrame, items: DataFrame, params: ContaminationParams = Contam
     added = ", ".join(f"{prefix}{name} {kind}" for name, kind in RESULT)
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in [*new, HIT, FOUND]])
     spark = docs.sparkSession
-    usable = items.filter("text is not null and item_id is not null").select("item_id", "text")
+    usable = items.filter("text is not null and item_id is not null")
+    # ids of any type: the result has them as strings
+    usable = usable.select(F.col("item_id").cast("string"), "text")
     shares = partitions_of(total(usable, F.octet_length("text")), params.share_bytes)
     size, percent, at = params.window, params.percent, docs.columns.index("text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    state, names = f"`{HIT}` binary, `{FOUND}` array<bigint>", docs.columns
+    state, names = f"`{HIT}` binary, `{FOUND}` array<string>", docs.columns
     out = docs
     for share in range(shares):
         own = usable.filter(F.pmod(F.xxhash64("item_id"), F.lit(shares)) == share)
@@ -117,7 +119,7 @@ def scan(docs: DataFrame, items: DataFrame, params: ContaminationParams = Contam
                     hits.append(hit.tobytes())
                     found.append(sorted(seen))
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[: len(names)], pa.array(hits, pa.binary()), pa.array(found, pa.list_(pa.int64()))],
+                    [*batch.columns[: len(names)], pa.array(hits, pa.binary()), pa.array(found, pa.list_(pa.string()))],
                     names=[*names, HIT, FOUND],
                 )
 
@@ -135,7 +137,7 @@ def scan(docs: DataFrame, items: DataFrame, params: ContaminationParams = Contam
                         spans = [
                             {"first_char": places[a][0], "end_char": places[b - 1][1]} for a, b in _runs(hit)
                         ]
-                    named = ",".join(sorted(map(str, seen)))
+                    named = ",".join(sorted(seen))
                     rows[0].append(len(hit))
                     rows[1].append(n_hit)
                     rows[2].append(len(seen))

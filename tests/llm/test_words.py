@@ -120,6 +120,12 @@ def test_contamination_against_brute_force(spark, documents):
             assert row["contaminated"] == (hit > 0 and 20 * hit >= words)
         first = [r for r in out if r["doc_id"] == 0]
         assert all(r["text"][s["first_char"] : s["end_char"]] == item.upper() for r in first for s in r["spans"])
+    named = bench.withColumn("item_id", F.concat(F.lit("item-"), F.col("item_id").cast("string")))
+    one, several = (
+        {tuple(r) for r in contamination.scan(docs, named, contamination.ContaminationParams(share_bytes=share)).select("n_hit", "n_items", "items_sha256").collect()}
+        for share in (1 << 20, 40)
+    )
+    assert one == several
     assert contamination.scan(docs, bench.limit(0)).filter("contaminated").count() == 0
     assert contamination.scan(docs.limit(0), bench).count() == 0
 
