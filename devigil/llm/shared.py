@@ -9,7 +9,7 @@ from contextlib import contextmanager
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from devigil.session import ensure_checkpoint_dir
@@ -22,23 +22,31 @@ class Landing:
     """Intermediate Parquet tables in the folder that all executors share.
 
     A table replaces a long lineage: after the loss of an executor its readers start from the files.
-    ``drop`` removes a table once whatever was derived from it is landed too.
+    ``drop`` removes a table once whatever was derived from it is landed too. With ``release`` the shuffle
+    files of a landing are removed when its table is written, not when the driver's JVM finds that nothing
+    refers to them any more, which may be a landing or two later.
     """
 
-    def __init__(self, spark: SparkSession, operator: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, operator: str, release: bool = False):
+        self.spark, self.release = spark, release
         self.folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{operator}-{uuid.uuid4().hex}"
 
+    def _write(self, writer: DataFrameWriter, name: str) -> None:
+        if self.release:
+            with setting(self.spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+                writer.parquet(f"{self.folder}/{name}")
+        else:
+            writer.parquet(f"{self.folder}/{name}")
+            # shuffle files go when the driver's JVM collects the plans that made them: help it along
+            self.spark._jvm.System.gc()
+
     def land(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.folder}/{name}")
-        # shuffle files go when the driver's JVM collects the plans that made them: help it along
-        self.spark._jvm.System.gc()
+        self._write(df.write, name)
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
     def land_parts(self, df: DataFrame, name: str, column: str, values: tuple) -> list[DataFrame]:
         """A table of its own for each of the values of ``column``, which they do not hold any more."""
-        df.write.partitionBy(column).parquet(f"{self.folder}/{name}")
-        self.spark._jvm.System.gc()
+        self._write(df.write.partitionBy(column), name)
         schema = df.drop(column).schema
         # an absent value has no folder
         whole = self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
@@ -58,18 +66,22 @@ class Landing:
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, rows: int):
-    """Jobs that start inside send at most ``rows`` rows at once to Python, so that rows with long texts
-    do not add up."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def setting(spark: SparkSession, key: str, value: str):
+    """Jobs that start inside run with this setting."""
     before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def arrow_rows(spark: SparkSession, rows: int):
+    """Jobs that start inside send at most ``rows`` rows at once to Python, so that rows with long texts
+    do not add up."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``first row, last row + 1, bytes, offsets`` of runs of whole texts; null reads as empty."""
     flat = texts.cast(pa.large_string()).fill_null("")

@@ -35,12 +35,13 @@ MANY = -(2**63)
 class SuffixParams:
     """A range of hashes has about ``range_bytes`` of text. ``batches`` is how many batches the
     documents are cut into, by doc_id; from the third on levels merge. Repeats are compared in ``rounds``
-    shares of the hashes, one after the other, and the texts sent for one share are gone before the next.
+    shares of the hashes, one after the other; the texts sent for one share are gone before the next, so
+    more rounds need less disk and more time.
     A worker packs ``chunk_bytes`` of text at a time."""
 
     range_bytes: int = 4 << 20
     batches: int = 4
-    rounds: int = 2
+    rounds: int = 1
     chunk_bytes: int = 4 << 20
 
 
@@ -238,7 +239,7 @@ class SuffixLevels:
     params: SuffixParams = field(default_factory=SuffixParams)
 
     def __post_init__(self):
-        self.store = Landing(self.spark, "suffixes")
+        self.store = Landing(self.spark, "suffixes", release=True)
         self.levels: list[tuple[int, str, DataFrame]] = []
         self.repeats: list[DataFrame] = []
         self.repeat_names: list[str] = []
@@ -472,7 +473,7 @@ def remove_repeats(docs: DataFrame, params: SuffixParams = SuffixParams(), texts
     (without ``texts`` it is null); the hash is that of the exact bytes.
     """
     spark = docs.sparkSession
-    store = Landing(spark, "repeats")
+    store = Landing(spark, "repeats", release=True)
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
     usable = rows.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WINDOW))
     n_ranges = partitions_of(total(usable, F.octet_length("text")), params.range_bytes)
