@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from devigil.llm import near, suffixes, vectors
+from devigil.llm import near, shared, suffixes, vectors
 
 
 def words(rng, n):
@@ -175,6 +175,23 @@ def test_periodic_repeats_with_different_middles_against_brute_force(documents):
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found} == cut_out(docs)
 
 
+def test_released_landings_leave_no_shuffle_files(spark):
+    rows = spark.range(1000).selectExpr("id % 7 as k", "id").groupBy("k").count()
+    store = shared.Landing(spark, "release", release=True)
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffle_files():
+        blocks = manager.getAllFiles()
+        return {blocks.apply(i).getName() for i in range(blocks.size()) if "shuffle" in blocks.apply(i).getName()}
+
+    before = shuffle_files()
+    landed = store.land(rows, "rows")
+    assert not shuffle_files() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert landed.count() == 7 and rows.count() == 7
+    store.drop("rows")
+
+
 def test_long_repeats_of_odd_rows(documents):
     text = "a passage of more than fifty bytes that stands in every one of these rows"
     found = suffixes.remove_repeats(documents([(3, text), (3, text + "!"), (None, text), (9, text)])).collect()
