@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -216,6 +218,32 @@ def load(spark: SparkSession, path: str, spec: FeatureSpec) -> tuple[Scorer, Dat
     return Scorer.load(spark, f"{path}/model", spec), spark.read.parquet(f"{path}/metrics")
 
 
+def _inputs(spec: FeatureSpec) -> list[str]:
+    return [*spec.categorical, *spec.numeric, *([spec.text] if spec.text else [])]
+
+
+def _fit_rows(
+    df: DataFrame, labels: Sequence[str], key: str, spec: FeatureSpec, train_share: float
+) -> tuple[FeatureModel, DataFrame, DataFrame, DataFrame]:
+    """The fitted features, the training rows, the held-out rows and the held-out inputs.
+
+    Rows with equal inputs have equal features, whatever their keys. Training rows that agree in the
+    labels as well are one row with its number as ``copies``, a weight that gives the same fit; held-out
+    inputs are scored once each. So vectors exist for different inputs only.
+    """
+    inputs = _inputs(spec)
+    doubles = [F.col(f"`{c}`").cast("double").alias(c) for c in labels]
+    source = cut_lineage(prepare(df, spec).select(key, *doubles, *inputs))
+    features, _ = fit_features(source, spec)
+    train, test = split_by_hash(source, key, train_share, SEED)
+    counted = train.groupBy(*inputs, *[f"`{c}`" for c in labels])
+    counted = counted.agg(F.count(F.lit(1)).cast("double").alias("copies"))
+    rows = features.transform(cut_lineage(counted))
+    rows = cut_lineage(rows.select(*[f"`{c}`" for c in labels], "copies", spec.output))
+    asked = features.transform(cut_lineage(test.select(*inputs).distinct()))
+    return features, rows, test, cut_lineage(asked.select(*inputs, spec.output))
+
+
 def train_binary(
     df: DataFrame,
     label: str,
@@ -228,13 +256,15 @@ def train_binary(
 
     Every stage of a fit passes over its input, so the input is written out once.
     """
-    inputs = [*spec.categorical, *spec.numeric, *([spec.text] if spec.text else [])]
-    source = cut_lineage(prepare(df, spec).select(key, label, *inputs))
-    features, rows = fit_features(source, spec)
-    rows = cut_lineage(rows.select(key, F.col(label).cast("double").alias(label), spec.output))
-    train, test = split_by_hash(rows, key, train_share, SEED)
-    model = (estimator or booster(label, spec.output)).fit(train)
-    predictions = model.transform(test)
+    features, rows, test, asked = _fit_rows(df, [label], key, spec, train_share)
+    classifier = (estimator or booster(label, spec.output)).copy()
+    if classifier.hasParam("weightCol"):
+        classifier.setWeightCol("copies")
+    else:
+        rows = rows.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    model = classifier.fit(rows)
+    scored = cut_lineage(model.transform(asked))
+    predictions = test.join(scored, _inputs(spec))
     return Trained(
         Scorer(features, PipelineModel([model])),
         predictions,
@@ -245,18 +275,23 @@ def train_binary(
 def train_multilabel(
     df: DataFrame, targets: Sequence[str], key: str, spec: FeatureSpec, rounds: int = ROUNDS
 ) -> Trained:
-    """One booster per 0/1 target column over the same, once computed, features."""
-    source = cut_lineage(prepare(df, spec))
-    features, rows = fit_features(source, spec)
-    rows = cut_lineage(
-        rows.select(key, *[F.col(f"`{t}`").cast("double").alias(t) for t in targets], spec.output)
-    )
-    train, test = split_by_hash(rows, key, 0.8, SEED)
-    models, predictions = [], test
-    for target in targets:
-        model = booster(target, spec.output, rounds, f"_{target}").fit(train)
-        predictions = model.transform(predictions)
-        models.append(model)
+    """One booster per 0/1 target column over the same, once computed, features.
+
+    A booster is many short jobs, one after the other, so the targets are fitted side by side.
+    """
+    features, rows, test, asked = _fit_rows(df, targets, key, spec, 0.8)
+    rows.persist()
+
+    def fitted(target: str):
+        return booster(target, spec.output, rounds, f"_{target}").setWeightCol("copies").fit(rows)
+
+    with ThreadPool(len(targets)) as pool:
+        models = pool.map(inheritable_thread_target(df.sparkSession)(fitted), targets)
+    rows.unpersist()
+    scored = asked
+    for model in models:
+        scored = model.transform(scored)
+    predictions = test.join(cut_lineage(scored), _inputs(spec))
     pairs = {t: (t, f"prediction_{t}") for t in targets}
     return Trained(
         Scorer(features, PipelineModel(models)), predictions, multilabel_metrics(predictions, pairs)

@@ -59,6 +59,25 @@ def test_multilabel_model_gives_the_likeliest_type(facts):
     assert len(rows) == 5 and by_name["infusion pump"] == "recall"
 
 
+def test_equal_inputs_are_trained_on_and_scored_once(facts):
+    spec = FeatureSpec(text="device_name", numeric=("num_events",), components=4)
+    flat = M.logistic_baseline("recall").setRegParam(0.1).setStandardization(False)
+    trained = M.train_binary(facts, "recall", "id", spec, flat)
+    train, test = split_by_hash(facts, "id")
+    fitted = trained.model.stages[-1]
+    different = train.select("device_name", "num_events", "recall").distinct()
+    assert fitted.summary.predictions.count() == different.count() < train.count()
+    assert trained.predictions.count() == test.count()
+    # the weighted fit is that of all rows
+    every = trained.model.features.transform(prepare(train, spec))
+    whole = flat.fit(every)
+    assert np.allclose(whole.coefficients.toArray(), fitted.coefficients.toArray(), atol=1e-3)
+    expected = whole.transform(trained.model.features.transform(prepare(test, spec)))
+    rows = {r.id: r.p for r in expected.select("id", M.positive().alias("p")).collect()}
+    found = trained.predictions.select("id", M.positive().alias("p")).collect()
+    assert all(abs(rows[r.id] - r.p) < 1e-3 for r in found)
+
+
 def test_missing_categories_are_their_own_and_numbers_default_to_zero(facts):
     rows = prepare(facts, SPEC).filter("id in ('2', '3')").orderBy("id").collect()
     assert rows[0].event_type == "__missing__" and rows[1].num_events == 3.0
