@@ -1,8 +1,9 @@
 """Licence scan with a trained paragraph classifier, in DataFrame operations only.
 
-A sparse logistic regression on word pairs is trained on variants of short licence notices and on
-paragraphs of the corpus as the unknown class. The probability from which a family is believed is
-calibrated on further corpus paragraphs. A believed family is confirmed if enough word pairs of one of
+A sparse logistic regression on word pairs is trained on variants of short licence notices and on half
+of the paragraphs of the corpus as the unknown class. The probability from which a family is believed is
+calibrated on the other half. Paragraphs count by the word pairs of notices that they hold, so all of
+them are a short table of different sets with their numbers. A believed family is confirmed if enough word pairs of one of
 its notices stand in the paragraph. Word pairs outside the notices have no weight, so the scan is one
 explode and one join with the small weight table.
 
@@ -13,6 +14,7 @@ words, pairs across the line ends included; lines that are confirmed by themselv
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
@@ -24,6 +26,8 @@ from devigil.llm.shared import Landing
 
 UNKNOWN = "unknown"
 KEY = ("doc_id", "hash_a", "hash_b")
+#: A line: its text, the block and the line in the block.
+AT = (*KEY, "block", "line")
 #: Short notices by licence family, as published for use in files.
 NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -52,9 +56,9 @@ NOTICES = (
 
 @dataclass(frozen=True)
 class LicenceParams:
-    """``negatives`` bounds the corpus paragraphs that the classifier is trained and calibrated on
-    (in expectation: paragraphs are drawn by a hash). Word pairs in more than ``common`` of them carry
-    no licence. ``false_rate`` of the calibration paragraphs may be believed; ``contained`` is the part
+    """``negatives`` bounds the weight of the corpus paragraphs against that of the notices, in the halves
+    for training and calibration together. Word pairs in more than ``common`` of the paragraphs carry no
+    licence. ``false_rate`` of the calibration paragraphs may be believed; ``contained`` is the part
     of a notice's word pairs that confirms it."""
 
     negatives: int = 8000
@@ -131,39 +135,57 @@ def _probabilities(hits: DataFrame, keys: tuple[str, ...], classes: list[str], i
     return summed.select(*keys, best.alias("best")).select(*keys, "best.probability", "best.family")
 
 
-def train(docs: DataFrame, params: LicenceParams = LicenceParams()) -> LicenceModel:
-    """Fit on the notices and a bounded, hash-drawn sample of the paragraphs of ``docs``."""
+def _templates(spark: SparkSession) -> DataFrame:
+    """``notice, family, grams``: the different word pairs of the notices."""
+    return with_pairs(notices(spark)).withColumn("grams", F.array_distinct("grams"))
+
+
+def notice_pairs(docs: DataFrame) -> DataFrame:
+    """``placed_pairs`` that stand in a notice too; equal rows of ``docs`` are found once."""
+    grams = _templates(docs.sparkSession).select(F.explode("grams").alias("gram")).distinct()
+    # one row for each word pair of the notices
+    return placed_pairs(docs).join(F.broadcast(grams), "gram").dropDuplicates([*AT, "next", "gram"])
+
+
+def train(
+    docs: DataFrame, params: LicenceParams = LicenceParams(), pairs: DataFrame | None = None
+) -> LicenceModel:
+    """Fit on the notices and all paragraphs of ``docs``; ``pairs`` are its ``notice_pairs`` if at hand."""
     spark = docs.sparkSession
     store = Landing(spark, "licences")
     texts = notices(spark)
-    templates = with_pairs(texts).withColumn("grams", F.array_distinct("grams"))
-    size = docs.select(F.sum(F.size(F.split("text", "\n", -1))).alias("n")).first()["n"] or 0
-    share = int(1e6 * min(1.0, params.negatives / max(1, size)))
-    place = F.pmod(F.xxhash64("hash_a", "paragraph"), F.lit(1_000_000))
-    drawn = with_pairs(paragraphs(docs).filter(place < share).select("text", place.alias("place")))
-    drawn = store.land(drawn.select(F.array_distinct("grams").alias("grams"), "place"), "drawn")
-    seen = max(1, drawn.count())
-    templates = store.land(templates, "templates")
-    all_grams = sorted({g for row in templates.select("grams").collect() for g in row["grams"]})
+    templates = store.land(_templates(spark), "templates")
+    if pairs is None:
+        pairs = store.land(notice_pairs(docs), "pairs")
+    lines = F.filter(F.split("text", "\n", -1), lambda x: F.trim(x) != "")
+    sized = docs.filter("text is not null").select(
+        "doc_id", F.xxhash64("text").alias("hash_a"), F.xxhash64("text", F.lit(1)).alias("hash_b"), F.size(lines).alias("n")
+    )
+    seen = max(1, sized.distinct().agg(F.sum("n").alias("n")).first()["n"] or 0)
+    own = [row["grams"] for row in templates.select("grams").collect()]
+    all_grams = sorted({g for grams in own for g in grams})
+    # paragraphs by the word pairs they hold; those without any are what the others leave
+    held = pairs.filter("line = next").groupBy(*AT).agg(F.array_sort(F.collect_set("gram")).alias("grams"))
+    half = F.pmod(F.xxhash64(*KEY[1:], "block", "line"), F.lit(2)).alias("half")
+    sets = store.land(held.groupBy("grams", half).agg(F.count(F.lit(1)).alias("n")), "sets")
+    without = max(0, seen - (sets.agg(F.sum("n").alias("n")).first()["n"] or 0))
     # notices stand in the corpus too and are no examples of the unknown class
-    parts = [F.size(F.array_intersect("grams", F.array(*map(F.lit, g)))) / len(g) for (g,) in templates.select("grams").collect()]
-    like = F.greatest(*parts)
-    apart = drawn.withColumn("like", like)
-    plain = store.land(apart.filter(F.col("like") < 0.5).select("grams", "place"), "plain")
-    common = plain.select(F.explode("grams").alias("gram")).filter(F.col("gram").isin(all_grams)).groupBy("gram").count()
-    dropped = {r["gram"] for r in common.filter(F.col("count") > max(3.0, params.common * seen)).collect()}
+    parts = [F.size(F.array_intersect("grams", F.array(*map(F.lit, g)))) / len(g) for g in own]
+    plain = sets.filter(F.greatest(*parts) < 0.5)
+    common = plain.select(F.explode("grams").alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
+    dropped = {r["gram"] for r in common.filter(F.col("n") > max(3.0, params.common * seen)).collect()}
     known = [g for g in all_grams if g not in dropped]
     classes = [UNKNOWN, *sorted({family for family, _ in NOTICES})]
     label = F.element_at(F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(float(i)))]), F.col("family"))
-    fitted = plain.filter(F.col("place") % 2 == 0)
-    rows = variants(texts).select(label.alias("label"), "grams").union(
-        fitted.select(F.lit(0.0).alias("label"), "grams")
-    )
-    balance = F.when(F.col("label") == 0, 1.0).otherwise(5.0)
+    share = min(1.0, params.negatives / seen)
+    bare = spark.createDataFrame([(0.0, [], share * without / 2)], "label double, grams array<string>, weight double")
+    rows = variants(texts).select(label.alias("label"), "grams", F.lit(5.0).alias("weight")).union(
+        plain.filter("half = 0").select(F.lit(0.0).alias("label"), "grams", F.col("n") * F.lit(share))
+    ).union(bare)
     encoder = CountVectorizer(inputCol="grams", outputCol="features", binary=True).fit(
         spark.createDataFrame([(known,)], "grams array<string>")
     )
-    data = store.land(encoder.transform(rows).select("label", "features", balance.alias("weight")), "training")
+    data = store.land(encoder.transform(rows).select("label", "features", "weight"), "training")
     fit = LogisticRegression(
         family="multinomial", weightCol="weight", regParam=params.ridge, elasticNetParam=0.5, maxIter=60
     ).fit(data)
@@ -171,12 +193,16 @@ def train(docs: DataFrame, params: LicenceParams = LicenceParams()) -> LicenceMo
     table = [(g, [float(x) for x in matrix[:, i]]) for i, g in enumerate(encoder.vocabulary)]
     weights = spark.createDataFrame(table, "gram string, weights array<double>")
     intercepts = [float(x) for x in fit.interceptVector]
-    tested = plain.filter(F.col("place") % 2 == 1).select(F.monotonically_increasing_id().alias("row"), "grams")
-    hits = tested.select("row", F.explode("grams").alias("gram")).join(F.broadcast(weights), "gram")
-    scores = _probabilities(hits, ("row",), classes, intercepts)
+    tested = plain.filter("half = 1").select("grams", "n", F.explode("grams").alias("gram"))
+    hits = tested.join(F.broadcast(weights), "gram")
+    scores = _probabilities(hits, ("grams", "n"), classes, intercepts)
     believed = max(1, int(params.false_rate * seen / 2))
-    top = [r["probability"] for r in scores.orderBy(F.desc("probability")).limit(believed).collect()]
-    threshold = max(params.least_probability, top[-1] if len(top) == believed else 0.0)
+    # below the least probability it does not matter how many there are
+    above = scores.filter(F.col("probability") > params.least_probability).groupBy("probability")
+    top = above.agg(F.sum("n").alias("n")).orderBy(F.desc("probability")).limit(believed).collect()
+    counts = accumulate(r["n"] for r in top)
+    reached = [r["probability"] for r, count in zip(top, counts) if count >= believed]
+    threshold = max([params.least_probability, *reached[:1]])
     grams = templates.select(
         "notice", "family", F.filter("grams", lambda g: g.isin(known)).alias("grams")
     )
@@ -226,15 +252,22 @@ def _same(left: str, right: str, keys: tuple[str, ...]):
     return condition
 
 
-def scan(docs: DataFrame, model: LicenceModel, params: LicenceParams = LicenceParams()) -> DataFrame:
+def scan(
+    docs: DataFrame,
+    model: LicenceModel,
+    params: LicenceParams = LicenceParams(),
+    pairs: DataFrame | None = None,
+) -> DataFrame:
     """``doc_id, hash_a, hash_b, block, line, family, probability, contained`` of every line with a
     confirmed licence, and with ``line`` null of every block that has one over several lines.
-    The hashes are those of the text; equal rows of ``docs`` are found once."""
+    The hashes are those of the text; equal rows of ``docs`` are found once. ``pairs`` are the
+    ``notice_pairs`` of ``docs`` if at hand."""
     store = Landing(docs.sparkSession, "licences")
-    at, run = (*KEY, "block", "line"), (*KEY, "block")
-    # both tables have a row for each word pair of the notices at most
-    hits = placed_pairs(docs).join(F.broadcast(model.weights), "gram").dropDuplicates([*at, "next", "gram"])
-    hits = store.land(hits, "hits")
+    at, run = AT, (*KEY, "block")
+    if pairs is None:
+        pairs = store.land(notice_pairs(docs), "pairs")
+    # a row for each word pair of the notices at most
+    hits = pairs.join(F.broadcast(model.weights), "gram")
     single = store.land(_confirmed(hits.filter("line = next"), at, model, params), "single")
     # the rest of the lines together; a confirmed line is no part of a wrapped notice
     done = single.select(*at)
@@ -254,7 +287,8 @@ def licences(docs: DataFrame, params: LicenceParams = LicenceParams()) -> DataFr
     ``unknown`` without one; ``families`` are all families by name. Null, empty and blank texts are
     ``unknown``; equal rows get equal results.
     """
-    found = scan(docs, train(docs, params), params)
+    pairs = Landing(docs.sparkSession, "licences").land(notice_pairs(docs), "pairs")
+    found = scan(docs, train(docs, params, pairs), params, pairs)
     ranked = F.struct((-F.col("probability")).alias("p"), "family")
     per_text = found.groupBy(*KEY).agg(
         F.min(ranked)["family"].alias("licence"), F.count(F.lit(1)).alias("n_paragraphs"),

@@ -167,3 +167,12 @@ def test_queries_on_empty_tables(spark, tmp_path, name):
     for table in ("documents", "benchmark", "labels", "pages", "embeddings"):
         spark.read.parquet(f"{DATA}/{table}.parquet").limit(0).write.parquet(str(tmp_path / f"{table}.parquet"))
     assert build(spark, str(tmp_path)).count() == 0
+
+
+def test_licences_are_learnt_from_all_paragraphs(documents):
+    lines = [f"word{i} of the line{i}" if i % 50 == 0 else f"word{i} and line{i}" for i in range(2000)]
+    docs = documents([(i, "\n".join(lines[20 * i : 20 * i + 20])) for i in range(100)]).select("doc_id", "text")
+    model = licences.train(docs, licences.LicenceParams(negatives=10))
+    # 40 of 2000 paragraphs have this word pair, of ten drawn ones hardly any would
+    assert model.weights.filter("gram = 'of the'").isEmpty()
+    assert not model.weights.filter("gram = 'gnu general'").isEmpty()
