@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -168,11 +169,9 @@ def _shared_folder(t, name: str) -> str:
 ENVELOPE_START = '{"meta": {"results": {"total": 1}, "note": "a \\" [ { \\\\"}, "other": [{"x": 1}], "results": ['
 
 
-@query(
-    "ing3_split_envelopes",
-    "SELECT doc_id, text, lang, source, n_chars FROM documents",
-)
-def _(t):
+def _write_envelopes(documents: DataFrame, folder: str) -> None:
+    """``documents`` as envelopes, a file for every partition that Spark balances them into, so that files
+    and tasks are as many as the rows need."""
     record = F.to_json(F.struct("doc_id", "text", F.struct("lang", "source", "n_chars").alias("openfda")))
 
     def enclosed(batches):
@@ -184,9 +183,17 @@ def _(t):
                 comma = ", "
         yield pd.DataFrame({"value": ['], "end": "]}"}']})
 
-    folder = _shared_folder(t, "envelopes")
-    lines = t.documents.repartition(4, "source").select(record.alias("value"))
+    lines = documents.hint("rebalance").select(record.alias("value"))
     lines.mapInPandas(enclosed, "value string").write.text(folder)
+
+
+@query(
+    "ing3_split_envelopes",
+    "SELECT doc_id, text, lang, source, n_chars FROM documents",
+)
+def _(t):
+    folder = _shared_folder(t, "envelopes")
+    _write_envelopes(t.documents, folder)
     kind = T.StructType.fromDDL(
         "doc_id bigint, text string, openfda struct<lang: string, source: string, n_chars: bigint>"
     )

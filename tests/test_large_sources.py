@@ -202,3 +202,25 @@ def test_sampled_catalogue_with_grandchildren(spark, tmp_path):
     assert 20 < len(kept["event"]) < 90 and kept["patient"] == kept["event"] and kept["problem"] == {e * 10 for e in kept["event"]}
     with pytest.raises(ValueError, match="parents"):
         catalog.parents_first(["a", "b"], {"a": ("b", "k"), "b": ("a", "k")})
+
+
+def test_envelopes_are_as_many_as_the_rows_need(spark, tmp_path, monkeypatch):
+    from devigil.plans import check_ingest, registry
+
+    registry.load_all()
+    rows = [(i, f"{i} [{{\"" + "x" * 2000, "en", "one", 2010) for i in range(3000)]
+    columns = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    documents = spark.createDataFrame(rows, columns)
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    folder = str(tmp_path / "envelopes")
+    monkeypatch.setattr(check_ingest, "_shared_folder", lambda t, name: folder)
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "16k")
+    try:
+        found = registry.QUERIES["ing3_split_envelopes"](spark, str(tmp_path))
+        assert sorted(tuple(r) for r in found.collect()) == rows
+    finally:
+        spark.conf.unset(setting)
+    held = spark.read.text(folder).filter("length(value) > 1000")
+    per_file = held.groupBy(F.input_file_name()).count().collect()
+    assert len(per_file) > 1 and max(r["count"] for r in per_file) < 2000
