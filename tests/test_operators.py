@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from devigil.functions import temporal, text
 from devigil.functions.similarity import indel_ratio, indel_similarity, subsequence_similarity
-from devigil.operators import clusters, geo, reports
+from devigil.operators import clusters, cosines, geo, reports
 from devigil.operators.blocks import blocked_join
 from devigil.operators.clusters import cluster_texts, linking_pairs, similar_pairs
 from devigil.operators.components import connected_components
@@ -547,6 +547,31 @@ def test_crowded_groups_are_connected_without_all_pairs(spark, minimum):
         assert components(few) == components(everything)
 
 
+def test_candidates_of_close_pairs_are_not_rows(spark, monkeypatch):
+    for name in ("_members", "_cosines", "link_members"):
+        monkeypatch.setattr(clusters, name, None)
+    monkeypatch.setattr(cosines, "PRODUCTS", 50)
+    monkeypatch.setattr(cosines, "CELLS", 100)
+    rng = np.random.default_rng(5)
+    dense = rng.random((90, 40)) * (rng.random((90, 40)) < 0.3)
+    dense[1], dense[2] = dense[0], 0
+    length = np.sqrt((dense**2).sum(1, keepdims=True))
+    unit = dense / np.where(length == 0, 1, length)
+    rows = [(f"k{i}", f"t{j}", 1, float(unit[i, j])) for i, j in zip(*np.nonzero(unit))]
+    rows.append((None, "t0", 1, 1.0))
+    vectors = spark.createDataFrame(rows, "id string, term string, df int, weight double")
+    true = {
+        tuple(sorted((f"k{i}", f"k{j}"))): unit[i] @ unit[j]
+        for i in range(90)
+        for j in range(i)
+        if unit[i] @ unit[j] >= 0.5
+    }
+    for found in (similar_pairs(vectors, "id", 0.5), cosines.close_pairs(vectors, "id", 0.5, block=7)):
+        found = found.collect()
+        assert len(found) == len(true) > 10 and {(r.a, r.b) for r in found} == set(true)
+        assert all(abs(r.cosine - true[r.a, r.b]) < 1e-12 for r in found)
+
+
 @pytest.mark.parametrize("rows_per_block", [4096, 100])
 def test_crowded_keys_are_joined_in_blocks(spark, rows_per_block):
     left = spark.range(3000).select((F.col("id") % 2).alias("k"), F.col("id").alias("x"))
