@@ -24,6 +24,10 @@ from devigil.operators.rewrites import (
 from devigil.operators.vectors import tfidf
 from devigil.plans.check_text import TOKENS_SQL, company_sql
 from devigil.plans.registry import query
+from devigil.session import parts_for
+
+# order lines whose pairs of suppliers are the work of a task
+LINES_PER_PART = 500_000
 
 # --- fuzzy joins --------------------------------------------------------------------------------
 
@@ -204,13 +208,24 @@ turns AS (SELECT a.text AS original_name, b.text AS normalized_name FROM convers
 
 def _supplier_mapping(t):
     lines = t.lineitem.select("l_orderkey", "l_suppkey")
+    # counted from the file footers: the parts get no larger with the table
+    parts = parts_for(lines, LINES_PER_PART)
+    lines = lines.repartition(parts, "l_orderkey")
     other = lines.select("l_orderkey", F.col("l_suppkey").alias("partner"))
+    # every pair once, counted for both sides
     shared = (
         lines.join(other, "l_orderkey")
-        .filter("l_suppkey <> partner")
+        .filter("l_suppkey < partner")
+        .select("l_suppkey", "partner")
+        .repartition(parts, "l_suppkey", "partner")
         .groupBy("l_suppkey", "partner")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    sides = F.array(
+        F.struct(F.col("l_suppkey"), F.col("partner")),
+        F.struct(F.col("partner").alias("l_suppkey"), F.col("l_suppkey").alias("partner")),
+    )
+    shared = shared.select("n", F.inline(sides))
     best = shared.groupBy("l_suppkey").agg(
         F.max_by("partner", F.struct(F.col("n"), -F.col("partner"))).alias("partner")
     )

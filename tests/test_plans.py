@@ -77,3 +77,25 @@ def test_recalls_page(spark):
     assert (page["density"].agg(F.sum("points")).first()[0] or 0) == located.count()
     labels = [r.label for r in page["policies"].orderBy("date").collect()]
     assert "FDA Modernization Act" in labels
+
+
+def test_supplier_mapping_is_counted_in_bounded_parts(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from devigil.plans import check_names
+
+    monkeypatch.setattr(check_names, "LINES_PER_PART", 20)
+    lines = [(i % 37, (i * i + i // 7) % 11) for i in range(200)] + [(None, 1), (3, None)]
+    names = [(s, f"s{s}") for s in range(11)]
+    t = SimpleNamespace(
+        lineitem=spark.createDataFrame(lines, "l_orderkey long, l_suppkey long"),
+        supplier=spark.createDataFrame(names, "s_suppkey long, s_name string"),
+    )
+    shared = {}
+    for order, a in lines:
+        for other, b in lines:
+            if order is not None and order == other and None not in (a, b) and a != b:
+                shared.setdefault(a, {}).setdefault(b, 0)
+                shared[a][b] += 1
+    want = {f"s{a}": f"s{min(n, key=lambda b: (-n[b], b))}" for a, n in shared.items()}
+    assert dict(map(tuple, check_names._supplier_mapping(t).collect())) == want
