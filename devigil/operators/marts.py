@@ -57,9 +57,15 @@ def _pieces(integrated: DataFrame, distinct: dict[str, str]) -> DataFrame:
     )
 
 
-def _reduced(pieces: DataFrame, keys: list) -> DataFrame:
-    """Measures per key, piece and value: a distinct value is one row afterwards."""
+def _reduced(pieces: DataFrame, keys: list, parts: int | None, near: list) -> DataFrame:
+    """Measures per key, piece and value: a distinct value is one row afterwards.
+
+    With ``parts``, rows are dealt into so many by the columns ``near`` first. Devices are about as
+    many as facts, so what a task has summed up before would be as large as its share of the input.
+    """
     is_sum = F.col("piece") == "sums"
+    if parts:
+        pieces = pieces.repartition(parts, *near)
     return pieces.groupBy(*keys, "piece", "value").agg(
         *[
             F.sum(F.when(is_sum, F.col(f"`{c}`")).otherwise(0)).alias(name)
@@ -88,19 +94,22 @@ def _ordered(df: DataFrame, *columns: str) -> DataFrame:
     return df.orderBy(*[F.asc_nulls_last(c) for c in (*columns, *rest)])
 
 
-def device_view(integrated: DataFrame) -> DataFrame:
-    """One row per device key, NULL keys included."""
-    reduced = _reduced(_pieces(integrated, NUMBERS), [F.col(k) for k in DEVICE_KEYS])
+def device_view(integrated: DataFrame, parts: int | None = None) -> DataFrame:
+    """One row per device key, NULL keys included, summed up in ``parts`` if given."""
+    keys = [F.col(k) for k in DEVICE_KEYS]
+    reduced = _reduced(_pieces(integrated, NUMBERS), keys, parts, keys)
     return reduced.groupBy(*DEVICE_KEYS).agg(
         *_sums(), *_flags(), F.sum("records").alias("records"), *_counted(*NUMBERS)
     )
 
 
-def device_mart(integrated: DataFrame) -> DataFrame:
-    return _ordered(device_view(integrated), *DEVICE_ORDER)
+def device_mart(integrated: DataFrame, parts: int | None = None) -> DataFrame:
+    return _ordered(device_view(integrated, parts), *DEVICE_ORDER)
 
 
-def manufacturer_mart(integrated: DataFrame, compat: bool = False) -> DataFrame:
+def manufacturer_mart(
+    integrated: DataFrame, compat: bool = False, parts: int | None = None
+) -> DataFrame:
     """One row per manufacturer, counting its devices per class.
 
     Submissions are the distinct numbers of the manufacturer. ``compat`` counts the distinct
@@ -109,7 +118,7 @@ def manufacturer_mart(integrated: DataFrame, compat: bool = False) -> DataFrame:
     devices_per_class = "num_{}_devices"
     if compat:
         mart = (
-            device_view(integrated)
+            device_view(integrated, parts)
             .groupBy("manufacturer_name")
             .agg(
                 *_sums(),
@@ -121,7 +130,7 @@ def manufacturer_mart(integrated: DataFrame, compat: bool = False) -> DataFrame:
         )
     else:
         mart = (
-            _per_manufacturer(integrated)
+            _per_manufacturer(integrated, parts)
             .groupBy("manufacturer_name")
             .agg(
                 *_sums(),
@@ -135,7 +144,7 @@ def manufacturer_mart(integrated: DataFrame, compat: bool = False) -> DataFrame:
     return _ordered(mart, "manufacturer_name")
 
 
-def _per_manufacturer(integrated: DataFrame) -> DataFrame:
+def _per_manufacturer(integrated: DataFrame, parts: int | None = None) -> DataFrame:
     """Sums per device key, and one row per distinct device name and submission number."""
     pieces = _pieces(integrated, {"unique_devices": "device_name", **NUMBERS})
     of_device = [
@@ -143,13 +152,14 @@ def _per_manufacturer(integrated: DataFrame) -> DataFrame:
         for i, key in enumerate(DEVICE_KEYS)
         if key != "manufacturer_name"
     ]
-    return _reduced(pieces, [F.col("manufacturer_name"), *of_device])
+    near = [F.col("manufacturer_name"), *of_device, F.col("piece"), F.col("value")]
+    return _reduced(pieces, near[:-2], parts, near)
 
 
-def manufacturer_view(integrated: DataFrame) -> DataFrame:
+def manufacturer_view(integrated: DataFrame, parts: int | None = None) -> DataFrame:
     """The SQL-view form: class flags of the manufacturer instead of device counts."""
     return (
-        _per_manufacturer(integrated)
+        _per_manufacturer(integrated, parts)
         .groupBy("manufacturer_name")
         .agg(*_sums(), *_flags(), *_counted("unique_devices", *NUMBERS))
     )
@@ -163,7 +173,7 @@ def address_mart(integrated: DataFrame) -> DataFrame:
     return _ordered(address_view(integrated), "manufacturer_name")
 
 
-def create_views(integrated: DataFrame) -> None:
-    device_view(integrated).createOrReplaceTempView("integrated_device_view")
-    manufacturer_view(integrated).createOrReplaceTempView("integrated_manufacturer_view")
+def create_views(integrated: DataFrame, parts: int | None = None) -> None:
+    device_view(integrated, parts).createOrReplaceTempView("integrated_device_view")
+    manufacturer_view(integrated, parts).createOrReplaceTempView("integrated_manufacturer_view")
     address_view(integrated).createOrReplaceTempView("integrated_manufacturer_address_view")

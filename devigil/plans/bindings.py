@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from devigil.operators.harmonize import CANONICALS, MAPPINGS, PIVOTS, integrate
 from devigil.plans.registry import Tables
+from devigil.session import parts_for
+
+# integrated rows that a task of a mart sums up
+FACTS_PER_PART = 250_000
 
 
 def device_class_of(status):
@@ -148,6 +152,12 @@ def integrated(t: Tables) -> DataFrame:
     return integrate(sources(t))
 
 
+def mart_parts(t: Tables) -> int:
+    """Parts of the integrated rows for a mart; the tables are counted from their footers."""
+    facts = (t.lineitem, t.orders, t.part, t.supplier)
+    return sum(parts_for(table, FACTS_PER_PART) for table in facts)
+
+
 # --- the same in SQL ----------------------------------------------------------------------------
 
 

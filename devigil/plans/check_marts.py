@@ -130,7 +130,7 @@ def _(t):
 
 @query("agg1_device_mart", f"{B.INTEGRATED_SQL}, {DEVICE_SQL} SELECT * FROM device_mart")
 def _(t):
-    return marts.device_mart(B.integrated(t))
+    return marts.device_mart(B.integrated(t), B.mart_parts(t))
 
 
 @query(
@@ -151,7 +151,7 @@ SELECT s.*, n.pma_submissions, n.k_submissions FROM summed s JOIN numbers n
   ON s.manufacturer_name IS NOT DISTINCT FROM n.manufacturer_name""",
 )
 def _(t):
-    return marts.manufacturer_mart(B.integrated(t))
+    return marts.manufacturer_mart(B.integrated(t), parts=B.mart_parts(t))
 
 
 @query(
@@ -169,7 +169,7 @@ SELECT manufacturer_name, CAST(sum(deaths) AS BIGINT) AS deaths,
 FROM device_mart GROUP BY 1""",
 )
 def _(t):
-    return marts.manufacturer_mart(B.integrated(t), compat=True)
+    return marts.manufacturer_mart(B.integrated(t), compat=True, parts=B.mart_parts(t))
 
 
 FLAGS_SQL = """
@@ -187,7 +187,7 @@ SELECT device_name, manufacturer_name, device_class, regulation_number,
 FROM integrated GROUP BY ALL""",
 )
 def _(t):
-    marts.create_views(B.integrated(t))
+    marts.create_views(B.integrated(t), B.mart_parts(t))
     return t.spark.table("integrated_device_view")
 
 
@@ -199,7 +199,7 @@ SELECT manufacturer_name, {SUMS_SQL}, {FLAGS_SQL}, count(DISTINCT device_name) A
 FROM integrated GROUP BY ALL""",
 )
 def _(t):
-    marts.create_views(B.integrated(t))
+    marts.create_views(B.integrated(t), B.mart_parts(t))
     return t.spark.table("integrated_manufacturer_view")
 
 

@@ -99,3 +99,15 @@ def test_supplier_mapping_is_counted_in_bounded_parts(spark, monkeypatch):
                 shared[a][b] += 1
     want = {f"s{a}": f"s{min(n, key=lambda b: (-n[b], b))}" for a, n in shared.items()}
     assert dict(map(tuple, check_names._supplier_mapping(t).collect())) == want
+
+
+def test_device_mart_is_summed_up_in_given_parts(spark):
+    from devigil.operators import marts
+
+    integrated = B.integrated(registry.Tables(spark, DATA)).limit(500).localCheckpoint()
+    for build in (marts.device_view, marts.manufacturer_view):
+        dealt = build(integrated, 7)
+        assert sorted(dealt.collect(), key=repr) == sorted(build(integrated).collect(), key=repr)
+    devices = marts.device_view(integrated, 7)
+    # one exchange serves both sums, and is not merged into fewer parts
+    assert devices.rdd.getNumPartitions() == 7
