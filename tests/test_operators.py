@@ -631,3 +631,38 @@ def test_profile_clusters_equal_the_whole_matrix(spark, monkeypatch):
     assert cluster_texts(df.limit(0), "id", "t", profile=True).count() == 0
     with pytest.raises(ValueError):
         cluster_texts(df, "id", "t", 1.0, profile=True)
+
+
+def test_far_candidates_of_long_texts_meet_by_sketches_only(spark, monkeypatch):
+    monkeypatch.setattr(clusters, "ENTRIES", 500)  # vectors go on from one batch to the next
+    rng = np.random.default_rng(8)
+    texts = []
+    for i in range(60):
+        words = [f"w{j}" for j in rng.integers(0, 400, 300)]
+        texts += [" ".join([*words, f"rare{i // 2}", f"odd{i // 2}"]), " ".join([*words[2:], f"rare{i // 2}", "odd"])]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    vectors = tfidf(df, "id", "t")
+    dense = {}
+    for r in vectors.collect():
+        dense.setdefault(r.id, {})[r.term] = r.weight
+    exact = {
+        (a, b): sum(w * dense[b].get(t, 0) for t, w in dense[a].items())
+        for a in dense
+        for b in dense
+        if a < b
+    }
+    minimum = 0.99
+    longs = vectors.withColumn("term", F.xxhash64("term"))
+    rows = clusters._rows(longs, "id", minimum).cache()
+    found = {r.x: r for r in rows.collect()}
+    assert {x: len(r.terms) for x, r in found.items()} == {x: len(v) for x, v in dense.items()}
+    for (a, b), cosine in exact.items():
+        apart = np.sum((np.array(found[a].sketch) - np.array(found[b].sketch)) ** 2)
+        assert apart <= 2 - 2 * cosine + 1e-6
+    pairs = spark.createDataFrame([(a, b) for a, b in exact], "a int, b int")
+    met = {(r.a, r.b): r.cosine for r in clusters._cosines(pairs, rows, rows, minimum).collect()}
+    assert all(abs(met[p] - exact[p]) < 1e-9 for p in met)
+    twice = {p for p, c in exact.items() if c >= 2 * minimum**2 - 1}
+    assert twice <= set(met) and len(met) < len(exact) / 4
+    linked = {(r.a, r.b) for r in linking_pairs(vectors, "id", minimum).collect()}
+    assert linked == {p for p, c in exact.items() if c >= minimum} != set()
