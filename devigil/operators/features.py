@@ -73,8 +73,15 @@ class FeatureModel:
         return cls(spec, parts[0], text, parts[1])
 
 
-def fit_features(df: DataFrame, spec: FeatureSpec) -> tuple[FeatureModel, DataFrame]:
-    """The fitted feature model and the transformed rows, for rows from ``prepare``."""
+def fit_features(
+    df: DataFrame, spec: FeatureSpec, copies: str | None = None
+) -> tuple[FeatureModel, DataFrame]:
+    """The fitted feature model and the transformed rows, for rows from ``prepare``.
+
+    ``copies`` names a column with the number of rows that a row stands for; categories have no such weight.
+    """
+    if copies and spec.categorical:
+        raise ValueError("categories are ordered by rows, not by copies")
     fitted, inputs, text, ready = [], [], None, df
     if spec.categorical:
         for stage in one_hot_stages(spec.categorical):
@@ -82,7 +89,7 @@ def fit_features(df: DataFrame, spec: FeatureSpec) -> tuple[FeatureModel, DataFr
             ready = fitted[-1].transform(ready)
         inputs += [f"{c}_onehot" for c in spec.categorical]
     if spec.text:
-        text = fit_components(df, spec.text, spec.components)
+        text = fit_components(df, spec.text, spec.components, copies=copies)
         inputs.append(f"{spec.text}_pca")
     inputs += list(spec.numeric)
     last = [VectorAssembler(inputCols=inputs, outputCol=spec.output)]

@@ -360,8 +360,26 @@ def kmeans_names(
     return Scorer(features, PipelineModel([model])), model.transform(rows)
 
 
-def kmeans(rows: DataFrame, features: str, k: int = 10, seed: int = 52) -> KMeansModel:
-    return KMeans(featuresCol=features, predictionCol="cluster", k=k, seed=seed).fit(rows)
+def kmeans(
+    rows: DataFrame, features: str, k: int = 10, seed: int = 52, copies: str | None = None
+) -> KMeansModel:
+    """``copies`` names a column with the number of rows that a row stands for."""
+    estimator = KMeans(featuresCol=features, predictionCol="cluster", k=k, seed=seed)
+    return (estimator.setWeightCol(copies) if copies else estimator).fit(rows)
+
+
+def kmeans_sizes(df: DataFrame, spec: FeatureSpec, k: int = 10) -> DataFrame:
+    """``cluster, size``: rows of ``df`` clustered by features of texts and numbers.
+
+    Rows with equal inputs have equal features. They are one row with its number as ``copies``, a weight
+    of the components and of the means, so vectors exist for different inputs only.
+    """
+    counted = prepare(df, spec).groupBy(*_inputs(spec)).agg(F.count(F.lit(1)).alias("copies"))
+    rows = fit_features(cut_lineage(counted), spec, "copies")[1]
+    # every pass of k-means reads the vectors
+    rows = cut_lineage(rows.select("copies", spec.output))
+    labelled = kmeans(rows, spec.output, k, copies="copies").transform(rows)
+    return labelled.groupBy("cluster").agg(F.sum("copies").alias("size"))
 
 
 def project_2d(rows: DataFrame, features: str) -> DataFrame:

@@ -118,13 +118,17 @@ class TextComponents:
         return cls(spark.read.parquet(f"{path}/idf"), spark.read.parquet(f"{path}/loadings"), center)
 
 
-def fit_components(df: DataFrame, text: str, k: int, passes: int = 2, seed: int = 62) -> TextComponents:
+def fit_components(
+    df: DataFrame, text: str, k: int, passes: int = 2, seed: int = 62, copies: str | None = None
+) -> TextComponents:
     """At most ``k`` principal components of the TF-IDF vectors of the rows of ``df``.
 
-    Every row counts, equal texts as often as they occur. Components stop at the rank of the texts;
+    Every row counts, equal texts as often as they occur; ``copies`` names a column with the number of
+    rows that a row stands for. Components stop at the rank of the texts;
     ``passes`` power iterations sharpen those that the sketch cannot hold exactly.
     """
-    counted = df.groupBy(F.col(text).alias("text")).agg(F.count(F.lit(1)).alias("copies"))
+    held = F.sum(F.col(copies)).cast("bigint") if copies else F.count(F.lit(1))
+    counted = df.groupBy(F.col(text).alias("text")).agg(held.alias("copies"))
     counted = cut_lineage(counted)
     n = int(counted.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n")).first()["n"])
     present = counted.select("copies", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))

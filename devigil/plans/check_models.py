@@ -161,9 +161,7 @@ def _(t):
 @query("er6_kmeans_recall_features")
 def _(t):
     spec = FeatureSpec(text="device_name", numeric=("num_events", "pma_approval"))
-    rows = fit_features(prepare(_training_rows(t), spec), spec)[1]
-    model = M.kmeans(rows, spec.output, k=10)
-    return model.transform(rows).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    return M.kmeans_sizes(recall_training_rows(t), spec)
 
 
 @query("er7_projection")

@@ -166,6 +166,20 @@ def test_kmeans_labels_both_sides(facts):
     assert "reduced_component_y" in M.project_2d(labelled, "name_vector").columns
 
 
+def test_kmeans_sizes_count_equal_inputs_by_weight(spark, monkeypatch):
+    held = {("heart valve", 0): 90, ("hip implant", 1000): 30, ("pump set", 5000): 7, (None, 5000): 3}
+    rows = [(i, n, e) for (n, e), many in held.items() for i in range(many)]
+    df = spark.createDataFrame(rows, "id int, name string, events int")
+    spec = FeatureSpec(text="name", numeric=("events",), components=2)
+    seen, fitted = [], M.kmeans
+    monkeypatch.setattr(M, "kmeans", lambda rows, *a, **k: seen.append(rows.count()) or fitted(rows, *a, **k))
+    sizes = sorted(r["size"] for r in M.kmeans_sizes(df, spec, 3).collect())
+    assert sizes == [10, 30, 90] and seen == [4]
+    counted = df.groupBy("name").agg(F.count(F.lit(1)).alias("many"))
+    one, two = fit_components(df.na.fill(""), "name", 2), fit_components(counted.na.fill(""), "name", 2, copies="many")
+    assert np.allclose(np.abs(one.center), np.abs(two.center))
+
+
 def test_metrics_without_rows_or_positives(spark):
     none = spark.createDataFrame([], "y double, p double")
     assert binary_metrics(none, "y", "p").collect() == [(0.0, 0.0)]
