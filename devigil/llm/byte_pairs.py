@@ -2,10 +2,10 @@
 
 A text is split into words by the pattern of the vocabulary, in the JVM. Words repeat, so the frequent
 ones, a dictionary of bounded size, are folded once and go to the workers, which put the ids of a text
-together; the rare words that are left are folded in their rows by the same expression. The fold starts
-from the ids of a word's bytes and merges the pair of lowest rank until no pair has one. Ranks are a
-literal of the plan: an array in which every pair of ids has a place of its own (a perfect hash), so that
-a look-up is a few operations on numbers.
+together; the rare words that are left are folded there, each once in a run of texts. The fold starts
+from the ids of the bytes and merges the pair of lowest rank until no pair has one, for many words of
+equal length at a time. Ranks are an array in which every pair of ids has a place of its own (a perfect
+hash), so that a look-up is a few operations on numbers.
 """
 
 from __future__ import annotations
@@ -15,9 +15,12 @@ import heapq
 import json
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +43,10 @@ OTHER_SPACE = "85 A0 1680 2000-200A 2028-2029 202F 205F 3000"
 
 #: Ids are below this.
 SPAN = 1 << 20
+#: Bytes of words of equal length that are folded at a time.
+FOLD_CELLS = 1 << 20
+#: Fewer words of equal length are merged one by one.
+FEW = 16
 LARGEST = (1 << 63) - 1
 
 
@@ -78,9 +85,27 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+@dataclass(frozen=True)
+class Vocabulary:
+    """Ranks of tokens, ids of the bytes, ranks of pairs of bytes, and the ranks of pairs of ids by a
+    perfect hash. Numbers are unsigned."""
+
+    ranks: dict[bytes, int]
+    bytes: np.ndarray
+    byte_pairs: np.ndarray
+    shift: np.ndarray
+    place: np.ndarray
+
+    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of every pair, ``SPAN`` for a pair without one."""
+        span, groups, size = (np.uint64(n) for n in (SPAN, len(self.shift), len(self.place)))
+        key = left * span + right
+        # of a pair that is none of the keys, the difference is too large, or would be negative and wraps round
+        return np.minimum(self.place[(key + self.shift[key % groups]) % size] - key * span, span)
+
+
 @cache
-def _vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, list[int]], int, int]:
-    """Ranks, and as JSON-ready lists: ids of the bytes, places of the pairs (a perfect hash)."""
+def _vocabulary(path: str) -> Vocabulary:
     ranks = read_ranks(path)
     pairs, merged = [], []
     for token, rank in ranks.items():
@@ -93,8 +118,9 @@ def _vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, list[int]], int,
     groups, size, shift = _perfect_hash(keys)
     place = np.full(size, LARGEST // 2 + 1, np.int64)
     place[(keys + shift[keys % groups]) % size] = keys * SPAN + np.array(merged, np.int64)
-    lists = {"bytes": [ranks[bytes([b])] for b in range(256)], "shift": shift.tolist(), "place": place.tolist()}
-    return ranks, lists, groups, size
+    of_bytes = np.array([ranks[bytes([b])] for b in range(256)], np.uint64)
+    of_pairs = np.array([[ranks.get(bytes([a, b]), SPAN) for b in range(256)] for a in range(256)], np.uint64)
+    return Vocabulary(ranks, of_bytes, of_pairs, shift.astype(np.uint64), place.astype(np.uint64))
 
 
 def _perfect_hash(keys: np.ndarray) -> tuple[int, int, np.ndarray]:
@@ -122,43 +148,70 @@ def _literal(values: list, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is worked out once."""
-    return F.transform(F.array(value), body)[0]
-
-
-def fold(word: Column, path: str) -> Column:
-    """The ids of a word. Its bytes are folded with the pair of lowest rank, the first of equal ones,
-    merged in every turn; without such a pair a turn changes nothing."""
-    _, lists, groups, size = _vocabulary(path)
-    ids, shift, place = (_literal(lists[name], "bigint") for name in ("bytes", "shift", "place"))
-
-    def rank(left: Column, right: Column) -> Column:
-        # of a pair that is none of the keys, the difference is negative or too large
-        key = left * SPAN + right
-        return (place[(key + shift[key % groups]) % size] - key * SPAN).bitwiseAND(F.lit(LARGEST))
-
-    def turn(pieces: Column, _: Column) -> Column:
-        # the last piece has no right neighbour and a null rank
-        ranks = F.zip_with(pieces, F.slice(pieces, F.lit(2), F.size(pieces)), rank)
-
-        def merge(found: Column) -> Column:
-            def at(where: Column) -> Column:
-                merged = F.concat(
-                    F.slice(pieces, F.lit(1), where - 1), F.slice(found, where, F.lit(1)),
-                    F.slice(pieces, where + 2, F.size(pieces)),
-                )
-                return F.when(found[where - 1] < SPAN, merged).otherwise(pieces)
-
-            return _let(F.array_position(found, F.array_min(found)).cast("int"), at)
-
-        return _let(ranks, merge)
-
-    # a character of ISO-8859-1 is a byte
-    flat = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
-    pieces = F.transform(F.split(flat, ""), lambda c: ids[F.ascii(c)])
-    turns = F.sequence(F.lit(2), F.greatest(F.lit(2), F.octet_length(word)))
-    return F.aggregate(turns, pieces, turn)
+def _fold_equal(words: np.ndarray, vocabulary: Vocabulary):
+    """``rows, their ids`` again and again, for words of equal length given as rows of bytes. In every
+    turn the pair of lowest rank, the first of equal ones, is merged in each row; rows without such a
+    pair are done."""
+    rows, ids = np.arange(len(words)), vocabulary.bytes[words]
+    ranks = vocabulary.byte_pairs[words[:, :-1], words[:, 1:]]
+    while ids.shape[1] > 1 and len(ids):
+        at = ranks.argmin(1)
+        least = ranks[np.arange(len(ids)), at]
+        going = least < SPAN
+        if not going.all():
+            yield rows[~going], ids[~going]
+            rows, ids, ranks, at, least = (x[going] for x in (rows, ids, ranks, at, least))
+        n, width = ids.shape
+        each = np.arange(n)
+        kept = np.ones((n, width), bool)
+        kept[each, at + 1] = False
+        ids[each, at] = least
+        ids = ids[kept].reshape(n, width - 1)
+        # one of the two pairs that held the right piece goes, the pairs beside the merged piece are new
+        kept = np.ones((n, width - 1), bool)
+        kept[each, np.minimum(at + 1, width - 2)] = False
+        ranks = ranks[kept].reshape(n, width - 2)
+        for first in (at - 1, at):
+            there = np.flatnonzero((first >= 0) & (first < width - 2))
+            pair = first[there]
+            ranks[there, pair] = vocabulary.pair_ranks(ids[there, pair], ids[there, pair + 1])
+    yield rows, ids
+
+
+def fold(words: pa.Array, vocabulary: Vocabulary, long_bytes: int) -> pa.Array:
+    """The ids of every one of ``words``, joined by commas."""
+    if not len(words):
+        return pa.array([], pa.string())
+    words = words.cast(pa.large_binary())
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    starts = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    sizes = np.diff(starts)
+    order, folded, alone = [], [], []
+
+    def add(rows, ids: np.ndarray, ends: np.ndarray) -> None:
+        told = pa.array(ids).cast(pa.string())
+        order.append(rows)
+        folded.append(pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), told), ","))
+
+    by_size = np.argsort(sizes, kind="stable")
+    ordered = sizes[by_size]
+    at, stop = (int(np.searchsorted(ordered, n, "right")) for n in (0, long_bytes))
+    alone.extend(by_size[:at])
+    while at < stop:
+        size = int(ordered[at])
+        last = min(int(np.searchsorted(ordered, size, "right")), at + max(1, FOLD_CELLS // size))
+        rows = by_size[at:last]
+        if len(rows) < FEW:
+            alone.extend(rows)
+        else:
+            for done, merged in _fold_equal(data[starts[rows][:, None] + np.arange(size)], vocabulary):
+                add(rows[done], merged.ravel(), np.arange(len(done) + 1) * merged.shape[1])
+        at = last
+    alone.extend(by_size[stop:])
+    merged = [merge_by_heap(data[starts[i] : starts[i + 1]].tobytes(), vocabulary.ranks) for i in alone]
+    ends = np.cumsum([0, *map(len, merged)])
+    add(np.array(alone, np.int64), np.array(list(chain.from_iterable(merged)), np.uint64), ends)
+    return pa.concat_arrays(folded).take(pa.array(np.argsort(np.concatenate(order))))
 
 
 def merge_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -198,11 +251,7 @@ def split_words(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(java_pattern(pattern)), F.lit(0))
 
 
-def _joined(ids: Column) -> Column:
-    return F.array_join(F.transform(ids, lambda i: i.cast("string")), ",")
-
-
-def frequent_words(words: DataFrame, path: str, params: BytePairParams) -> pa.Table:
+def frequent_words(words: DataFrame, vocabulary: Broadcast, params: BytePairParams) -> pa.Table:
     """``word, ids``: at most ``dictionary`` of the words that are most frequent in ``words``
     (``word, n``); ids are joined by commas. Words that occur once stay out."""
     size = F.floor(F.log2("n") * 8).cast("int")
@@ -214,13 +263,22 @@ def frequent_words(words: DataFrame, path: str, params: BytePairParams) -> pa.Ta
             break
         least = b
     kept = words.filter((F.col("n") > 1) & (size >= least))
-    return kept.select("word", _joined(fold(F.col("word"), path)).alias("ids")).toArrow()
+    long_bytes = params.long_bytes
+
+    def folded(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), fold(batch.column(0), vocabulary.value, long_bytes)], names=["word", "ids"]
+            )
+
+    return kept.select("word").mapInArrow(folded, "word string, ids string").toArrow()
 
 
 def encode(
-    docs: DataFrame, path: str, pattern: str, params: BytePairParams = BytePairParams()
+    docs: DataFrame, path: str, pattern: str, params: BytePairParams = BytePairParams(), keep: list[str] | None = None
 ) -> DataFrame:
-    """The columns of ``docs`` (with ``text``) and ``ids_text``: the ids of the text joined by commas.
+    """The columns ``keep`` of ``docs`` (with ``text``), or all, and ``ids_text``: the ids of the text joined
+    by commas.
 
     A null text is empty and has no ids. Documents are not shuffled: only counts of distinct words are.
     """
@@ -230,26 +288,32 @@ def encode(
     word = F.explode(split_words(text, pattern)).alias("word")
     counts = docs.select(word).filter(F.octet_length("word") <= params.frequent_bytes)
     counts = store.land(counts.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
-    frequent = frequent_words(counts, path, params)
+    vocabulary = spark.sparkContext.broadcast(_vocabulary(path))
+    frequent = frequent_words(counts, vocabulary, params)
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, frequent.schema) as out:
         out.write_table(frequent)
-    shared = spark.sparkContext.broadcast((sink.getvalue().to_pybytes(), _vocabulary(path)[0]))
+    shared = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
     most, long_bytes = params.slice_words, params.long_bytes
-    held: dict[int, dict] = {}
+    held: dict[int, tuple] = {}
 
-    def known() -> dict[str, str]:
-        # once a worker, whatever its number of tasks
+    def known() -> tuple[dict[str, int], pa.Array]:
+        # places of the frequent words, and their ids
         if 0 not in held:
-            table = pa.ipc.open_stream(shared.value[0]).read_all()
-            held[0] = dict(zip(table.column("word").to_pylist(), table.column("ids").to_pylist()))
+            table = pa.ipc.open_stream(shared.value).read_all()
+            places = {word: i for i, word in enumerate(table.column("word").to_numpy())}
+            held[0] = places, pa.array(table.column("ids").combine_chunks(), pa.string())
         return held[0]
 
-    def ids_of(word: str) -> str | None:
-        found = known().get(word)
-        if found is None and len(word) * 4 > long_bytes and len(data := word.encode()) > long_bytes:
-            found = ",".join(map(str, merge_by_heap(data, shared.value[1])))
-        return found
+    def ids_of(words: pa.Array) -> pa.Array:
+        """The ids of distinct words."""
+        places, ids = known()
+        place = np.array([places.get(word, -1) for word in words.to_numpy(zero_copy_only=False)], np.int64)
+        rare = np.flatnonzero(place < 0)
+        place[rare] = len(ids) + np.arange(len(rare))
+        return pa.chunked_array([ids, fold(words.take(pa.array(rare)), vocabulary.value, long_bytes)]).take(
+            pa.array(place)
+        ).combine_chunks()
 
     def look_up(batches):
         for batch in batches:
@@ -261,50 +325,39 @@ def encode(
                 last = int(np.searchsorted(ends, ends[first] + most, "right")) - 1
                 last = min(max(last, first + 1), len(words))
                 coded = words.values.slice(ends[first], ends[last] - ends[first]).dictionary_encode()
-                spelled = coded.dictionary.to_pylist()
-                found = [ids_of(w) for w in spelled]
-                at = coded.indices.to_numpy()
-                ready, rare = [], []
-                for a, b in zip(ends[first:last] - ends[first], ends[first + 1 : last + 1] - ends[first]):
-                    pieces = [found[i] for i in at[a:b].tolist()]
-                    missing = [i for i, p in enumerate(pieces) if p is None]
-                    rare.append([spelled[at[a + i]] for i in missing])
-                    cuts = [-1, *missing, len(pieces)]
-                    ready.append([",".join(pieces[i + 1 : j]) for i, j in zip(cuts[:-1], cuts[1:])])
+                ids = ids_of(coded.dictionary).take(coded.indices)
+                each = pa.ListArray.from_arrays(pa.array(ends[first : last + 1] - ends[first]), ids)
                 own = [c.slice(first, last - first) for c in batch.columns[:-1]]
                 yield pa.RecordBatch.from_arrays(
-                    [*own, pa.array(ready, pa.list_(pa.string())), pa.array(rare, pa.list_(pa.string()))],
-                    names=[*batch.schema.names[:-1], "ready", "rare"],
+                    [*own, pc.binary_join(each, ",")], names=[*batch.schema.names[:-1], "ids"]
                 )
                 first = last
 
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
-    plain = plain.withColumn("words", split_words(F.coalesce(F.col(names[docs.columns.index("text")]), F.lit("")), pattern))
-    schema = ", ".join(f"{n} {t}" for n, (_, t) in zip(names, docs.dtypes))
-    parts = plain.mapInArrow(look_up, f"{schema}, ready array<string>, rare array<string>")
-    rare = F.transform("rare", lambda w: _joined(fold(w, path)))
-    # between two runs of frequent words stands one rare word
-    mixed = F.flatten(F.zip_with("ready", rare, lambda a, b: F.array(a, b)))
-    ids = F.array_join(F.filter(mixed, lambda p: p.isNotNull() & (p != "")), ",")
-    out = parts.select(*names, ids.alias("ids_text"))
-    return out.toDF(*docs.columns, "ids_text")
+    words = split_words(F.coalesce(F.col(names[docs.columns.index("text")]), F.lit("")), pattern)
+    # texts that nobody asked for do not go to Python and back
+    kept = [(n, c, t) for n, (c, t) in zip(names, docs.dtypes) if keep is None or c in keep]
+    schema = ", ".join([f"{n} {t}" for n, _, t in kept] + ["ids string"])
+    out = plain.select(*[n for n, _, _ in kept], words.alias("words")).mapInArrow(look_up, schema)
+    return out.toDF(*[c for _, c, _ in kept], "ids_text")
 
 
 def decode(ids_text: Column, path: str) -> Column:
     """The bytes of ids joined by commas: their pieces one after the other."""
-    ranks = _vocabulary(path)[0]
+    ranks = _vocabulary(path).ranks
     pieces = [""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         pieces[rank] = token.decode("iso-8859-1")
     known = _literal(pieces, "string")
-    ids = F.filter(F.split(ids_text, ","), lambda i: i != "")
-    return F.encode(F.array_join(F.transform(ids, lambda i: known[i.cast("int")]), ""), "ISO-8859-1")
+    ids = F.split(ids_text, ",").cast("array<int>")
+    joined = F.array_join(F.transform(ids, lambda i: known[i]), "")
+    return F.encode(F.when(ids_text == "", "").otherwise(joined), "ISO-8859-1")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, params: BytePairParams = BytePairParams()) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row of ``docs`` (``doc_id, text``)."""
-    encoded = encode(docs.select(F.col("doc_id").cast("bigint"), "text"), path, pattern, params)
+    encoded = encode(docs.select(F.col("doc_id").cast("bigint"), "text"), path, pattern, params, keep=["doc_id"])
     commas = F.length("ids_text") - F.length(F.replace("ids_text", F.lit(",")))
     return encoded.select(
         "doc_id",

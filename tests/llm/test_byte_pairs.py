@@ -66,3 +66,29 @@ def test_heap_equals_library(library):
     for n in (1, 2, 3, 10, 300, 2000):
         word = bytes(rng.choice(list(b"abcde tion"), n))
         assert byte_pairs.merge_by_heap(word, ranks) == library._encode_single_piece(word)
+
+
+def test_many_words_fold_as_in_library(library):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    letters = list("abcde tion漢ü\x00😀")
+    words = {"".join(letters[i] for i in rng.integers(0, len(letters), n)) for n in (1, 2, 3, 5, 8, 9) for _ in range(400)}
+    words = sorted(words | {"a" * n for n in range(1, 300)} | {"ab" * 150, "ü" * 200})
+    want = [",".join(map(str, library._encode_single_piece(w.encode()))) for w in words]
+    vocabulary = byte_pairs._vocabulary(PATH)
+    for long_bytes in (3, 256):
+        assert byte_pairs.fold(pa.array(words), vocabulary, long_bytes).to_pylist() == want
+    assert byte_pairs.fold(pa.array(words).slice(7, 50), vocabulary, 256).to_pylist() == want[7:57]
+    assert byte_pairs.fold(pa.array([], pa.string()), vocabulary, 256).to_pylist() == []
+
+
+def test_rare_words_are_not_folded_by_the_plan(documents, library):
+    """A word outside the dictionary took some 90 microseconds in a lambda of the plan."""
+    docs = documents(["some words and some more", None, "Straße"])
+    out = byte_pairs.encode(docs, PATH, public_tokenizers.PATTERN, keep=["doc_id"])
+    assert out.columns == ["doc_id", "ids_text"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "aggregate(" not in plan
+    found = {r["doc_id"]: r["ids_text"] for r in out.collect()}
+    assert found == {i: ",".join(map(str, library.encode_ordinary(t or ""))) for i, t in enumerate(["some words and some more", None, "Straße"])}
