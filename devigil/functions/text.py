@@ -80,7 +80,8 @@ def drop_trailing_backslashes(c: Column) -> Column:
 
 def canonical_text(c: Column) -> Column:
     """Non-alphanumerics to single spaces, trimmed, lower-cased; nothing left means NULL."""
-    spaced = F.regexp_replace(c.cast("string"), "[^a-zA-Z0-9]+", " ")
+    # the same class as [^a-zA-Z0-9], for which Java took some ten times as long
+    spaced = F.regexp_replace(c.cast("string"), r"[\W_]+", " ")
     return F.nullif(F.lower(F.trim(spaced)), F.lit(""))
 
 
