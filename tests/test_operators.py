@@ -572,6 +572,29 @@ def test_candidates_of_close_pairs_are_not_rows(spark, monkeypatch):
         assert all(abs(r.cosine - true[r.a, r.b]) < 1e-12 for r in found)
 
 
+@pytest.mark.parametrize("share, cells", [(1.0, 768), (1.0, 3), (0.0, 768)])
+def test_bounds_of_cosines_lose_no_pair_and_vectors_are_not_copied(spark, monkeypatch, share, cells):
+    """With bounds, with loose ones and with none; a block is landed once and meets others unshuffled."""
+    monkeypatch.setattr(cosines, "BOUND_TERMS", 4)
+    monkeypatch.setattr(cosines, "BOUND_SHARE", share)
+    monkeypatch.setattr(cosines, "BOUND_CELLS", cells)
+    monkeypatch.setattr(cosines, "CHUNK", 100)
+    monkeypatch.setattr(cosines, "CELLS", 300)
+    rng = np.random.default_rng(8)
+    dense = (rng.random((80, 50)) - 0.2) * (rng.random((80, 50)) < 0.3)
+    dense[:40] += 0.9 * np.roll(dense[40:], 1, 1) * (rng.random((40, 1)) < 0.3) + dense[40:]
+    unit = dense / np.sqrt((dense**2).sum(1, keepdims=True))
+    rows = [(i, f"t{j}", float(unit[i, j])) for i, j in zip(*map(np.ndarray.tolist, np.nonzero(unit)))]
+    vectors = spark.createDataFrame(rows, "id long, term string, weight double")
+    found = cosines.close_pairs(vectors, "id", 0.6, block=20)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    product = unit @ unit.T
+    true = {(i, j): product[i, j] for i in range(80) for j in range(i + 1, 80) if product[i, j] >= 0.6}
+    got = {(r.a, r.b): r.cosine for r in found.collect()}
+    assert got.keys() == true.keys() and len(true) > 10
+    assert all(abs(got[p] - true[p]) < 1e-12 for p in true)
+
+
 @pytest.mark.parametrize("rows_per_block", [4096, 100])
 def test_crowded_keys_are_joined_in_blocks(spark, rows_per_block):
     left = spark.range(3000).select((F.col("id") % 2).alias("k"), F.col("id").alias("x"))
