@@ -276,6 +276,28 @@ def test_counting_before_the_join_equals_counting_after(spark):
     ).count()
 
 
+def test_geocoding_repeats_rows_where_they_are(spark):
+    """Places of a code meet rows as arrays, not row by row; copies, NULLs and column names stay."""
+    df = spark.createDataFrame(
+        [(1, "de", " 01067", "x"), (2, "de", "80331", None), (3, None, "80331", "y"), (4, "de", None, "z"),
+         (4, "de", "01067", "z")],
+        "id int, country string, postal string, `a.b` string",
+    )
+    places = spark.createDataFrame(
+        [("DE", "01067", 51.0, 13.7)] * 2 + [("DE", "01067", None, 13.8), ("DE", "80331", 48.1, 11.6),
+         ("DE", None, 1.0, 1.0), (None, "80331", 2.0, 2.0)],
+        "country_code string, postal_code string, latitude double, longitude double",
+    )
+    found = geo.geocode(df, "country", "postal", places)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in plan
+    keyed = df.select("*", *geo.place_key(F.col("country"), F.col("postal")))
+    plain = keyed.join(places, list(geo.PLACE))
+    assert found.columns == plain.columns and found.dtypes == plain.dtypes
+    got = found.collect()
+    assert sorted(got, key=repr) == sorted(plain.collect(), key=repr) and len(got) == 7
+
+
 def test_hexagons_hold_the_points_nearest_to_their_centre(spark):
     radius = geo.zoom_to_radius(9)
     assert radius == 10000 and geo.zoom_to_radius(6) == 80000
