@@ -2,6 +2,7 @@ import datetime as dt
 import random
 import re
 from functools import partial
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ from devigil.operators.rewrites import (
 from devigil.operators.sampling import sample_percent, sample_to_target
 from devigil.operators.vectors import tfidf
 from devigil.operators.series import monthly_counts, policies, split_holdout
-from devigil.session import cut_estimates
+from devigil.session import cut_estimates, ensure_checkpoint_dir
 
 
 # --- scalar functions ---------------------------------------------------------------------------
@@ -594,6 +595,20 @@ def test_candidates_of_close_pairs_are_not_rows(spark, monkeypatch):
         assert all(abs(r.cosine - true[r.a, r.b]) < 1e-12 for r in found)
 
 
+def landed_folders(spark, operator):
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    return {path: {p.name for p in path.iterdir()} for path in folder.glob(f"{operator}-*")}
+
+
+def test_clusters_leave_only_labels_on_disk(spark):
+    df = spark.createDataFrame([(i, f"pump set {i % 7} blue") for i in range(30)], "id int, t string")
+    before = landed_folders(spark, "clusters")
+    found = cluster_texts(df, "id", "t")
+    after = landed_folders(spark, "clusters")
+    assert [after[path] for path in after.keys() - before.keys()] == [{"labels"}]
+    assert {r.id: r.cluster for r in found.collect()} == {i: 0 for i in range(30)}
+
+
 @pytest.mark.parametrize("share, cells", [(1.0, 768), (1.0, 3), (0.0, 768)])
 def test_bounds_of_cosines_lose_no_pair_and_vectors_are_not_copied(spark, monkeypatch, share, cells):
     """With bounds, with loose ones and with none; a block is landed once and meets others unshuffled."""
