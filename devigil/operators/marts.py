@@ -103,6 +103,11 @@ def device_view(integrated: DataFrame, parts: int | None = None) -> DataFrame:
     )
 
 
+def mart_columns() -> list[str]:
+    """The columns of integrated rows that views and marts read, addresses apart."""
+    return list(dict.fromkeys([*DEVICE_KEYS, *NUMBERS.values(), *MEASURES.values()]))
+
+
 def device_mart(integrated: DataFrame, parts: int | None = None) -> DataFrame:
     return _ordered(device_view(integrated, parts), *DEVICE_ORDER)
 
@@ -157,9 +162,14 @@ def _per_manufacturer(integrated: DataFrame, parts: int | None = None) -> DataFr
 
 
 def manufacturer_view(integrated: DataFrame, parts: int | None = None) -> DataFrame:
-    """The SQL-view form: class flags of the manufacturer instead of device counts."""
+    """The SQL-view form: class flags of the manufacturer instead of device counts.
+
+    No sum of a device is asked for, so the sums of a manufacturer are one row of each task before they
+    are shuffled, with or without ``parts``.
+    """
+    pieces = _pieces(integrated, {"unique_devices": "device_name", **NUMBERS})
     return (
-        _per_manufacturer(integrated, parts)
+        _reduced(pieces, [F.col("manufacturer_name")], None, [])
         .groupBy("manufacturer_name")
         .agg(*_sums(), *_flags(), *_counted("unique_devices", *NUMBERS))
     )

@@ -294,6 +294,8 @@ def _(t):
 
 
 ZOOM = 6
+#: Bytes (as JSON) of the names of manufacturers that go to every worker.
+MAKERS_BYTES = 64 << 20
 
 
 @query(
@@ -480,12 +482,18 @@ SELECT * FROM found ORDER BY injuries DESC NULLS LAST, device_name NULLS LAST,
   medical_specialty_description NULLS LAST, records LIMIT 20""",
 )
 def _(t):
+    from devigil.landing import Landing
     from devigil.operators.reports import top_entities
+    from devigil.session import broadcast_if_small
 
-    integrated = B.integrated(t)
+    # both views read what is integrated once, and what either shuffles goes before the next
+    store = Landing(t.spark, "home-page", release=True)
+    columns = [f"`{c}`" for c in marts.mart_columns()]
+    integrated = store.land(B.integrated(t).select(*columns), "integrated")
     parts = B.mart_parts(t)
     found = marts.manufacturer_view(integrated, parts)
-    makers = search(found, "manufacturer_name", "supplier 0*[1-9]")
+    makers = store.land(search(found, "manufacturer_name", "supplier 0*[1-9]"), "makers")
+    makers = broadcast_if_small(makers.select("manufacturer_name"), MAKERS_BYTES)
     devices = restrict_to(marts.device_view(integrated, parts), makers, "manufacturer_name")
     shown = devices.select(*marts.DEVICE_KEYS, "injuries", "records")
     return top_entities(shown, "device_name", "injuries", 20)

@@ -111,3 +111,17 @@ def test_device_mart_is_summed_up_in_given_parts(spark):
     devices = marts.device_view(integrated, 7)
     # one exchange serves both sums, and is not merged into fewer parts
     assert devices.rdd.getNumPartitions() == 7
+
+
+def test_manufacturers_are_summed_up_before_they_are_shuffled(spark):
+    from devigil.operators import marts
+
+    integrated = B.integrated(registry.Tables(spark, DATA))
+    narrow = integrated.select(*[f"`{c}`" for c in marts.mart_columns()]).limit(500).localCheckpoint()
+    view = marts.manufacturer_view(narrow, 7)
+    assert "Repartition" not in view._jdf.queryExecution().optimizedPlan().toString()
+    sums = narrow.groupBy("manufacturer_name").agg(
+        F.sum("death").alias("deaths"), F.max("1").alias("class_1"),
+        F.count_distinct("device_name").alias("unique_devices"), F.count_distinct("k_number").alias("k_submissions"),
+    )
+    assert sorted(view.select(*sums.columns).collect(), key=repr) == sorted(sums.collect(), key=repr)
