@@ -117,9 +117,13 @@ def hash_share(key: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(2.0**32)
 
 
+def in_training(key: Column, train_share: float = 0.8, seed: int = 62) -> Column:
+    return hash_share(key, seed) < train_share
+
+
 def split_by_hash(
     df: DataFrame, key: str, train_share: float = 0.8, seed: int = 62
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rows that stay the same however the data is partitioned."""
-    share = hash_share(F.col(key), seed)
-    return df.filter(share < train_share), df.filter(share >= train_share)
+    train = in_training(F.col(key), train_share, seed)
+    return df.filter(train), df.filter(~train)

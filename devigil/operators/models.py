@@ -20,11 +20,12 @@ from devigil.operators.features import (
     FeatureModel,
     FeatureSpec,
     fit_features,
+    in_training,
     prepare,
-    split_by_hash,
 )
 from devigil.operators.harmonize import approval_flags, join_events
 from devigil.operators.metrics import binary_metrics, multilabel_metrics
+from devigil.landing import Landing
 from devigil.session import cut_lineage
 
 SEED = 62
@@ -94,6 +95,8 @@ def recall_features(
         "regulation_number",
         "submission_type_id",
     ).filter("key <> ''")
+    # equal classifications of a name meet its counts once
+    classes = classes.groupBy(*classes.columns).agg(F.count(F.lit(1)).alias("copies"))
     per_name = (
         recall_counts(recalls)
         .select(company_key(F.col("openfda_device_name")).alias("key"), "recall_count")
@@ -109,7 +112,7 @@ def recall_features(
     return (
         merged.dropna(subset=list(RECALL_KEYS))
         .groupBy(*RECALL_KEYS)
-        .agg(F.sum("n").alias("num_events"))
+        .agg(F.sum(F.col("n") * F.col("copies")).alias("num_events"))
     )
 
 
@@ -128,6 +131,7 @@ def device_features(
     classes = classification.select(
         F.lower("device_name").alias("key"), "product_code", "device_class", "submission_type_id"
     )
+    classes = classes.groupBy(*classes.columns).agg(F.count(F.lit(1)).alias("copies"))
     joined = counts.join(classes, F.lower("openfda_device_name") == F.col("key"), "left")
     return (
         joined.withColumns(approval_flags(F.col("submission_type_id")))
@@ -140,7 +144,7 @@ def device_features(
             "pma_approval",
             "510k_approval",
         )
-        .agg(F.sum("n").alias("num_events"))
+        .agg(F.sum(F.col("n") * F.coalesce("copies", F.lit(1))).alias("num_events"))
     )
 
 
@@ -229,13 +233,20 @@ def _fit_rows(
 
     Rows with equal inputs have equal features, whatever their keys. Training rows that agree in the
     labels as well are one row with its number as ``copies``, a weight that gives the same fit; held-out
-    inputs are scored once each. So vectors exist for different inputs only.
+    inputs are scored once each. So vectors exist for different inputs only. Keys are kept for held-out rows,
+    which are asked for by them.
     """
     inputs = _inputs(spec)
     doubles = [F.col(f"`{c}`").cast("double").alias(c) for c in labels]
-    source = cut_lineage(prepare(df, spec).select(key, *doubles, *inputs))
+    store = Landing(df.sparkSession, "training", release=True)
+    source = prepare(df, spec).select(key, *doubles, *inputs)
+    source = source.withColumn("_train", in_training(F.col(key), train_share, SEED))
+    kept_key = F.when(~F.col("_train"), F.col(key)).alias(key)
+    columns = [f"`{c}`" for c in source.columns if c != key]
+    source = store.land(source.select(kept_key, *columns), "rows")
     features, _ = fit_features(source, spec)
-    train, test = split_by_hash(source, key, train_share, SEED)
+    train = source.filter("_train")
+    test = source.filter("not _train").drop("_train")
     counted = train.groupBy(*inputs, *[f"`{c}`" for c in labels])
     counted = counted.agg(F.count(F.lit(1)).cast("double").alias("copies"))
     rows = features.transform(cut_lineage(counted))

@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from devigil.operators.text_components import fit_components
 from devigil.operators.metrics import binary_metrics, multilabel_metrics
 from devigil.operators.sampling import sample_percent_column
 from devigil.operators.vectors import tfidf
+from devigil.session import ensure_checkpoint_dir
 
 SPEC = FeatureSpec(
     categorical=("product_code", "event_type"), text="device_name", numeric=("num_events",),
@@ -50,6 +52,43 @@ def test_binary_model_learns_saves_and_scores(spark, facts, tmp_path):
     assert len(top) == 5 and top[0].weight >= top[-1].weight
 
 
+def test_training_lands_keys_of_held_out_rows_only(spark, facts):
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("training-*"))
+    trained = M.train_binary(facts, "recall", "id", SPEC, M.booster("recall", "features", 2))
+    (landed,) = set(folder.glob("training-*")) - before
+    rows = spark.read.parquet(f"{landed}/rows")
+    train, test = ({r.id for r in side.collect()} for side in split_by_hash(facts, "id", 0.8, M.SEED))
+    assert rows.count() == 200 and {r.id for r in rows.filter("_train").collect()} == {None}
+    assert {r.id for r in rows.filter("not _train").collect()} == test
+    assert {r.id for r in trained.predictions.collect()} == test and train | test == {f"{i}" for i in range(200)}
+
+
+def test_equal_classifications_meet_counts_once(spark):
+    events = spark.createDataFrame([(f"{i}",) for i in range(6)], "event_id string")
+    devices = spark.createDataFrame(
+        [(f"{i}", ["Pump", "valve", "stent"][i % 3], "death", "7", None, None, None) for i in range(6)],
+        "event_id string, openfda_device_name string, event_type string, openfda_regulation_number string, "
+        "manufacturer_d_name string, device_report_product_code string, model_number string",
+    )
+    classes = spark.createDataFrame(
+        [("PUMP", "A", "1", "7", "2")] * 50 + [("PUMP", "B", "1", "7", "1"), ("VALVE", "A", "2", "7", "3")],
+        "device_name string, product_code string, device_class string, regulation_number string, "
+        "submission_type_id string",
+    )
+    recalls = spark.createDataFrame([("pump",)], "openfda_device_name string")
+    found = M.device_features(events, devices, classes)
+    got = {(r.device_name, r.product_code, r.num_events) for r in found.collect()}
+    assert got == {("Pump", "A", 100), ("Pump", "B", 2), ("valve", "A", 2), ("stent", None, 2)}
+    facts = M.event_facts(events, devices)
+    features = M.recall_features(facts, classes, recalls)
+    got = {(r.device_name, r.product_code, r.recall, r.num_events) for r in features.collect()}
+    assert got == {("PUMP", "A", 1, 50), ("PUMP", "B", 1, 1), ("VALVE", "A", 0, 1)}
+    for frame in (found, features):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "copies" in plan
+
+
 def test_multilabel_model_gives_the_likeliest_type(facts):
     spec = FeatureSpec(text="device_name", components=4)
     trained = M.train_multilabel(facts, ["death", "recall"], "id", spec, rounds=3)
